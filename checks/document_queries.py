@@ -193,7 +193,7 @@ def embed_citations(spark, folder):
         F.col("o_orderkey").alias("corpusid"), F.col("o_orderpriority").alias("title"))
     cited = D.citation_records(papers, "corpusid", "title", F.array().cast("array<string>"))
     # Short lists, so that many papers have several parts.
-    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), "corpusid", max_items=3)
+    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), papers, "corpusid", max_items=3)
     return (documents.select("corpusid", F.explode("citations").alias("c"))
             .select("corpusid", "c.reference_id", "c.title"))
 

@@ -21,25 +21,36 @@ def clean_paragraphs(body: Column) -> Column:
     return F.transform(body, clean)
 
 
-def _section_number(titles: Column, index: Column) -> Column:
-    """How many different titles the paragraphs up to ``index`` (0-based) have."""
-    return F.size(F.array_distinct(F.slice(titles, 1, index + 1)))
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once and used inside nested lambdas."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def sections(paragraphs: Column, as_coded: bool = False) -> Column:
     """Paragraphs grouped into ``{section_title, paragraphs}``, sections in order of first appearance.
 
     With ``as_coded`` a paragraph whose title came up before goes to the latest section instead of its own.
+    The work grows with paragraphs times sections; for documents of very many sections keep the paragraphs as
+    rows and use `quire.plans.documents.aggregate_sections`.
     """
-    titles = F.transform(paragraphs, lambda p: p["section"])
-    body = lambda members: F.transform(members, lambda p: p.dropFields("section"))
-    if not as_coded:
-        return F.transform(F.array_distinct(titles), lambda title: F.struct(
-            title.alias("section_title"),
-            body(F.filter(paragraphs, lambda p: p["section"].eqNullSafe(title))).alias("paragraphs")))
-    return F.transform(F.array_distinct(titles), lambda title, number: F.struct(
-        title.alias("section_title"),
-        body(F.filter(paragraphs, lambda p, i: _section_number(titles, i) == number + 1)).alias("paragraphs")))
+    # A title as a key that is never null.
+    keys = F.transform(paragraphs, lambda p: F.coalesce(F.concat(F.lit("t"), p["section"]), F.lit("n")))
+
+    def group(env):
+        starts = F.transform(F.array_distinct(env["keys"]), lambda key: F.struct(
+            key.alias("key"), F.array_position(env["keys"], key).alias("at")))
+        if as_coded:
+            member = lambda _, i, start, nxt: (i >= start["at"] - 1) & (i < F.coalesce(nxt["at"] - 1, F.lit(2**31 - 1)))
+        else:
+            member = lambda p, i, start, nxt: F.get(env["keys"], i) == start["key"]
+        section = lambda starts: F.transform(starts, lambda start, k: F.struct(
+            F.when(start["key"].startswith("t"), F.substring(start["key"], 2, 2**31 - 1)).alias("section_title"),
+            F.transform(F.filter(env["paragraphs"], lambda p, i: member(p, i, start, F.get(starts, k + 1))),
+                        lambda p: p.dropFields("section")).alias("paragraphs")))
+        return _bind(starts, section)
+
+    return F.when(paragraphs.isNotNull(),
+                  _bind(F.struct(keys.alias("keys"), paragraphs.alias("paragraphs")), group))
 
 
 def add_images(figures: Column, images: Column) -> Column:
@@ -54,15 +65,16 @@ def add_images(figures: Column, images: Column) -> Column:
 def describe_references(paragraphs: Column, figures: Column) -> Column:
     """Figure references with the data of the figure they name: their own text becomes the caption and the
     figure's fields are added. References to unknown figures keep their text."""
-    def describe(ref):
-        figure = F.try_element_at(figures, ref["ref_id"])
+    def describe(pair):
+        ref, figure = pair["ref"], pair["figure"]
         known = figure.isNotNull()
         return F.struct(ref["start"].alias("start"), ref["end"].alias("end"), ref["ref_id"].alias("ref_id"),
                         F.when(known, figure["text"]).otherwise(ref["text"]).alias("text"),
                         F.when(known, ref["text"]).alias("caption"),
                         figure["type"].alias("type"), *[figure[field].alias(field) for field in IMAGE_FIELDS])
+    look_up = lambda ref: F.struct(ref.alias("ref"), F.try_element_at(figures, ref["ref_id"]).alias("figure"))
     return F.transform(paragraphs, lambda p: p.withField(
-        "figures_in_paragraph", F.transform(p["figures_in_paragraph"], describe)))
+        "figures_in_paragraph", F.transform(F.transform(p["figures_in_paragraph"], look_up), describe)))
 
 
 def list_figures(figures: Column) -> Column:

@@ -21,14 +21,24 @@ def hub_keys(rows: DataFrame, keys: list[str], max_items: int = MAX_ITEMS) -> Da
         *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts"))
 
 
+def _tag(rows: DataFrame, keys: list[str], max_items: int) -> DataFrame:
+    """Add ``_parts``, null for ordinary keys. The broadcast side is bounded by MAX_HUBS."""
+    return rows.join(F.broadcast(hub_keys(rows, keys, max_items)), keys, "left")
+
+
+def assign_parts(rows: DataFrame, keys: list[str], item: str, max_items: int = MAX_ITEMS) -> DataFrame:
+    """Add ``part``: 0 for ordinary keys, spread by a hash of ``item`` for hubs. Rows are distinct."""
+    part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0)).cast("int")
+    return _tag(rows, keys, max_items).withColumn("part", part).drop("_parts")
+
+
 def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:
     """(keys, part, sorted list of ``item``). Rows with a null key are left out, repeated items are kept.
 
     Items of a hub are first counted per value, so copies collapse before the shuffle; they are then laid out in
     blocks of at most ``max_items`` and spread over the parts by hash.
     """
-    rows = rows.select(*keys, item).dropna(subset=keys)
-    tagged = rows.join(F.broadcast(hub_keys(rows, keys, max_items)), keys, "left")
+    tagged = _tag(rows.select(*keys, item).dropna(subset=keys), keys, max_items)
 
     ordinary = (tagged.filter(F.col("_parts").isNull())
                 .groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
@@ -48,17 +58,6 @@ def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, max_it
     return ordinary.unionByName(hubs)
 
 
-def collect_ordered(rows: DataFrame, keys: list[str], pos: str, item: str, name: str,
-                    max_items: int = MAX_ITEMS) -> DataFrame:
-    """(keys, part, list of ``item`` in the order of ``pos``). Positions are whole numbers, unique per key.
-
-    Part k holds the positions from k * max_items on, so parts follow each other in order.
-    """
-    return (rows.select(*keys, F.expr(f"cast(`{pos}` div {max_items} as int)").alias("part"), pos, item)
-            .groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct(pos, item))).alias("_items"))
-            .select(*keys, "part", F.col(f"_items.{item}").alias(name)))
-
-
 def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:
     """Neighbour ids per id."""
     return collect_parts(edges, [key], item, name, max_items)

@@ -7,7 +7,7 @@ from quire.functions import nested
 from quire.functions.arrays import distinct_field, extended_json_date, or_empty, without_null_values
 from quire.functions.text import KEYWORDS, derive_email, tag_keywords
 from quire.operators.edges import proper_edges, recount_in_degree
-from quire.operators.lists import MAX_ITEMS, attach_lists, collect_parts
+from quire.operators.lists import MAX_ITEMS, assign_parts, attach_lists
 from quire.operators.rows import dedupe_first, first_n_matching
 
 
@@ -94,23 +94,24 @@ def citation_records(documents: DataFrame, id_col: str, title_col: str, authors:
 
 
 def citation_lists(cited: DataFrame, edges: DataFrame, id_col: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(id_col, part, citations[]) by reference id, without self-citations and repeats. A document that cites
-    more than ``max_items`` others has several parts."""
-    linked = proper_edges(edges).join(cited, "end_id").select(F.col("start_id").alias(id_col), "citation")
-    return collect_parts(linked, [id_col], "citation", "citations", max_items)
+    """(id_col, part, citations[]) by reference id from distinct edges; edges to unknown ids drop out. A document
+    that cites more than ``max_items`` others has several parts."""
+    linked = assign_parts(edges, ["start_id"], "end_id", max_items).join(cited, "end_id")
+    return (linked.groupBy(F.col("start_id").alias(id_col), "part")
+            .agg(F.sort_array(F.collect_list("citation")).alias("citations")))
 
 
-def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, id_col: str,
+def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, known: DataFrame, id_col: str,
                     max_items: int = MAX_ITEMS) -> DataFrame:
     """Documents with their ``citations`` (``[]`` if none) and ``referencecount`` recounted from the edges that
-    point to them; ``influentialcitationcount`` goes away.
+    point to them; ``influentialcitationcount`` goes away. Self-citations, repeats and edges from or to other
+    documents do not count.
 
-    ``cited`` comes from `citation_records`, taken from an early and slim form of the documents, so that their
-    texts are not built twice. Edges to or from other ids do not count.
+    ``cited`` comes from `citation_records` and ``known`` holds the document ids. Both are taken from early, slim
+    forms of the documents, so that their texts are not built again for them.
     """
-    known = cited.select("end_id")
-    inside = (proper_edges(edges).join(known, "end_id", "left_semi")
-              .join(known.withColumnRenamed("end_id", "start_id"), "start_id", "left_semi"))
+    sources = known.select(F.col(id_col).alias("start_id"))
+    inside = proper_edges(edges).join(sources, "start_id", "left_semi")
     lists = citation_lists(cited, inside, id_col, max_items)
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
@@ -132,7 +133,7 @@ def build_documents(papers: DataFrame, authors: DataFrame, texts: DataFrame, ima
     documents = embed_authors(chosen, authors, id_col, fallback_prefix)
     cited = citation_records(documents, id_col, "title", F.col("authors.name"))
     documents = attach_content(documents, clean_texts(texts), id_col, images, vocabulary, as_coded)
-    documents = embed_citations(documents, cited, edges, id_col, max_items)
+    documents = embed_citations(documents, cited, edges, chosen, id_col, max_items)
     return with_extended_dates(documents, ["publicationdate", "updated"])
 
 
