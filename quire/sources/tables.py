@@ -19,7 +19,8 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     Values with line breaks need ``multi_line``, which keeps Spark from splitting a file. Pass False for
     files known to hold one record per line, so that large files are read by many tasks.
     """
-    reader = spark.read.options(**CSV_OPTIONS, sep=sep, header=header, multiLine=multi_line)
+    # A bare empty field is null; a quoted one stays an empty string as long as the null marker is not empty too.
+    reader = spark.read.options(**CSV_OPTIONS, sep=sep, header=header, multiLine=multi_line, nullValue="\0")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
