@@ -42,10 +42,11 @@ def push_props_to_edge(edges: DataFrame, nodes: DataFrame, props: list[str]) ->
 
 def drop_edges(edges: DataFrame, ids: DataFrame, ends: tuple[str, ...] = ("start", "end")) -> DataFrame:
     """Drop edges that touch an id of ``ids`` (its first column) at one of the named ends."""
+    columns = edges.columns
     for end in ends:
         excluded = ids.select(F.col(ids.columns[0]).alias(f"{end}_id"))
         edges = edges.join(excluded, f"{end}_id", "left_anti")
-    return edges
+    return edges.select(*columns)
 
 
 def proper_edges(edges: DataFrame) -> DataFrame:
