@@ -11,6 +11,12 @@ FIGURE_PREFIX = "FIGREF"
 IMAGE_FIELDS = ("author", "width", "height", "url", "download_url")
 
 
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row. Without this the optimizer may copy the expression behind
+    the value into the lambdas that use it, where it runs again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def clean_paragraphs(body: Column) -> Column:
     """Paragraphs without citation spans. Reference spans that name a figure stay as ``figures_in_paragraph``,
     which is null when there is none."""
@@ -21,11 +27,6 @@ def clean_paragraphs(body: Column) -> Column:
     return F.transform(body, clean)
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once and used inside nested lambdas."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def sections(paragraphs: Column, as_coded: bool = False) -> Column:
     """Paragraphs grouped into ``{section_title, paragraphs}``, sections in order of first appearance.
 
@@ -56,9 +57,9 @@ def sections(paragraphs: Column, as_coded: bool = False) -> Column:
 def add_images(figures: Column, images: Column) -> Column:
     """Figure map with the image fields of ``images`` (map from figure id to image, null where there is none)."""
     def enrich(key, figure):
-        image = F.try_element_at(images, key)
-        return F.struct(figure["text"].alias("text"), figure["type"].alias("type"),
-                        *[image[field].alias(field) for field in IMAGE_FIELDS])
+        return _bind(F.try_element_at(images, key), lambda image: F.struct(
+            figure["text"].alias("text"), figure["type"].alias("type"),
+            *[image[field].alias(field) for field in IMAGE_FIELDS]))
     return F.transform_values(figures, enrich)
 
 
@@ -72,9 +73,11 @@ def describe_references(paragraphs: Column, figures: Column) -> Column:
                         F.when(known, figure["text"]).otherwise(ref["text"]).alias("text"),
                         F.when(known, ref["text"]).alias("caption"),
                         figure["type"].alias("type"), *[figure[field].alias(field) for field in IMAGE_FIELDS])
-    look_up = lambda ref: F.struct(ref.alias("ref"), F.try_element_at(figures, ref["ref_id"]).alias("figure"))
-    return F.transform(paragraphs, lambda p: p.withField(
-        "figures_in_paragraph", F.transform(F.transform(p["figures_in_paragraph"], look_up), describe)))
+    def describe_all(figures):
+        look_up = lambda ref: F.struct(ref.alias("ref"), F.try_element_at(figures, ref["ref_id"]).alias("figure"))
+        return F.transform(paragraphs, lambda p: p.withField(
+            "figures_in_paragraph", F.transform(F.transform(p["figures_in_paragraph"], look_up), describe)))
+    return _bind(figures, describe_all)
 
 
 def list_figures(figures: Column) -> Column:

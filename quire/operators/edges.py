@@ -44,7 +44,7 @@ def drop_edges(edges: DataFrame, ids: DataFrame, ends: tuple[str, ...] = ("start
     """Drop edges that touch an id of ``ids`` (its first column) at one of the named ends."""
     columns = edges.columns
     for end in ends:
-        excluded = ids.select(F.col(ids.columns[0]).alias(f"{end}_id"))
+        excluded = ids.select(F.col(ids.columns[0]).alias(f"{end}_id")).distinct()
         edges = edges.join(excluded, f"{end}_id", "left_anti")
     return edges.select(*columns)
 

@@ -5,6 +5,8 @@ rows: ``part`` is 0 for the only row of an ordinary key and 0, 1, 2, ... for a h
 part, so exploding the list column gives back the edge table.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,15 +23,12 @@ def hub_keys(rows: DataFrame, keys: list[str], max_items: int = MAX_ITEMS) -> Da
         *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts"))
 
 
-def _tag(rows: DataFrame, keys: list[str], max_items: int) -> DataFrame:
-    """Add ``_parts``, null for ordinary keys. The broadcast side is bounded by MAX_HUBS."""
-    return rows.join(F.broadcast(hub_keys(rows, keys, max_items)), keys, "left")
-
-
 def assign_parts(rows: DataFrame, keys: list[str], item: str, max_items: int = MAX_ITEMS) -> DataFrame:
     """Add ``part``: 0 for ordinary keys, spread by a hash of ``item`` for hubs. Rows are distinct."""
     part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0)).cast("int")
-    return _tag(rows, keys, max_items).withColumn("part", part).drop("_parts")
+    # The broadcast side has at most MAX_HUBS rows.
+    return (rows.join(F.broadcast(hub_keys(rows, keys, max_items)), keys, "left")
+            .withColumn("part", part).drop("_parts"))
 
 
 def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:
@@ -38,24 +37,26 @@ def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, max_it
     Items of a hub are first counted per value, so copies collapse before the shuffle; they are then laid out in
     blocks of at most ``max_items`` and spread over the parts by hash.
     """
-    tagged = _tag(rows.select(*keys, item).dropna(subset=keys), keys, max_items)
+    rows = reduce(lambda df, key: df.filter(F.col(key).isNotNull()), keys, rows.select(*keys, item))
+    # At most MAX_HUBS rows; both joins below share one broadcast.
+    hubs = F.broadcast(hub_keys(rows, keys, max_items))
 
-    ordinary = (tagged.filter(F.col("_parts").isNull())
+    ordinary = (rows.join(hubs, keys, "left").filter(F.col("_parts").isNull())
                 .groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
                 .select(*keys, F.lit(0).alias("part"), name))
 
-    blocks = (tagged.filter(F.col("_parts").isNotNull())
+    blocks = (rows.join(hubs, keys)
               .groupBy(*keys, "_parts", item).agg(F.count("*").alias("_copies"))
               .withColumn("_block", F.explode(F.sequence(
                   F.lit(0), F.expr(f"cast((_copies - 1) div {max_items} as int)"))))
               .withColumn("_copies", F.least(F.col("_copies") - F.col("_block") * max_items, F.lit(max_items)))
               .withColumn("part", F.pmod(F.xxhash64(item) + F.col("_block"), F.col("_parts")).cast("int")))
-    hubs = (blocks.groupBy(*keys, "part")
-            .agg(F.sort_array(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_copies").alias("n"))))
-                 .alias("_items"))
-            .select(*keys, "part", F.flatten(F.transform(
-                "_items", lambda x: F.array_repeat(x["v"], x["n"].cast("int")))).alias(name)))
-    return ordinary.unionByName(hubs)
+    spread = (blocks.groupBy(*keys, "part")
+              .agg(F.sort_array(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_copies").alias("n"))))
+                   .alias("_items"))
+              .select(*keys, "part", F.flatten(F.transform(
+                  "_items", lambda x: F.array_repeat(x["v"], x["n"].cast("int")))).alias(name)))
+    return ordinary.unionByName(spread)
 
 
 def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:

@@ -18,8 +18,8 @@ def first_n_matching(df: DataFrame, predicate: Column, n: int | None, order: lis
 
 
 def keep_related(df: DataFrame, others: DataFrame, on: list[str]) -> DataFrame:
-    """Rows with a match in ``others``. No id list goes through the driver."""
-    return df.join(others, on, "left_semi").select(*df.columns)
+    """Rows with a match in ``others``. No id list goes through the driver; repeated ids collapse before the join."""
+    return df.join(others.select(*on).distinct(), on, "left_semi").select(*df.columns)
 
 
 def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:

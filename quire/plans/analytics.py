@@ -151,7 +151,7 @@ def venues_of_affiliation(bib: Bibliography, affiliation: str = AFFILIATION,
         counts = (written.join(placed, "article_id")
                   .groupBy("journal_id").agg(F.sum("_listed").alias("articles")))
     else:
-        written = bib.authored_by.join(authors, "author_id", "left_semi")
+        written = bib.authored_by.join(authors, "author_id", "left_semi").select("article_id").distinct()
         counts = (placed.join(written, "article_id", "left_semi")
                   .groupBy("journal_id").agg(F.count("*").alias("articles")))
     return (counts.filter(F.col("articles") >= min_count)

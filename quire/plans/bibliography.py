@@ -24,22 +24,21 @@ class Bibliography:
     @classmethod
     def from_tables(cls, articles: DataFrame, authors: DataFrame, journals: DataFrame) -> "Bibliography":
         """From the tables of `quire.plans.tables`; citation counts come from the list sizes, without a shuffle."""
-        articles = articles.withColumnRenamed("ID", "article_id")
+        sized = (articles.withColumnRenamed("ID", "article_id")
+                 .withColumn("incoming_count", list_size(F.col("incoming_citations")).cast("long"))
+                 .drop("authors_ids", "citations", "incoming_citations"))
         authors = authors.withColumnRenamed("ID", "author_id")
-        size = list_size(F.col("incoming_citations"))
-        if "part" in articles.columns:
-            # Further parts exist for hubs only.
-            more = (articles.filter("part > 0").groupBy("article_id").agg(F.sum(size).alias("_more")))
-            whole = articles.filter("part = 0").join(more, "article_id", "left")
-            articles_one = whole.withColumn("incoming_count", (size + F.coalesce("_more", F.lit(0))).cast("long"))
-        else:
-            articles_one = articles.withColumn("incoming_count", size.cast("long"))
-        lists = ["authors_ids", "citations", "incoming_citations", "part", "_more"]
-        one = lambda df: df.filter("part = 0").drop("part") if "part" in df.columns else df
+        one_row = lambda df: df.filter("part = 0").drop("part") if "part" in df.columns else df
+        if "part" in sized.columns:
+            # Only hubs have further parts, so this side has at most MAX_HUBS rows.
+            more = sized.filter("part > 0").groupBy("article_id").agg(F.sum("incoming_count").alias("_more"))
+            sized = (one_row(sized).join(F.broadcast(more), "article_id", "left")
+                     .withColumn("incoming_count", F.col("incoming_count") + F.coalesce("_more", F.lit(0)))
+                     .drop("_more"))
         return cls(
-            authors=one(authors).drop("written_articles_ids"),
-            articles=articles_one.drop(*lists),
-            journals=one(journals).drop("Articles"),
+            authors=one_row(authors).drop("written_articles_ids"),
+            articles=sized,
+            journals=one_row(journals).drop("Articles"),
             authored_by=explode_list(authors, "author_id", "written_articles_ids", "article_id"),
         )
 

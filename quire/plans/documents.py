@@ -93,10 +93,10 @@ def citation_records(documents: DataFrame, id_col: str, title_col: str, authors:
     ).alias("citation"))
 
 
-def citation_lists(cited: DataFrame, edges: DataFrame, id_col: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(id_col, part, citations[]) by reference id from distinct edges; edges to unknown ids drop out. A document
-    that cites more than ``max_items`` others has several parts."""
-    linked = assign_parts(edges, ["start_id"], "end_id", max_items).join(cited, "end_id")
+def citation_lists(cited: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
+    """(id_col, part, citations[]) by reference id from edges (start_id, end_id, part); edges to unknown ids drop
+    out."""
+    linked = edges.join(cited, "end_id")
     return (linked.groupBy(F.col("start_id").alias(id_col), "part")
             .agg(F.sort_array(F.collect_list("citation")).alias("citations")))
 
@@ -107,12 +107,16 @@ def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, kn
     point to them; ``influentialcitationcount`` goes away. Self-citations, repeats and edges from or to other
     documents do not count.
 
+    A document that cites more than ``max_items`` others has several parts.
+
     ``cited`` comes from `citation_records` and ``known`` holds the document ids. Both are taken from early, slim
     forms of the documents, so that their texts are not built again for them.
     """
     sources = known.select(F.col(id_col).alias("start_id"))
-    inside = proper_edges(edges).join(sources, "start_id", "left_semi")
-    lists = citation_lists(cited, inside, id_col, max_items)
+    # Parts come first: the count behind them must not sit on top of a join that has one hot key.
+    tagged = assign_parts(proper_edges(edges), ["start_id"], "end_id", max_items)
+    inside = tagged.join(sources, "start_id", "left_semi")
+    lists = citation_lists(cited, inside, id_col)
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
     return attach_lists(counted, id_col, {"citations": lists}).withColumn(
@@ -172,21 +176,23 @@ def aggregate_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, te
     """(doc, part, sections[{section_title, paragraphs[]}]) from paragraphs kept as rows.
 
     A document with more than ``max_items`` positions has several parts; a section that spans parts appears in
-    each of them. Sections and paragraphs are in order of position.
+    each of them. Within a part, sections come in order of first appearance and paragraphs in order of position.
     """
+    position = F.col(pos).alias("pos")
+    part = F.expr(f"cast(`{pos}` div {max_items} as int)").alias("part")
     if as_coded:
         numbered = number_sections(paragraphs, doc, pos, title, max_items)
         starts = numbered.groupBy(doc, "section_no").agg(F.min_by(title, pos).alias("section_title"))
-        rows = numbered.drop(title).join(starts, [doc, "section_no"]).withColumnRenamed("section_title", title)
+        rows = numbered.join(starts, [doc, "section_no"])
+        keys = [doc, part, "section_no", "section_title"]
+        order = F.col("section_no")
     else:
-        first = paragraphs.groupBy(doc, title).agg(F.min(pos).alias("section_no"))
-        same_title = (paragraphs[doc] == first[doc]) & paragraphs[title].eqNullSafe(first[title])
-        rows = paragraphs.join(first, same_title).select(paragraphs["*"], first["section_no"])
-    part = F.expr(f"cast(`{pos}` div {max_items} as int)").alias("part")
-    grouped = (rows.groupBy(doc, part, "section_no", F.col(title).alias("section_title"))
-               .agg(F.sort_array(F.collect_list(F.struct(F.col(pos).alias("pos"), F.col(text).alias("text"))))
-                    .alias("_p")))
-    section = F.struct("section_no", "section_title", F.col("_p.text").alias("paragraphs")).alias("section")
+        rows = paragraphs
+        keys = [doc, part, F.col(title).alias("section_title")]
+        order = F.col("_p")[0]["pos"]
+    grouped = rows.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(position, F.col(text).alias("text")))).alias("_p"))
+    section = F.struct(order.alias("section_no"), "section_title", F.col("_p.text").alias("paragraphs")).alias("section")
     return (grouped.select(doc, "part", section).groupBy(doc, "part")
             .agg(F.sort_array(F.collect_list("section")).alias("_sections"))
             .select(doc, "part", F.transform("_sections", lambda s: s.dropFields("section_no")).alias("sections")))
