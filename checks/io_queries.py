@@ -1,8 +1,5 @@
 """Sources and sinks: whole driver tables are written to scratch space, read back and compared."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from quire.operators.lists import adjacency_lists
@@ -11,34 +8,28 @@ from quire.sinks import tables as TS
 from quire.sources.documents import read_jsonl
 from quire.sources.tables import read_parquet, read_table, read_with_header_file
 
-from checks.registry import query
+from checks.registry import query, scratch
 from checks.views import cites, table, with_views
 
 
-def _scratch(spark, name):
-    """A new folder in the space all executors share; a temporary one where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/{name}-{uuid.uuid4().hex}" if base else f"{tempfile.mkdtemp(prefix='quire-')}/{name}"
-
-
 @query("SELECT doc_id, text, lang FROM documents")
 def csv_roundtrip(spark, folder):
     """Texts with separators, quotes and line breaks."""
-    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), _scratch(spark, "csv")
+    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "csv")
     TS.write_table(documents, path)
     return read_table(spark, path, documents.schema)
 
 
 @query("SELECT doc_id, text, lang FROM documents")
 def tsv_roundtrip(spark, folder):
-    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), _scratch(spark, "tsv")
+    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "tsv")
     TS.write_table(documents, path, sep="\t")
     return read_table(spark, path, documents.schema, sep="\t")
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def csv_inferred(spark, folder):
-    path = _scratch(spark, "csv")
+    path = scratch(spark, "csv")
     TS.write_table(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
     return read_table(spark, path).withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
 
@@ -49,28 +40,28 @@ def sidecar_header(spark, folder):
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.array("p_brand", "p_type").alias("ee"),
         F.col("p_size").alias("year"))
-    path = _scratch(spark, "graph")
+    path = scratch(spark, "graph")
     listing = TS.export_graph(spark, {"Publication:Article": parts}, {}, path).first()
     return read_with_header_file(spark, listing.data, listing.header).withColumn("ee", F.array_join("ee", ","))
 
 
 @query(with_views("cites", "SELECT start_id, end_id FROM cites"))
 def graph_export(spark, folder):
-    path = _scratch(spark, "graph")
+    path = scratch(spark, "graph")
     listing = TS.export_graph(spark, {}, {"CITES": cites(spark, folder)}, path).first()
     return read_with_header_file(spark, listing.data, listing.header)
 
 
 @query("SELECT doc_id, text, lang FROM documents")
 def jsonl_roundtrip(spark, folder):
-    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), _scratch(spark, "jsonl")
+    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "jsonl")
     JS.write_documents(documents, path)
     return read_jsonl(spark, path, documents.schema)
 
 
 @query(with_views("cites", "SELECT start_id, end_id FROM cites"))
 def parquet_roundtrip(spark, folder):
-    path = _scratch(spark, "lists")
+    path = scratch(spark, "lists")
     TS.write_parquet(adjacency_lists(cites(spark, folder), "start_id", "end_id", "citations"), path)
     return read_parquet(spark, path).select("start_id", F.explode("citations").alias("end_id"))
 
@@ -78,7 +69,7 @@ def parquet_roundtrip(spark, folder):
 @query("SELECT c_custkey, c_name FROM customer")
 def materialize_once(spark, folder):
     """The second call finds the table and does not build it again."""
-    path = _scratch(spark, "table")
+    path = scratch(spark, "table")
     customers = table(spark, folder, "customer").select("c_custkey", "c_name")
     TS.materialize(spark, lambda: customers, path)
     return TS.materialize(spark, lambda: customers.limit(0), path)

@@ -1,5 +1,7 @@
 """Registered queries and the SQL that must give the same rows."""
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,3 +18,9 @@ def query(sql: str | None = None):
             ORACLES[make.__name__] = sql
         return make
     return register
+
+
+def scratch(spark, name):
+    """A new folder in the space all executors share; a temporary one where the session names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{base}/{name}-{uuid.uuid4().hex}" if base else f"{tempfile.mkdtemp(prefix='quire-')}/{name}"

@@ -9,8 +9,9 @@ from quire.plans import analytics as A
 from quire.plans import tables as T
 from quire.plans.bibliography import Bibliography
 from quire.plans.graph import build_graph
+from quire.sinks.tables import write_parquet
 
-from checks.registry import query
+from checks.registry import query, scratch
 from checks.views import authored_by, authors, cites, journals, raw_cites, table, with_views
 
 
@@ -250,8 +251,17 @@ ranked AS (SELECT author_id, n, row_number() OVER (PARTITION BY author_id ORDER
            WHERE o_orderstatus <> 'P'),
 best AS (SELECT author_id, max(rn) AS h FROM ranked WHERE n >= rn GROUP BY author_id)
 SELECT author_id, name, coalesce(h, 0) AS h_index FROM author LEFT JOIN best USING (author_id)"""))
-def h_index_from_tables(spark, folder):
-    return A.h_index(_bibliography_from_tables(spark, folder))
+def h_index_from_stored_tables(spark, folder):
+    """Tables with list columns are written, loaded with their final types, and queried."""
+    path = scratch(spark, "tables")
+    published = _published_in(spark, folder)
+    write_parquet(T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder), published,
+                                  cites(spark, folder)), f"{path}/article")
+    write_parquet(T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
+                                 _authored_edges(spark, folder)), f"{path}/author")
+    write_parquet(T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published),
+                  f"{path}/journal")
+    return A.h_index(T.load_bibliography(spark, path))
 
 
 @query(with_views("incoming", """

@@ -4,6 +4,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row. Without this the optimizer may copy the expression behind
+    the value into the lambdas that use it, where it runs again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def first_element(values: Column) -> Column:
     """First element; null for an empty or null array."""
     return F.get(values, 0)

@@ -7,23 +7,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.arrays import bind
+
 FIGURE_PREFIX = "FIGREF"
 IMAGE_FIELDS = ("author", "width", "height", "url", "download_url")
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once per row. Without this the optimizer may copy the expression behind
-    the value into the lambdas that use it, where it runs again for every element."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def clean_paragraphs(body: Column) -> Column:
     """Paragraphs without citation spans. Reference spans that name a figure stay as ``figures_in_paragraph``,
     which is null when there is none."""
     def clean(paragraph):
         named = F.filter(paragraph["ref_spans"], lambda ref: ref["ref_id"].isNotNull())
         return F.struct(paragraph["section"].alias("section"), paragraph["text"].alias("text"),
-                        F.when(F.size(named) > 0, named).alias("figures_in_paragraph"))
+                        bind(named, lambda refs: F.when(F.size(refs) > 0, refs)).alias("figures_in_paragraph"))
     return F.transform(body, clean)
 
 
@@ -48,16 +44,16 @@ def sections(paragraphs: Column, as_coded: bool = False) -> Column:
             F.when(start["key"].startswith("t"), F.substring(start["key"], 2, 2**31 - 1)).alias("section_title"),
             F.transform(F.filter(env["paragraphs"], lambda p, i: member(p, i, start, F.get(starts, k + 1))),
                         lambda p: p.dropFields("section")).alias("paragraphs")))
-        return _bind(starts, section)
+        return bind(starts, section)
 
     return F.when(paragraphs.isNotNull(),
-                  _bind(F.struct(keys.alias("keys"), paragraphs.alias("paragraphs")), group))
+                  bind(F.struct(keys.alias("keys"), paragraphs.alias("paragraphs")), group))
 
 
 def add_images(figures: Column, images: Column) -> Column:
     """Figure map with the image fields of ``images`` (map from figure id to image, null where there is none)."""
     def enrich(key, figure):
-        return _bind(F.try_element_at(images, key), lambda image: F.struct(
+        return bind(F.try_element_at(images, key), lambda image: F.struct(
             figure["text"].alias("text"), figure["type"].alias("type"),
             *[image[field].alias(field) for field in IMAGE_FIELDS]))
     return F.transform_values(figures, enrich)
@@ -77,7 +73,7 @@ def describe_references(paragraphs: Column, figures: Column) -> Column:
         look_up = lambda ref: F.struct(ref.alias("ref"), F.try_element_at(figures, ref["ref_id"]).alias("figure"))
         return F.transform(paragraphs, lambda p: p.withField(
             "figures_in_paragraph", F.transform(F.transform(p["figures_in_paragraph"], look_up), describe)))
-    return _bind(figures, describe_all)
+    return bind(figures, describe_all)
 
 
 def list_figures(figures: Column) -> Column:

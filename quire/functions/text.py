@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import bind
+
 # A quoted string with its backslash escapes, or a run of text outside quotes.
 _LITERAL_TOKEN = r"""('[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++)"""
 _HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
@@ -41,10 +43,10 @@ def parse_date(text: Column) -> Column:
 
 def derive_email(name: Column, fallback_prefix: str, domain: str = "gmail.com") -> Column:
     """First and second word of the name at the domain; a one-word name gets the prefix instead."""
+    at_domain = lambda *parts: F.concat(*parts, F.lit(f"@{domain}"))
     words = F.filter(F.split(name, r"(?U)\s+"), lambda word: word != "")
-    first, second = F.get(words, 0), F.get(words, 1)
-    return F.when(second.isNotNull(), F.concat(first, second, F.lit(f"@{domain}"))).otherwise(
-        F.concat(F.lit(fallback_prefix), first, F.lit(f"@{domain}")))
+    return bind(words, lambda w: F.when(F.size(w) > 1, at_domain(F.get(w, 0), F.get(w, 1)))
+                .otherwise(at_domain(F.lit(fallback_prefix), F.get(w, 0))))
 
 
 # The keyword list of the document collection.
@@ -56,5 +58,5 @@ KEYWORDS = [
 
 def tag_keywords(text: Column, vocabulary: list[str] = KEYWORDS) -> Column:
     """Words of the vocabulary (upper case) that the whole text contains, in vocabulary order."""
-    upper = F.upper(text)
-    return F.array_compact(F.array(*[F.when(upper.contains(word), F.lit(word)) for word in vocabulary]))
+    return bind(F.upper(text), lambda upper: F.array_compact(
+        F.array(*[F.when(upper.contains(word), F.lit(word)) for word in vocabulary])))
