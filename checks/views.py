@@ -16,8 +16,15 @@ from pyspark.sql import functions as F
 from quire.plans.bibliography import Bibliography
 
 
+_SCHEMAS = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table. Its schema is read once per process, so that later queries need not open the file for it."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:

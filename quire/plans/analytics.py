@@ -30,10 +30,13 @@ def _named(bib: Bibliography, name: str | None) -> DataFrame:
     return authors if name is None else authors.filter(F.col("name") == name)
 
 
+def _authorships(bib: Bibliography, name: str | None) -> DataFrame:
+    return bib.authored_by if name is None else bib.authorships(F.col("name") == name)
+
+
 def articles_by_author(bib: Bibliography, pattern: str = AUTHOR_PATTERN) -> DataFrame:
     """Articles of the authors whose name matches a regular expression: name, article id, url."""
-    authors = bib.authors.filter(F.col("name").rlike(pattern)).select("author_id", "name")
-    return (bib.authored_by.join(authors, "author_id")
+    return (bib.authorships(F.col("name").rlike(pattern))
             .join(bib.articles.select("article_id", "url"), "article_id")
             .select("name", "article_id", "url"))
 
@@ -48,7 +51,7 @@ def works_of_top_authors(bib: Bibliography, k: int = TOP_AUTHORS) -> DataFrame:
     """Articles of the ``k`` authors with the highest citation count: title, citationcount, name."""
     top = (bib.authors.select("author_id", "citationcount", "name")
            .orderBy(F.desc("citationcount"), "author_id").limit(k))
-    return (bib.authored_by.join(top, "author_id")
+    return (bib.authorships_of(top)
             .join(bib.articles.select("article_id", "title"), "article_id")
             .select("title", "citationcount", "name"))
 
@@ -68,10 +71,7 @@ def _citation_histogram(bib: Bibliography, name: str | None) -> DataFrame:
     An author with C citations in all has at most about sqrt(2 C) different numbers, so this table is small for
     any author, and it is counted before the shuffle.
     """
-    authored = bib.authored_by
-    if name is not None:
-        authored = authored.join(_named(bib, name), "author_id", "left_semi")
-    return (authored.join(bib.incoming_counts(), "article_id")
+    return (_authorships(bib, name).join(bib.incoming_counts(), "article_id")
             .groupBy("author_id", F.col("incoming_count").alias("citations"))
             .agg(F.count("*").alias("articles")))
 
@@ -118,10 +118,7 @@ def years_with_cited_articles(bib: Bibliography, min_articles: int = MIN_ARTICLE
 def i_index(bib: Bibliography, name: str | None = None, threshold: int = I_INDEX_CITATIONS) -> DataFrame:
     """Number of an author's articles with at least ``threshold`` citations (author_id, name, i_index)."""
     cited = bib.incoming_counts().filter(F.col("incoming_count") >= threshold)
-    authored = bib.authored_by
-    if name is not None:
-        authored = authored.join(_named(bib, name), "author_id", "left_semi")
-    counts = (authored.join(cited, "article_id", "left_semi")
+    counts = (_authorships(bib, name).join(cited, "article_id", "left_semi")
               .groupBy("author_id").agg(F.count("*").alias("i_index")))
     return (_named(bib, name).join(counts, "author_id", "left")
             .select("author_id", "name", F.coalesce("i_index", F.lit(0)).alias("i_index")))
@@ -143,16 +140,14 @@ def venues_of_affiliation(bib: Bibliography, affiliation: str = AFFILIATION,
 
     An article with two such authors counts once; with ``as_coded`` it counts once per authorship.
     """
-    authors = bib.authors.filter(F.array_contains("affiliations", affiliation))
+    written = bib.authorships(F.array_contains("affiliations", affiliation))
     placed = bib.articles.filter(F.col("journal_id").isNotNull()).select("article_id", "journal_id")
     if as_coded:
         listed = F.size(F.filter("affiliations", lambda a: a == affiliation)).alias("_listed")
-        written = bib.authored_by.join(authors.select("author_id", listed), "author_id")
-        counts = (written.join(placed, "article_id")
+        counts = (written.select("article_id", listed).join(placed, "article_id")
                   .groupBy("journal_id").agg(F.sum("_listed").alias("articles")))
     else:
-        written = bib.authored_by.join(authors, "author_id", "left_semi").select("article_id").distinct()
-        counts = (placed.join(written, "article_id", "left_semi")
+        counts = (placed.join(written.select("article_id").distinct(), "article_id", "left_semi")
                   .groupBy("journal_id").agg(F.count("*").alias("articles")))
     return (counts.filter(F.col("articles") >= min_count)
             .join(bib.journals.select("journal_id", "name"), "journal_id")

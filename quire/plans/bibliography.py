@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import list_size
@@ -12,14 +12,18 @@ from quire.operators.lists import degree, explode_list
 @dataclass(frozen=True)
 class Bibliography:
     """authors (author_id, name, citationcount, affiliations), articles (article_id, title, year, journal_id, ...),
-    journals (journal_id, name), authored_by (article_id, author_id) and cites (start_id, end_id) or, in its
-    place, a column ``incoming_count`` of ``articles``."""
+    journals (journal_id, name) and authored_by (article_id, author_id).
+
+    Citations are edges, cites (start_id, end_id), or a column ``incoming_count`` of ``articles``. Where the authors
+    come with lists of their articles, ``written`` holds these (author_id, part, written_articles_ids, ...).
+    """
 
     authors: DataFrame
     articles: DataFrame
     journals: DataFrame
     authored_by: DataFrame
     cites: DataFrame | None = None
+    written: DataFrame | None = None
 
     @classmethod
     def from_tables(cls, articles: DataFrame, authors: DataFrame, journals: DataFrame) -> "Bibliography":
@@ -28,6 +32,8 @@ class Bibliography:
                  .withColumn("incoming_count", list_size(F.col("incoming_citations")).cast("long"))
                  .drop("authors_ids", "citations", "incoming_citations"))
         authors = authors.withColumnRenamed("ID", "author_id")
+        if "part" not in authors.columns:
+            authors = authors.withColumn("part", F.lit(0))
         one_row = lambda df: df.filter("part = 0").drop("part") if "part" in df.columns else df
         if "part" in sized.columns:
             # Only hubs have further parts, so this side has at most MAX_HUBS rows.
@@ -40,8 +46,30 @@ class Bibliography:
             articles=sized,
             journals=one_row(journals).drop("Articles"),
             authored_by=explode_list(authors, "author_id", "written_articles_ids", "article_id"),
+            written=authors,
         )
 
+    def authorships(self, where: Column) -> DataFrame:
+        """(author_id, name, affiliations, article_id) of the authors that meet a condition.
+
+        Of stored lists only those of these authors are exploded, and the condition reaches the scan.
+        """
+        attributes = ["author_id", "name", "affiliations"]
+        if self.written is None:
+            return self.authored_by.join(self.authors.filter(where).select(*attributes), "author_id")
+        chosen = self.written.filter((F.col("part") == 0) & where)
+        further = (self.written.filter("part > 0").select("author_id", "written_articles_ids")
+                   .join(chosen.select(*attributes), "author_id"))
+        lists = chosen.select(*attributes, "written_articles_ids").unionByName(further)
+        return lists.select(*attributes, F.explode("written_articles_ids").alias("article_id"))
+
+    def authorships_of(self, authors: DataFrame) -> DataFrame:
+        """``authors`` (author_id, ...) with an ``article_id`` for each of their articles."""
+        if self.written is None:
+            return self.authored_by.join(authors, "author_id")
+        lists = self.written.select("author_id", "written_articles_ids").join(authors, "author_id")
+        return lists.select(*authors.columns, F.explode("written_articles_ids").alias("article_id"))
+
     def incoming_counts(self) -> DataFrame:
         """(article_id, incoming_count) of articles that are cited at least once."""
         if self.cites is None:

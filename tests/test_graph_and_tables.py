@@ -140,6 +140,11 @@ def test_tables_written_and_loaded(spark, tmp_path):
         assert _rows(bib.authors, "author_id", "orcid", "affiliations") == [(1, "0-1", ["X", "Y's"]), (2, None, None)]
         assert _rows(bib.journals, "journal_id", "NumArticles") == [(7, 3), (8, None)]
         assert _rows(A.h_index(bib), "author_id", "h_index") == [(1, 1), (2, 0)]
+        # Ann's list has several parts when lists are short; all of them count.
+        assert _rows(A.articles_by_author(bib, "Ann"), "article_id", "name") == [(i, "Ann") for i in range(1, 6)]
         assert A.articles_by_author(bib, "Ann").first().url == [""]
+        assert A.h_index(bib, "Ann").first().h_index == 1 and A.i_index(bib, "Ann", 1).first().i_index == 2
+        assert A.works_of_top_authors(bib, 1).count() == 5
+        assert _rows(A.venues_of_affiliation(bib, "Y's", 1), "name", "articles") == [("J", 3)]
         assert not bib.articles.schema["article_id"].nullable
         assert _rows(A.years_with_cited_articles(bib, 1, 4), "year", "articles") == [(2000, 1)]
