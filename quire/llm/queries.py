@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quire.llm import secrets, sql
 from quire.llm.near_duplicates import near_duplicates
-from quire.llm.store import ship
+from quire.llm.store import ship, stored
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,5 +19,21 @@ def op8_minhash_near_dedup(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
 
 
+def op10_secret_scan(spark, folder):
+    """Secrets of every document; each distinct text is scanned once and its findings go to all documents with it."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ledger = stored(secrets.scan(docs), "ledger")
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE]
+    return secrets.findings(docs, ledger).select("doc_id", *counts, F.sha2(joined(of(*secrets.BASE)), 256).alias("base_sha256"),
+                                                 joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {name: make for name, make in list(globals().items()) if name.startswith("op")}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_secret_scan": sql.secret_scan()}
