@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import secrets, sql
+from quire.llm import quality, secret_scan, sql
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.store import ship, stored
 
@@ -14,6 +14,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def held_out():
+    """Whether a document's label must not be learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def quality_model(spark, docs, folder):
+    """Trained on the labels of documents that are not held out."""
+    return quality.fit(docs.filter(~held_out()), table(spark, folder, "labels").filter(~held_out()))
+
+
+def op3_quality_classifier(spark, folder):
+    """Quality score of every whole text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(spark, docs, folder), keep=["doc_id"])
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_minhash_near_dedup(spark, folder):
     """Links at 85 % of distinct 3-word shingles, over all documents."""
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
@@ -22,7 +40,7 @@ def op8_minhash_near_dedup(spark, folder):
 def op10_secret_scan(spark, folder):
     """Secrets of every document; each distinct text is scanned once and its findings go to all documents with it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ledger = stored(secrets.scan(docs), "ledger")
+    ledger = stored(secret_scan.scan(docs), "ledger")
 
     def of(*kinds):
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
@@ -30,8 +48,8 @@ def op10_secret_scan(spark, folder):
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.BASE]
-    return secrets.findings(docs, ledger).select("doc_id", *counts, F.sha2(joined(of(*secrets.BASE)), 256).alias("base_sha256"),
+    counts = [F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.BASE]
+    return secret_scan.findings(docs, ledger).select("doc_id", *counts, F.sha2(joined(of(*secret_scan.BASE)), 256).alias("base_sha256"),
                                                  joined(F.col("spans")).alias("spans"))
 
 
