@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.llm import quality, secret_scan, sql
+from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.store import ship, stored
 
@@ -32,6 +33,11 @@ def op3_quality_classifier(spark, folder):
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_benchmark_decontamination(spark, folder):
+    """Benchmark items of which a document holds four fifths or more of the 5-word shingles."""
+    return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_minhash_near_dedup(spark, folder):
     """Links at 85 % of distinct 3-word shingles, over all documents."""
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
@@ -54,4 +60,7 @@ def op10_secret_scan(spark, folder):
 
 
 QUERIES = {name: make for name, make in list(globals().items()) if name.startswith("op")}
-ORACLES: dict[str, str] = {"op10_secret_scan": sql.secret_scan()}
+ORACLES: dict[str, str] = {
+    "op4_benchmark_decontamination": sql.contained_items(),
+    "op10_secret_scan": sql.secret_scan(),
+}

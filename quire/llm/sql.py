@@ -40,3 +40,23 @@ summed AS (
 SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM docs d LEFT JOIN summed USING (doc_id)"""
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def contained_items() -> str:
+    def sets(table, key):
+        return f"""
+  SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+        FROM (SELECT {key}, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                               '[^\\x20\\x09-\\x0D!-/:-@\\[-`{{-~]+') AS w
+              FROM {table} WHERE text IS NOT NULL) WHERE len(w) > 0)"""
+    return f"""
+WITH doc_sets AS ({sets("documents", "doc_id")}),
+item_sets AS ({sets("benchmark", "item_id")}),
+sizes AS (SELECT item_id, count(*) AS n FROM item_sets GROUP BY item_id)
+SELECT doc_id, item_id, any_value(n) AS n_item_shingles, count(*) AS n_shared
+FROM doc_sets JOIN item_sets USING (shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)"""
