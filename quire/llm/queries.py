@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quire.llm import quality, secret_scan, sql
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
+from quire.llm.repeats import remove_repeats
 from quire.llm.store import ship, stored
 
 
@@ -43,6 +44,11 @@ def op8_minhash_near_dedup(spark, folder):
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
 
 
+def op9_suffix_array_dedup(spark, folder):
+    """Bytes in 200-byte strings that also start elsewhere are removed, over all documents."""
+    return remove_repeats(table(spark, folder, "documents"), 200).drop("kept")
+
+
 def op10_secret_scan(spark, folder):
     """Secrets of every document; each distinct text is scanned once and its findings go to all documents with it."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
