@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quire.llm import quality, secret_scan, sql
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
+from quire.llm.neighbours import nearest
 from quire.llm.repeats import remove_repeats
 from quire.llm.store import ship, stored
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_block_matrix_neighbours(spark, folder):
+    """The five nearest rows, by cosine, of every row whose id is divisible by 50."""
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def held_out():
     """Whether a document's label must not be learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -67,6 +73,7 @@ def op10_secret_scan(spark, folder):
 
 QUERIES = {name: make for name, make in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
+    "op1_block_matrix_neighbours": sql.nearest(),
     "op4_benchmark_decontamination": sql.contained_items(),
     "op10_secret_scan": sql.secret_scan(),
 }

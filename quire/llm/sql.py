@@ -60,3 +60,17 @@ sizes AS (SELECT item_id, count(*) AS n FROM item_sets GROUP BY item_id)
 SELECT doc_id, item_id, any_value(n) AS n_item_shingles, count(*) AS n_shared
 FROM doc_sets JOIN item_sets USING (shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)"""
+
+
+def nearest() -> str:
+    return """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+        FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0))
+WHERE rank <= 5"""
