@@ -23,6 +23,16 @@ def halves(similarity: float) -> int:
     return math.ceil(math.log(MISS / 2) / math.log(1 - similarity ** HALF))
 
 
+def alike(similarity: float, n_keys: int) -> int:
+    """Half keys of all 2 * n_keys that a pair at `similarity` has in common, but for a chance of MISS / 10."""
+    chance, tail, n = similarity ** HALF, 0.0, 2 * n_keys
+    for k in range(n + 1):
+        tail += math.comb(n, k) * chance ** k * (1 - chance) ** (n - k)
+        if tail > MISS / 10:
+            return k
+    return n
+
+
 def _sketches(batches, n_words: int, n_keys: int):
     """Set size, a 128-bit name of the set, and the two collections of half keys for each row.
 
@@ -48,12 +58,17 @@ def _sketches(batches, n_words: int, n_keys: int):
                 keys[full, k] = words.mix(keys[full, k] + words.PLACES[8 + k:9 + k])
             names[full, 0] = np.add.reduceat(hashes, at)
             names[full, 1] = np.add.reduceat(words.mix(hashes * words.PLACES[5]), at)
+        # One byte of each half key, seven to a word: enough to estimate a similarity.
+        prints = np.zeros((len(sizes), -(-2 * n_keys // 7)), np.uint64)
+        for k in range(2 * n_keys):
+            prints[:, k // 7] |= (keys[:, k] & np.uint64(255)) << np.uint64(8 * (k % 7))
         halves_of = [pa.FixedSizeListArray.from_arrays(pa.array(part.view(np.int64).ravel()), n_keys).cast(
             pa.list_(pa.int64())) for part in (np.ascontiguousarray(keys[:, :n_keys]),
                                                np.ascontiguousarray(keys[:, n_keys:]))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in names.T.copy()),
-             *halves_of], ["doc_id", "n_shingles", "name_1", "name_2", "left", "right"])
+             *halves_of, *(pa.array(x.view(np.int64)) for x in prints.T.copy())],
+            ["doc_id", "n_shingles", "name_1", "name_2", "left", "right", *(f"p{k}" for k in range(prints.shape[1]))])
 
 
 def _verified(batches, n_words: int, percent: int):
@@ -67,12 +82,18 @@ def _verified(batches, n_words: int, percent: int):
 
 
 def _colliding(docs: DataFrame, side: str) -> DataFrame:
-    """(doc, half key) of one collection, only keys that two documents share."""
+    """(doc, half keys) of one collection, only keys that two documents share."""
     exploded = docs.select("doc", F.explode(side).alias(side))
     shared = exploded.groupBy(side).agg(F.count("*").alias("n")).filter("n > 1").select(side)
     return exploded.join(shared, side).groupBy("doc").agg(F.collect_list(side).alias(side))
 
 
+def _equal_bytes(a: str, b: str) -> str:
+    """SQL for the number of equal bytes among the lower seven of two words."""
+    low = 0x7F7F7F7F7F7F7F
+    return f"bit_count(~((({a} ^ {b}) & {low}) + {low} | ({a} ^ {b}) | {low}) & {low ^ ((1 << 56) - 1)})"
+
+
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -86,7 +107,8 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     - In every table the members are compared with one pivot, then, where members of different components are
       left, with 2, 4, 8, ... pivots, until each such pair of a table was compared or has become one component. So hot
       tables of near copies are settled by the first pivot, and no table has all its pairs emitted.
-    - Every candidate is verified on the full sets of both texts.
+    - A pair of a table is a candidate if sizes and the share of equal half keys allow the similarity (a pair that has
+      it is missed with chance MISS / 10); every candidate is verified on the full sets of both texts.
 
     Null or empty text, or one without words: set size 0, no links. A null id: no links, component_id null, kept.
     Rows that share an id are taken as one document in the links; each still gets its row. Other columns are ignored.
@@ -94,57 +116,70 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     """
     texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     n_keys = halves(percent / 100)
+    prints = [f"p{k}" for k in range(-(-2 * n_keys // 7))]
     rows = stored(texts.mapInArrow(
         lambda batches: _sketches(batches, n_words, n_keys),
-        "doc_id long, n_shingles long, name_1 long, name_2 long, left array<long>, right array<long>"), "sketches")
+        "doc_id long, n_shingles long, name_1 long, name_2 long, left array<long>, right array<long>, "
+        + ", ".join(f"{p} long" for p in prints)), "sketches")
     linkable = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = linkable.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("doc"))
-    sketches = linkable.join(classes.select(F.col("doc").alias("doc_id"), "name_1", "name_2"),
-                             ["doc_id", "name_1", "name_2"]).dropDuplicates(["doc_id", "name_1", "name_2"])
-    sketches = sketches.select(F.col("doc_id").alias("doc"), "left", "right")
-    tables = stored(_colliding(sketches, "left").join(_colliding(sketches, "right"), "doc")
-                    .select("doc", F.explode("left").alias("left"), "right")
-                    .select("doc", "left", F.explode("right").alias("right"))
-                    .select("doc", F.xxhash64("left", "right").alias("table")), "tables")
-    shared = tables.groupBy("table").agg(F.count("*").alias("n"), F.min("doc").alias("pivot")).filter("n > 1")
-    members = stored(tables.join(shared, "table").select("table", "doc", "n", "pivot"), "members")
+    same = linkable.select("doc_id", "name_1", "name_2").join(
+        linkable.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("doc")), ["name_1", "name_2"])
+    same = stored(same.select(F.col("doc_id").alias("a"), F.col("doc").alias("b")).distinct(), "same")
+    sketches = (linkable.join(same.filter("a = b").select(F.col("a").alias("doc_id")), "doc_id", "left_semi")
+                .withColumnRenamed("doc_id", "doc"))
+    edges = same.filter("a <> b")
+
+    member = ["doc", "n_shingles", *prints]
+    tables = (_colliding(sketches, "left").join(_colliding(sketches, "right"), "doc")
+              .select("doc", F.explode("left").alias("left"), "right")
+              .select("doc", "left", F.explode("right").alias("right"))
+              .select("doc", F.xxhash64("left", "right").alias("table")))
+    shared = tables.groupBy("table").agg(F.count("*").alias("n")).filter("n > 1").select("table")
+    members = stored(tables.join(shared, "table").join(sketches.select(member).dropDuplicates(["doc"]), "doc")
+                     .withColumn("component", F.col("doc")), "members")
     wanted = members.select("doc").distinct()
     compared = stored(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi")
                       .select(F.col("doc_id").alias("doc"), "text").dropDuplicates(["doc", "text"]), "texts")
 
-    edges = linkable.join(classes, ["name_1", "name_2"]).select(
-        F.col("doc_id").alias("a"), F.col("doc").alias("b")).filter("a <> b").distinct()
-    edges = stored(edges, "same")
-    pairs = members.filter("doc <> pivot").select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
-    tried, labels, pivots = None, None, 1
+    matches = " + ".join(_equal_bytes(p, f"pivot_{p}") for p in prints)
+    # Bytes that no half key fills are equal in every pair.
+    matches = f"{matches} - {7 * len(prints) - 2 * n_keys} >= {alike(percent / 100, n_keys)}"
+    sizes = f"100 * least(n_shingles, pivot_n_shingles) >= {percent} * greatest(n_shingles, pivot_n_shingles)"
+    left, labels, tried, pivots = members, None, None, 1
     while True:
+        by_table = Window.partitionBy("table").orderBy("doc")
+        chosen = (left.withColumn("place", F.row_number().over(by_table)).filter(F.col("place") <= pivots)
+                  .select("table", *(F.col(c).alias(f"pivot_{c}") for c in (*member, "component"))))
+        near = (F.col("component") != F.col("pivot_component")) & F.expr(sizes) & F.expr(matches)
+        pairs = (left.join(chosen, (left.table == chosen.table) & near)
+                 .select(F.greatest("doc", "pivot_doc").alias("a"), F.least("doc", "pivot_doc").alias("b")).distinct())
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        found = stored(pairs.join(compared.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-                       .join(compared.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-                       .select("a", "b", "text_a", "text_b")
-                       .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long"), "edges")
-        tried = pairs if tried is None else tried.union(pairs)
-        edges = edges.union(found)
-        labels = stored(components(edges), "components")
+        if not pairs.isEmpty():
+            found = stored(pairs.join(compared.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+                           .join(compared.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
+                           .select("a", "b", "text_a", "text_b")
+                           .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long"),
+                           "edges")
+            tried = pairs if tried is None else tried.union(pairs)
+            edges = edges.union(found)
+            labels = stored(components(edges), "components")
         # Tables that still hold untried pairs: more members than pivots, of more than one component.
-        left = members.filter(F.col("n") > pivots + 1).join(
-            labels.select(F.col("node").alias("doc"), F.col("component").alias("has")), "doc", "left").select(
-            "table", "doc", F.coalesce("has", "doc").alias("component"))
-        mixed = left.groupBy("table").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-            "low <> high").select("table")
-        left = stored(left.join(mixed, "table"), "open")
+        now = left
+        if labels is not None:
+            now = left.drop("component").join(
+                labels.select(F.col("node").alias("doc"), F.col("component").alias("has")), "doc", "left").select(
+                "table", *member, F.coalesce("has", "doc").alias("component"))
+        mixed = now.groupBy("table").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
+            f"low <> high AND n > {pivots + 1}").select("table")
+        left = stored(now.join(mixed, "table"), "open")
+        if left.isEmpty():
+            break
         pivots *= 2
-        by_table = Window.partitionBy("table").orderBy("doc")
-        chosen = (left.withColumn("place", F.row_number().over(by_table)).filter(F.col("place") <= pivots)
-                  .select("table", F.col("doc").alias("pivot"), F.col("component").alias("pivot_component")))
-        pairs = (left.join(chosen, "table").filter("component <> pivot_component AND doc <> pivot")
-                 .select(F.greatest("doc", "pivot").alias("a"), F.least("doc", "pivot").alias("b")).distinct()
-                 .join(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"],
-                       "left_anti"))
     if labels is None:
-        labels = components(edges)
+        labels = stored(components(edges), "components")
     named = rows.join(labels, rows.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias(

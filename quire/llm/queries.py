@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import quality, secret_scan, sql
+from quire.llm import quality, secret_scan, sql, url_rules
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.neighbours import nearest
@@ -22,6 +22,20 @@ def op1_block_matrix_neighbours(spark, folder):
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+#: The listed rules of the query.
+LISTED = [url_rules.Rule(f"||{site}", verdict) for site, verdict in (
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
+    ("com/de/", "block"))]
+
+
+def op2_url_filter(spark, folder):
+    """Verdict for every page's url: by the listed rules, else by the rules for spam words."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_rules.judged(pages, [*LISTED, *url_rules.SPAM])
+    return judged.select("page_id", "host", "path", "verdict",
+                         F.when(F.startswith("rule", F.lit("||")), F.substr("rule", F.lit(3))).alias("rule"))
+
+
 def held_out():
     """Whether a document's label must not be learned from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -74,6 +88,7 @@ def op10_secret_scan(spark, folder):
 QUERIES = {name: make for name, make in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
     "op1_block_matrix_neighbours": sql.nearest(),
+    "op2_url_filter": sql.url_filter(),
     "op4_benchmark_decontamination": sql.contained_items(),
     "op10_secret_scan": sql.secret_scan(),
 }

@@ -74,3 +74,24 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   FROM (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
         FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0))
 WHERE rank <= 5"""
+
+
+def url_filter() -> str:
+    listed = [("example.org/en/1", "block"), ("example.org/es/", "block"), ("com/de/", "block"),
+              ("com/fr/", "allow"), ("org/", "allow")]
+    spam = ("casino-win", "cheap-pills", "adserver", "free-money", "hot-singles", "online-casino", "payday-loan",
+            "replica-watches", "viagra", "warez")
+    fits = [(f"regexp_matches(host || path, '^([^/]*\\.)?{site.replace('.', chr(92) + '.')}')", site, verdict)
+            for site, verdict in listed]
+    rule = "CASE " + " ".join(f"WHEN {fit} THEN '{site}'" for fit, site, _ in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {fit} THEN '{verdict}'" for fit, _, verdict in fits)
+    return f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), '{_UPPER}', '{_LOWER}') AS low,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages)
+SELECT page_id, host, path, {rule} AS rule,
+       {verdict} WHEN regexp_matches(low, '(^|[^a-z0-9])({"|".join(spam)})([^a-z0-9]|$)') THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM parts"""
