@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import quality, secret_scan, sql, url_rules
+from quire.llm import pieces, quality, secret_scan, sql, url_rules
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.neighbours import nearest
@@ -59,6 +59,13 @@ def op4_benchmark_decontamination(spark, folder):
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_sentencepiece(spark, folder):
+    """Piece ids of every whole text, and whether they decode to the text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, keep=["doc_id"], check="exact").select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "exact")
+
+
 def op8_minhash_near_dedup(spark, folder):
     """Links at 85 % of distinct 3-word shingles, over all documents."""
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
