@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import pieces, quality, secret_scan, sql, url_rules
+from quire.llm import languages, pieces, quality, secret_scan, sql, url_rules
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.neighbours import nearest
@@ -59,6 +59,14 @@ def op4_benchmark_decontamination(spark, folder):
     return contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_language_id(spark, folder):
+    """Language of every whole text, learned from documents that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = languages.fit(docs.filter(~held_out()))
+    found = languages.identify(docs.select("doc_id", "text"), model, keep=["doc_id"], with_spans=False)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_sentencepiece(spark, folder):
     """Piece ids of every whole text, and whether they decode to the text."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
