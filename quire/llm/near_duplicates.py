@@ -16,6 +16,8 @@ from quire.llm.store import stored
 HALF = 3
 #: Chance that a pair at the threshold shares no table.
 MISS = 2e-5
+#: Times as many pivots in each further round.
+GROWTH = 8
 
 
 def halves(similarity: float) -> int:
@@ -82,10 +84,10 @@ def _verified(batches, n_words: int, percent: int):
 
 
 def _colliding(docs: DataFrame, side: str) -> DataFrame:
-    """(doc, half keys) of one collection, only keys that two documents share."""
-    exploded = docs.select("doc", F.explode(side).alias(side))
-    shared = exploded.groupBy(side).agg(F.count("*").alias("n")).filter("n > 1").select(side)
-    return exploded.join(shared, side).groupBy("doc").agg(F.collect_list(side).alias(side))
+    """(doc, half keys with their places) of one collection, only keys that two documents share."""
+    exploded = docs.select("doc", F.posexplode(side).alias("place", "half"))
+    shared = exploded.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
+    return exploded.join(shared, "half").groupBy("doc").agg(F.collect_list(F.struct("place", "half")).alias(side))
 
 
 def _equal_bytes(a: str, b: str) -> str:
@@ -105,7 +107,7 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     - Documents with one and the same set are one class, with the smallest id as its name; only classes are compared.
     - Half keys that no other class has are dropped; tables are the pairs of those that remain.
     - In every table the members are compared with one pivot, then, where members of different components are
-      left, with 2, 4, 8, ... pivots, until each such pair of a table was compared or has become one component. So hot
+      left, with GROWTH times as many pivots in each round, until each such pair of a table was compared or has become one component. So hot
       tables of near copies are settled by the first pivot, and no table has all its pairs emitted.
     - A pair of a table is a candidate if sizes and the share of equal half keys allow the similarity (a pair that has
       it is missed with chance MISS / 10); every candidate is verified on the full sets of both texts.
@@ -133,7 +135,8 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     tables = (_colliding(sketches, "left").join(_colliding(sketches, "right"), "doc")
               .select("doc", F.explode("left").alias("left"), "right")
               .select("doc", "left", F.explode("right").alias("right"))
-              .select("doc", F.xxhash64("left", "right").alias("table")))
+              .select("doc", F.xxhash64("left.half", "right.half").alias("table"), F.col("left.place").alias("i"),
+                      F.col("right.place").alias("j")))
     shared = tables.groupBy("table").agg(F.count("*").alias("n")).filter("n > 1").select("table")
     members = stored(tables.join(shared, "table").join(sketches.select(member).dropDuplicates(["doc"]), "doc")
                      .withColumn("component", F.col("doc")), "members")
@@ -145,41 +148,46 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     # Bytes that no half key fills are equal in every pair.
     matches = f"{matches} - {7 * len(prints) - 2 * n_keys} >= {alike(percent / 100, n_keys)}"
     sizes = f"100 * least(n_shingles, pivot_n_shingles) >= {percent} * greatest(n_shingles, pivot_n_shingles)"
-    left, labels, tried, pivots = members, None, None, 1
+    near = (F.col("component") != F.col("pivot_component")) & F.expr(sizes) & F.expr(matches)
+    # A pair that meets in several tables is a candidate in the first of them.
+    first = [F.coalesce(*[F.when(F.col(side)[k] == F.col(f"pivot_{side}")[k], k) for k in range(n_keys)])
+             for side in ("left", "right")]
+    once = near & (first[0] == F.col("i")) & (first[1] == F.col("j"))
+    by_table = Window.partitionBy("table").orderBy("doc")
+    left, labels, tried, before, pivots = members, None, None, 0, 1
     while True:
-        by_table = Window.partitionBy("table").orderBy("doc")
-        chosen = (left.withColumn("place", F.row_number().over(by_table)).filter(F.col("place") <= pivots)
-                  .select("table", *(F.col(c).alias(f"pivot_{c}") for c in (*member, "component"))))
-        near = (F.col("component") != F.col("pivot_component")) & F.expr(sizes) & F.expr(matches)
-        pairs = (left.join(chosen, (left.table == chosen.table) & near)
-                 .select(F.greatest("doc", "pivot_doc").alias("a"), F.least("doc", "pivot_doc").alias("b")).distinct())
+        wide = [c for c in left.columns if c not in ("table", "i", "j")]
+        chosen = (left.withColumn("nth", F.row_number().over(by_table))
+                  .filter((F.col("nth") <= pivots) & (F.col("nth") > before))
+                  .select("table", *(F.col(c).alias(f"pivot_{c}") for c in wide)))
+        pairs = (left.join(chosen, (left.table == chosen.table) & (F.col("doc") > F.col("pivot_doc"))
+                           & (once if before else near))
+                 .select(F.col("doc").alias("a"), F.col("pivot_doc").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        if not pairs.isEmpty():
-            found = stored(pairs.join(compared.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-                           .join(compared.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-                           .select("a", "b", "text_a", "text_b")
-                           .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long"),
-                           "edges")
-            tried = pairs if tried is None else tried.union(pairs)
+        tried = pairs if tried is None else tried.union(pairs)
+        found = stored(pairs.join(compared.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+                       .join(compared.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
+                       .select("a", "b", "text_a", "text_b")
+                       .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long"), "edges")
+        if labels is None or not found.isEmpty():
             edges = edges.union(found)
             labels = stored(components(edges), "components")
         # Tables that still hold untried pairs: more members than pivots, of more than one component.
-        now = left
-        if labels is not None:
-            now = left.drop("component").join(
-                labels.select(F.col("node").alias("doc"), F.col("component").alias("has")), "doc", "left").select(
-                "table", *member, F.coalesce("has", "doc").alias("component"))
+        now = left.drop("component").join(
+            labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
+            "component", F.coalesce("component", "doc"))
         mixed = now.groupBy("table").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
             f"low <> high AND n > {pivots + 1}").select("table")
-        left = stored(now.join(mixed, "table"), "open")
+        now = now.join(mixed, "table")
+        if not before:
+            now = now.join(sketches.select("doc", "left", "right").dropDuplicates(["doc"]), "doc")
+        left = stored(now, "open")
         if left.isEmpty():
             break
-        pivots *= 2
-    if labels is None:
-        labels = stored(components(edges), "components")
+        before, pivots = pivots, pivots * GROWTH
     named = rows.join(labels, rows.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias(
