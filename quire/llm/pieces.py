@@ -26,8 +26,8 @@ from quire.llm import words
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Code points of one index, on average; words kept in a task's memory.
-INDEXED, REMEMBERED = 1 << 18, 1 << 19
-_PORTION = 1 << 20
+INDEXED, REMEMBERED = 1 << 17, 1 << 19
+_PORTION = 1 << 19
 _SEPARATORS = np.zeros(256, bool)
 _SEPARATORS[0x20] = True
 NEVER = 1 << 40
@@ -142,38 +142,71 @@ def _packed(letters: np.ndarray, width: int) -> np.ndarray:
     return np.stack([four[k:k + n] for k in range(0, width, 4)])
 
 
-def suffix_order(packed: np.ndarray) -> np.ndarray:
-    """Suffixes sorted by their packed words: ranks of four letters, then of eight, ..."""
-    ranks = None
-    for word in packed:
-        if ranks is None:
-            ranks = np.unique(word, return_inverse=True)[1]
-        else:
-            ranks = np.unique(ranks.astype(np.uint64) << np.uint64(32)
-                              | np.unique(word, return_inverse=True)[1].astype(np.uint64), return_inverse=True)[1]
-    return np.argsort(ranks, kind="stable")
+def suffix_order(letters: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes sorted by their first `depth` letters: by one letter, then two, four, ... from ranks of the halves."""
+    n = len(letters)
+    bits = max(int(letters.max(initial=0)), n, 1).bit_length()
+    if 3 * bits > 64:
+        raise ValueError("the text of one index is too long")
+    places = np.arange(n, dtype=np.uint64)
+    ranks, width = letters.astype(np.uint64), 1
+    while True:
+        later = np.zeros(n, np.uint64)
+        later[:max(n - width, 0)] = ranks[width:]
+        keys = (ranks << np.uint64(2 * bits)) | (later << np.uint64(bits)) | places
+        keys.sort()
+        order = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
+        width *= 2
+        if width >= depth:
+            return order
+        keys >>= np.uint64(bits)
+        # Rank 0 stands for what lies behind the end.
+        ranks = np.empty(n, np.uint64)
+        ranks[order] = np.cumsum(np.concatenate([[1], keys[1:] != keys[:-1]])).astype(np.uint64)
+
+
+def _bound(sorted_words: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray, strict: bool):
+    """Binary search of many values, each between its own bounds."""
+    low, high = low.copy(), high.copy()
+    while True:
+        open_ = low < high
+        if not open_.any():
+            return low
+        middle = (low + high) // 2
+        have = sorted_words[np.minimum(middle, len(sorted_words) - 1)]
+        after = open_ & ((have <= wanted) if strict else (have < wanted))
+        low, high = np.where(after, middle + 1, low), np.where(open_ & ~after, middle, high)
 
 
 def _ranges(ordered: np.ndarray, pieces: np.ndarray, lengths: np.ndarray):
-    """Where the suffixes that begin with each piece start and end in the order, by binary search."""
-    filler = np.zeros_like(pieces)
-    for k in range(len(pieces)):
-        for j in range(4):
-            filler[k] |= np.where(lengths <= 4 * k + j, np.uint64(0xFFFF << 16 * (3 - j)), np.uint64(0))
-    bounds = []
-    for wanted, strict in ((pieces, False), (pieces | filler, True)):
-        low, high = np.zeros(pieces.shape[1], np.int64), np.full(pieces.shape[1], ordered.shape[1], np.int64)
-        while (low < high).any():
-            middle = np.minimum((low + high) // 2, ordered.shape[1] - 1)
-            less, equal = np.zeros(len(low), bool), np.ones(len(low), bool)
-            for have, want in zip(ordered, wanted):
-                have = have[middle]
-                less |= equal & (have < want)
-                equal &= have == want
-            after = (less | (equal & strict)) & (low < high)
-            low, high = np.where(after, middle + 1, low), np.where(after | (low >= high), high, middle)
-        bounds.append(low)
-    return bounds
+    """Where the suffixes that begin with each piece start and end in the order, four letters at a time."""
+    low, high = np.zeros(len(lengths), np.int64), np.full(len(lengths), ordered.shape[1])
+    left = np.arange(len(lengths))
+    for k, (words_, wanted) in enumerate(zip(ordered, pieces)):
+        wanted, size = wanted[left], lengths[left] - 4 * k
+        end = wanted.copy()
+        for j in range(1, 4):
+            end[size <= j] |= np.uint64(0xFFFF << 16 * (3 - j))
+        if k:
+            low[left], high[left] = (_bound(words_, wanted, low[left], high[left], False),
+                                     _bound(words_, end, low[left], high[left], True))
+        else:
+            low, high = np.searchsorted(words_, wanted, "left"), np.searchsorted(words_, end, "right")
+        left = left[(size > 4) & (high[left] > low[left])]
+        if not len(left):
+            break
+    return low, high
+
+
+def _by_depth(depth: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Edges ordered by depth, then end."""
+    bits = [max(int(x.max(initial=0)), 1).bit_length() for x in (depth, end)] + [len(end).bit_length()]
+    if sum(bits) > 64:
+        return np.lexsort((end, depth))
+    keys = (depth.astype(np.uint64) << np.uint64(bits[1] + bits[2])) | (end.astype(np.uint64) << np.uint64(bits[2]))
+    keys |= np.arange(len(end), dtype=np.uint64)
+    keys.sort()
+    return (keys & np.uint64((1 << bits[2]) - 1)).astype(np.int64)
 
 
 class Encoder:
@@ -231,7 +264,7 @@ class Encoder:
         at = np.minimum(np.searchsorted(v.letters, text), len(v.letters) - 1)
         letters = np.where(v.letters[at] == text, at + 1, 0)
         packed = _packed(letters, 4 * len(self.pieces))
-        order = suffix_order(packed)
+        order = suffix_order(letters, int(v.lengths.max()))
         low, high = _ranges(packed[:, order], self.pieces, v.lengths)
         counts = high - low
         piece = np.repeat(np.arange(len(counts)), counts)
@@ -242,7 +275,7 @@ class Encoder:
         ids = np.concatenate([ids, np.full(len(odd), -1)])
         word = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(text))))
         depth = np.arange(len(text) + 1) - np.append(starts[word], 0)
-        order = np.lexsort((end, depth[end]))
+        order = _by_depth(depth[end], end)
         begin, end, ids = begin[order], end[order], ids[order]
         steps = np.searchsorted(depth[end], np.arange(1, (depth[end[-1]] if len(end) else 0) + 2))
         last, back = np.full(len(text) + 1, -2), np.zeros(len(text) + 1, np.int64)

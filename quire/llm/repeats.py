@@ -23,7 +23,7 @@ from quire.llm.store import stored
 
 THRESHOLD = 200
 GRAM = 32
-_PORTION = 1 << 20
+_PORTION = 1 << 18
 
 
 def _least_grams(grams: np.ndarray, span: int) -> np.ndarray:
