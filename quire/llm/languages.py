@@ -12,14 +12,14 @@ from quire.llm import words
 
 #: Texts to learn from for each language, about; they are taken by a hash of the text.
 TEXTS_PER_LANGUAGE = 2_000
-#: Hashed character n-grams of 1 to ORDERS letters, with a border on either side of a word.
-BITS, ORDERS = 17, 4
+#: Hashed character n-grams of 1 to ORDERS letters, with a border on either side of a word (so ORDERS is 3 at most).
+BITS, ORDERS = 17, 3
 SMOOTHING = 0.5
 #: Log-likelihood that a change of language must gain.
 SWITCH = 6.0
 #: Share of a language's letters that a script must have to be one of the language's.
 SCRIPT_SHARE = 0.01
-_PORTION = 1 << 20
+_PORTION = 1 << 19
 
 # Ranges of code points of scripts, as Unicode's blocks have them. 0 is no letter, 1 any other script.
 SCRIPTS = {
@@ -79,8 +79,8 @@ class Words(NamedTuple):
     scripts: np.ndarray
     first: np.ndarray     # each row's first word (one more at the end)
     kinds: np.ndarray     # which distinct word each is
-    slots: np.ndarray     # n-grams of the distinct words
-    slot_first: np.ndarray
+    slots: list           # for each order, the n-grams of the distinct words, borders between words included
+    bounds: list          # and where each word's n-grams start and end
 
 
 def split_words(column: pa.Array) -> Words:
@@ -101,37 +101,37 @@ def split_words(column: pa.Array) -> Words:
     sizes = ends - starts
     small = lower[points]
     first = np.searchsorted(starts, at)
-    sums = np.concatenate([[0], np.cumsum(words.mix(small.astype(np.uint64) + words.PLACES[0]) * words.powers(
-        words.BASE, len(small)), dtype=np.uint64)]).astype(np.uint64)
+    sums = np.zeros(len(small) + 1, np.uint64)
+    np.cumsum(words.mix(small.astype(np.uint64) + words.PLACES[0]) * words.powers(words.BASE, len(small)), out=sums[1:])
     hashes = words.range_hashes(sums, starts, ends)
     _, index, kinds = np.unique(hashes, return_index=True, return_inverse=True)
     # The distinct words, each with a border before and after.
     n = sizes[index] + 2
     stops = np.cumsum(n)
-    text = np.full(stops[-1] if len(n) else 0, 0x20)
+    text = np.full(stops[-1] if len(n) else 0, 0x20, np.uint32)
     inner = np.arange(len(text)) - np.repeat(stops - n, n)
     body = (inner > 0) & (inner < np.repeat(n, n) - 1)
     text[body] = small[(np.repeat(starts[index], n) + inner - 1)[body]]
-    text = text.astype(np.uint64)
-    owner = np.repeat(np.arange(len(n)), n)
-    slots, owners = [], []
+    slots, bounds = [], []
     for order in range(1, ORDERS + 1):
-        last = len(text) - order + 1
-        if last <= 0:
-            break
-        gram = np.full(last, order, np.uint64) * words.PLACES[60]
+        gram = np.full(max(len(text) - order + 1, 0), order, np.uint32)
         for j in range(order):
-            gram += text[j:last + j] * words.PLACES[j]
-        inside = owner[:last] == owner[order - 1:]
-        if order == 1:
-            inside &= body
-        slots.append((words.mix(gram[inside]) >> np.uint64(64 - BITS)).astype(np.int64))
-        owners.append(owner[:last][inside])
-    slots, owners = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (slots, owners))
-    order = np.argsort(owners, kind="stable")
+            gram = (gram ^ text[j:len(gram) + j]) * np.uint32(0x9E3779B1)
+            gram ^= gram >> np.uint32(15)
+        slots.append(gram >> np.uint32(32 - BITS))
+        skip = order == 1
+        bounds.append((stops - n + skip, stops - order + 1 - skip))
     rows = np.repeat(np.arange(len(at) - 1), np.diff(first))
-    return Words(starts - at[rows], sizes, kind[starts], first, kinds, slots[order],
-                 np.searchsorted(owners[order], np.arange(len(n) + 1)))
+    return Words(starts - at[rows], sizes, kind[starts], first, kinds, slots, bounds)
+
+
+def word_scores(found: Words, weights: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each distinct word in each language, an average over the orders."""
+    total = 0
+    for slots, (low, high) in zip(found.slots, found.bounds):
+        values = np.concatenate([weights[slots], np.zeros((1, weights.shape[1]), weights.dtype)])
+        total = total + np.add.reduceat(values, np.stack([low, high], axis=1).ravel(), axis=0)[::2]
+    return total / ORDERS
 
 
 def _count(batches):
@@ -142,11 +142,16 @@ def _count(batches):
         found = split_words(batch.column("text"))
         langs = np.array(batch.column("lang").to_pylist(), object)
         of_word = np.repeat(langs, np.diff(found.first))
-        owners = np.repeat(np.arange(len(found.slot_first) - 1), np.diff(found.slot_first))
+        n_kinds = len(found.bounds[0][0])
         for lang in set(langs.tolist()):
             mine = of_word == lang
-            times = np.bincount(found.kinds[mine], minlength=len(found.slot_first) - 1)
-            counts = np.bincount(found.slots, weights=times[owners], minlength=1 << BITS).astype(np.int64)
+            times = np.bincount(found.kinds[mine], minlength=n_kinds)
+            counts = np.zeros(1 << BITS, np.int64)
+            for slots, (low, high) in zip(found.slots, found.bounds):
+                weight = np.zeros(len(slots) + 1)
+                np.add.at(weight, low, times)
+                np.subtract.at(weight, high, times)
+                counts += np.bincount(slots, weights=np.cumsum(weight[:-1]), minlength=1 << BITS).astype(np.int64)
             totals[lang] = totals.get(lang, 0) + counts
             scripts[lang] = scripts.get(lang, 0) + np.bincount(
                 found.scripts[mine], weights=found.sizes[mine], minlength=len(SCRIPTS) + 2).astype(np.int64)
@@ -189,27 +194,61 @@ def fit(documents: DataFrame, lang_column: str = "lang", text_column: str = "tex
                  scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1))
 
 
+def _steady(scores: np.ndarray, first: np.ndarray, switch: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's language of the largest sum, and whether no path with a change can be better than it alone.
+
+    A stretch in other languages gains at most the sum of their best scores less this one's, and costs two changes, or
+    one at the beginning or end of a row. So no stretch may gain as much.
+    """
+    n = len(first) - 1
+    sums = np.concatenate([np.zeros((1, scores.shape[1])), np.cumsum(scores, axis=0, dtype=np.float64)])
+    best = (sums[first[1:]] - sums[first[:-1]]).argmax(axis=1)
+    row = np.repeat(np.arange(n), np.diff(first))
+    place = np.arange(len(scores))
+    own = scores[place, best[row]]
+    others = scores.copy()
+    others[place, best[row]] = -np.inf
+    gain = np.maximum(others.max(axis=1) - own, -1e6).astype(np.float64)
+    total = np.concatenate([[0], np.cumsum(gain)])
+    start = total[first[:-1]][row]
+    through = total[1:] - start
+    # The least sum before each word of a row: later rows are shifted far down, so that none looks back into another.
+    shift = -row * (np.abs(total).max() * 2 + 1)
+    least = np.minimum.accumulate(total[:-1] - start + shift) - shift
+    ok = np.ones(n, bool)
+    ending = (total[first[1:]] - total[first[:-1]])[row] - (total[:-1] - start)
+    bad = (through >= switch) | (through - least >= 2 * switch) | (ending >= switch)
+    ok[row[bad]] = False
+    return best, ok
+
+
 def best_path(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The language of every word: the path of the largest sum of scores, less `switch` for each change.
 
-    All rows advance together, word by word, the longest first in the arrays so that the ones at work lie in front.
+    Rows that stay in one language for certain are settled at once. The others advance together, word by word, the
+    longest first in the arrays so that the ones at work lie in front.
     """
-    sizes = np.diff(first)
+    path = np.zeros(len(scores), np.int16)
+    if not len(scores):
+        return path
+    best, steady = _steady(scores, first, switch)
+    path[:] = np.repeat(best, np.diff(first))
+    sizes = np.where(steady, 0, np.diff(first))
     order = np.argsort(-sizes, kind="stable")
+    order = order[:np.count_nonzero(sizes)]
     sizes, first = sizes[order], first[:-1][order]
     active = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), "right")
-    sums = np.zeros((len(sizes), scores.shape[1]), np.float32)
+    sums = np.zeros((len(sizes), scores.shape[1]))
     stays, origin = np.ones(scores.shape, bool), np.zeros(len(scores), np.int16)
+    rows = np.arange(len(sizes))
     for t, k in enumerate(active):
         at, have = first[:k] + t, sums[:k]
         if t:
             top = have.argmax(axis=1)
-            moved = have[np.arange(k), top][:, None] - np.float32(switch)
+            moved = have[rows[:k], top][:, None] - switch
             stays[at], origin[at] = have >= moved, top
             have = np.maximum(have, moved)
         sums[:k] = have + scores[at]
-        sums[:k] -= sums[:k].max(axis=1, keepdims=True)
-    path = np.zeros(len(scores), np.int16)
     state = sums.argmax(axis=1).astype(np.int16)
     for t in range(len(active) - 1, -1, -1):
         k = active[t]
@@ -244,8 +283,7 @@ def identify(documents: DataFrame, model: Model, text_column: str = "text", keep
             path = np.zeros(len(row), np.int16)
             shares = np.zeros((n, max(n_lang, 1)))
             if n_lang and len(row):
-                sums = np.add.reduceat(weights[found.slots], found.slot_first[:-1], axis=0) / ORDERS
-                scores = sums[found.kinds]
+                scores = word_scores(found, weights)[found.kinds]
                 can = allowed[found.scripts]
                 known = can.any(axis=1)
                 scores = np.where(can, scores, -1e6)
