@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import languages, pieces, quality, secret_scan, sql, url_rules
+from quire.llm import languages, licenses, pieces, quality, secret_scan, sql, url_rules
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.neighbours import nearest
@@ -74,6 +74,11 @@ def op6_sentencepiece(spark, folder):
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "exact")
 
 
+def op7_license_scan(spark, folder):
+    """Stretches of documents that hold four fifths or more of a license notice."""
+    return licenses.find_licenses(table(spark, folder, "documents"), licenses.default_templates(spark))
+
+
 def op8_minhash_near_dedup(spark, folder):
     """Links at 85 % of distinct 3-word shingles, over all documents."""
     return near_duplicates(table(spark, folder, "documents"), n_words=3, percent=85)
