@@ -23,6 +23,8 @@ from quire.llm.store import stored
 
 THRESHOLD = 200
 GRAM = 32
+#: Offsets of suffixes that travel together in the last digit.
+BLOCK = 13
 _PORTION = 1 << 18
 
 
@@ -94,20 +96,22 @@ def _stretches(rows: np.ndarray, starts: np.ndarray, threshold: int):
 def _single_suffixes(batches, threshold: int):
     """Digit 3, over runs sorted by gram.
 
-    Groups that lie inside a batch are settled at once: `window` is null and start to end is repeated. Of the first and
-    last gram of a batch, which may go on in another, suffixes repeated in the batch give such a row and one witness
-    without a row; the others give a row each, to be counted over all batches.
+    Groups that lie inside a batch are settled at once: start to end is repeated, `core` is null. The first and last
+    gram of a batch may go on in another. Suffixes repeated in the batch are settled there too, and one of each kind
+    is passed on to be compared with those of other batches, up to BLOCK neighbouring ones in a row, together with the
+    hash of the bytes that all suffixes with such offsets share.
     """
     for batch in batches:
         if not batch.num_rows:
             continue
         data, offsets = words.text_bytes(batch.column("content").cast(pa.large_binary()).view(pa.large_string()))
         sums = words.prefix_sums(data, words.PLAIN)
+        place = batch.column("place").to_numpy()
+        gram = batch.column("gram").to_numpy()
         sizes = np.diff(offsets) - threshold + 1
         runs = np.repeat(np.arange(len(sizes)), sizes)
         within = np.arange(len(runs)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         at = offsets[runs] + within
-        gram = batch.column("gram").to_numpy()
         window = words.range_hashes(sums, at, at + threshold)
         key = words.mix(window + gram.view(np.uint64)[runs] * words.PLACES[1])
         order = np.argsort(key, kind="stable")
@@ -117,20 +121,31 @@ def _single_suffixes(batches, threshold: int):
         twice[order[:-1]] |= same
         head = np.zeros(len(key), bool)
         head[order] = np.concatenate([[True], ~same])
-        row = batch.column("row").to_numpy()[runs]
-        start = (batch.column("place").to_numpy() >> 16)[runs] + within
-        unsure = (gram == gram[0]) | (gram == gram[-1])
-        unsure = unsure[runs]
-        done = _stretches(row[twice], start[twice], threshold) if twice.any() else [np.empty(0, np.int64)] * 3
-        parts = [(*done, None, None)]
-        for some, witness in ((unsure & twice & head, True), (unsure & ~twice, False)):
-            parts.append((None if witness else row[some], start[some], start[some] + threshold, gram[runs][some],
-                          window[some].view(np.int64)))
-        for columns in parts:
-            n = len(columns[1])
+        row = batch.column("row").to_numpy()
+        start = (place >> 16)[runs] + within
+        if twice.any():
+            done = _stretches(row[runs[twice]], start[twice], threshold)
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int64()) for c in done), *[pa.nulls(len(done[0]), pa.int64())] * 2,
+                 pa.nulls(len(done[0]), pa.list_(pa.int64()))], ["row", "start", "end", "gram", "core", "windows"])
+        open_ = np.flatnonzero(((gram == gram[0]) | (gram == gram[-1]))[runs] & head)
+        if len(open_):
+            lead = ((place >> 8) & 255)[runs[open_]] - within[open_]
+            block = lead // BLOCK
+            new = np.ones(len(open_), bool)
+            new[1:] = ((runs[open_][1:] != runs[open_][:-1]) | (block[1:] != block[:-1])
+                       | (within[open_][1:] != within[open_][:-1] + 1))
+            heads = np.flatnonzero(new)
+            first = open_[heads]
+            # All windows of the block hold the bytes from the anchor less BLOCK * block on, BLOCK - 1 fewer than a window.
+            core = at[first] + lead[heads] - BLOCK * block[heads]
+            hashes = words.range_hashes(sums, core, core + threshold - BLOCK + 1) + block[heads].astype(np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()) if c is None else pa.array(c, pa.int64()) for c in columns],
-                ["row", "start", "end", "gram", "window"])
+                [pa.array(row[runs[first]]), pa.array(start[first]), pa.nulls(len(first), pa.int64()),
+                 pa.array(gram[runs[first]]), pa.array(words.mix(hashes).view(np.int64)),
+                 pa.ListArray.from_arrays(pa.array(np.append(heads, len(open_)).astype(np.int32)),
+                                          pa.array(window[open_].view(np.int64)))],
+                ["row", "start", "end", "gram", "core", "windows"])
 
 
 def _without(batches):
@@ -184,15 +199,19 @@ def repeated_spans(documents: DataFrame, threshold: int = THRESHOLD) -> DataFram
         lambda batches: _contents(batches, threshold), "gram long, row long, place long, content binary"), "contents")
     single = stored(left.repartitionByRange("gram", "row").sortWithinPartitions("gram", "row").mapInArrow(
         lambda batches: _single_suffixes(batches, threshold),
-        "row long, start long, end long, gram long, window long"), "suffixes")
-    unsure = single.filter("window IS NOT NULL")
-    twice = unsure.groupBy("gram", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    later = unsure.filter("row IS NOT NULL").join(twice, ["gram", "window"], "left_semi")
+        "row long, start long, end long, gram long, core long, windows array<long>"), "suffixes")
+    passed = single.filter("core IS NOT NULL").drop("end")
+    cores = passed.groupBy("gram", "core").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    passed = (passed.join(cores, ["gram", "core"], "left_semi")
+              .select("row", "start", "gram", F.posexplode("windows").alias("nth", "window"))
+              .select("row", "gram", "window", (F.col("start") + F.col("nth")).alias("start")))
+    twice = passed.groupBy("gram", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    later = passed.join(twice, ["gram", "window"], "left_semi").withColumn("end", F.col("start") + threshold)
     whole = found.filter("NOT several").select("row", "place").union(several.filter("n > 1").select("row", "place"))
     start = F.shiftright("place", 16)
     return (whole.select("row", start.alias("start"),
                          (start + F.col("place").bitwiseAND(255) + threshold).alias("end"))
-            .union(single.filter("window IS NULL").select("row", "start", "end"))
+            .union(single.filter("core IS NULL").select("row", "start", "end"))
             .union(later.select("row", "start", "end")))
 
 
