@@ -96,6 +96,44 @@ def _equal_bytes(a: str, b: str) -> str:
     return f"bit_count(~((({a} ^ {b}) & {low}) + {low} | ({a} ^ {b}) | {low}) & {low ^ ((1 << 56) - 1)})"
 
 
+def _unsettled(tables: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
+    """Members, with new components, of tables that hold untried pairs: more than the pivots, of several components."""
+    now = tables.drop("component").join(
+        labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
+        "component", F.coalesce("component", "doc"))
+    mixed = now.groupBy("table").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
+        f"low <> high AND n > {pivots + 1}").select("table")
+    return now.join(mixed, "table")
+
+
+def _shingle_rows(batches, n_words: int, percent: int):
+    """(doc, length of its prefix, hash) for each shingle."""
+    for batch in words.portions(batches, "text"):
+        hashes, first = words.shingle_sets(batch.column("text"), n_words)
+        sizes = np.diff(first)
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        prefix = sizes + (-sizes * percent // 100) + 1
+        yield pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(rows)), pa.array(prefix[rows]),
+                                          pa.array(hashes.view(np.int64))], ["doc", "prefix", "table"])
+
+
+def _rare_shingles(texts: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """(table, doc, prefix): each document's rarest shingles, as many that two documents at the similarity share one.
+
+    Of n shingles a similar document must hold percent % at least, so it holds one of any n - that + 1. prefix lists
+    those that other documents have too, in one order for all documents.
+    """
+    all_ = stored(texts.mapInArrow(lambda batches: _shingle_rows(batches, n_words, percent),
+                                   "doc long, prefix long, table long"), "shingles")
+    counts = all_.groupBy("table").agg(F.count("*").alias("n"))
+    rarest = Window.partitionBy("doc").orderBy("n", "table")
+    lists = (all_.join(counts, "table").withColumn("nth", F.row_number().over(rarest))
+             .filter("nth <= prefix AND n > 1").groupBy("doc")
+             .agg(F.array_distinct(F.array_sort(F.collect_list(F.struct("n", "table"))).getField("table")).alias("prefix")))
+    return lists.select("doc", "prefix", F.explode("prefix").alias("table"))
+
+
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -106,9 +144,10 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
 
     - Documents with one and the same set are one class, with the smallest id as its name; only classes are compared.
     - Half keys that no other class has are dropped; tables are the pairs of those that remain.
-    - In every table the members are compared with one pivot, then, where members of different components are
-      left, with GROWTH times as many pivots in each round, until each such pair of a table was compared or has become one component. So hot
-      tables of near copies are settled by the first pivot, and no table has all its pairs emitted.
+    - In every table the members are compared with one pivot, which settles most groups of copies.
+    - Documents of tables that still hold several components are indexed by their rarest shingles instead, enough of
+      them that similar documents share one. In these tables the members are compared with GROWTH pivots, then with
+      GROWTH times as many in each round, until all pairs of a table were compared or have become one component.
     - A pair of a table is a candidate if sizes and the share of equal half keys allow the similarity (a pair that has
       it is missed with chance MISS / 10); every candidate is verified on the full sets of both texts.
 
@@ -149,19 +188,17 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     matches = f"{matches} - {7 * len(prints) - 2 * n_keys} >= {alike(percent / 100, n_keys)}"
     sizes = f"100 * least(n_shingles, pivot_n_shingles) >= {percent} * greatest(n_shingles, pivot_n_shingles)"
     near = (F.col("component") != F.col("pivot_component")) & F.expr(sizes) & F.expr(matches)
-    # A pair that meets in several tables is a candidate in the first of them.
-    first = [F.coalesce(*[F.when(F.col(side)[k] == F.col(f"pivot_{side}")[k], k) for k in range(n_keys)])
-             for side in ("left", "right")]
-    once = near & (first[0] == F.col("i")) & (first[1] == F.col("j"))
     by_table = Window.partitionBy("table").orderBy("doc")
-    left, labels, tried, before, pivots = members, None, None, 0, 1
+    left, labels, tried, before, pivots, exact = members, None, None, 0, 1, False
     while True:
-        wide = [c for c in left.columns if c not in ("table", "i", "j")]
         chosen = (left.withColumn("nth", F.row_number().over(by_table))
                   .filter((F.col("nth") <= pivots) & (F.col("nth") > before))
-                  .select("table", *(F.col(c).alias(f"pivot_{c}") for c in wide)))
-        pairs = (left.join(chosen, (left.table == chosen.table) & (F.col("doc") > F.col("pivot_doc"))
-                           & (once if before else near))
+                  .select(*(F.col(c).alias(f"pivot_{c}") for c in left.columns)))
+        meet = (F.col("table") == F.col("pivot_table")) & (F.col("doc") > F.col("pivot_doc")) & near
+        if exact:
+            # A pair that shares several shingles is a candidate at the first of them.
+            meet &= F.element_at(F.array_intersect("prefix", "pivot_prefix"), 1) == F.col("table")
+        pairs = (left.join(chosen, meet)
                  .select(F.col("doc").alias("a"), F.col("pivot_doc").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -174,20 +211,16 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
         if labels is None or not found.isEmpty():
             edges = edges.union(found)
             labels = stored(components(edges), "components")
-        # Tables that still hold untried pairs: more members than pivots, of more than one component.
-        now = left.drop("component").join(
-            labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-            "component", F.coalesce("component", "doc"))
-        mixed = now.groupBy("table").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
-            f"low <> high AND n > {pivots + 1}").select("table")
-        now = now.join(mixed, "table")
-        if not before:
-            now = now.join(sketches.select("doc", "left", "right").dropDuplicates(["doc"]), "doc")
-        left = stored(now, "open")
+        left = stored(_unsettled(left, labels, pivots), "open")
         if left.isEmpty():
             break
-        before, pivots = pivots, pivots * GROWTH
+        if exact:
+            before, pivots = pivots, pivots * GROWTH
+        else:
+            exact, pivots = True, GROWTH
+            opened = left.select(*member, "component").dropDuplicates(["doc"])
+            left = _rare_shingles(compared.join(opened.select("doc"), "doc", "left_semi"), n_words, percent).join(
+                opened, "doc")
     named = rows.join(labels, rows.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias(
