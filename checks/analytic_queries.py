@@ -1,8 +1,11 @@
 """The ten analytic queries on the driver tables."""
 
+from pyspark.sql import functions as F
+
 from quire.plans import analytics as A
 
 from checks.registry import query
+from checks.relation_queries import bibliography_from_tables
 from checks.views import bibliography, with_views
 
 
@@ -35,17 +38,17 @@ def top_venue_in_year(spark, folder):
     return A.top_venue_in_year(bibliography(spark, folder), 1998)
 
 
-@query(with_views("author authored_by incoming", """,
+@query(with_views("author authored_by incoming article", """,
 ranked AS (SELECT author_id, n, row_number() OVER (PARTITION BY author_id ORDER BY n DESC) AS rn
-           FROM authored_by JOIN incoming USING (article_id)),
+           FROM authored_by JOIN incoming USING (article_id) JOIN article USING (article_id)),
 best AS (SELECT author_id, max(rn) AS h FROM ranked WHERE n >= rn GROUP BY author_id)
 SELECT author_id, name, coalesce(h, 0) AS h_index FROM author LEFT JOIN best USING (author_id)"""))
 def h_index(spark, folder):
     return A.h_index(bibliography(spark, folder))
 
 
-@query(with_views("author authored_by incoming", """,
-equal AS (SELECT author_id, n, count(*) AS c FROM authored_by JOIN incoming USING (article_id)
+@query(with_views("author authored_by incoming article", """,
+equal AS (SELECT author_id, n, count(*) AS c FROM authored_by JOIN incoming USING (article_id) JOIN article USING (article_id)
           GROUP BY author_id, n),
 best AS (SELECT author_id, max(n) AS h FROM equal WHERE c >= n GROUP BY author_id)
 SELECT author_id, name, coalesce(h, 0) AS h_index FROM author LEFT JOIN best USING (author_id)"""))
@@ -53,9 +56,9 @@ def h_index_as_coded(spark, folder):
     return A.h_index(bibliography(spark, folder), as_coded=True)
 
 
-@query(with_views("author authored_by incoming", """,
+@query(with_views("author authored_by incoming article", """,
 ranked AS (SELECT author_id, n, row_number() OVER (PARTITION BY author_id ORDER BY n DESC) AS rn
-           FROM authored_by JOIN incoming USING (article_id)),
+           FROM authored_by JOIN incoming USING (article_id) JOIN article USING (article_id)),
 best AS (SELECT author_id, max(rn) AS h FROM ranked WHERE n >= rn GROUP BY author_id)
 SELECT author_id, name, coalesce(h, 0) AS h_index FROM author LEFT JOIN best USING (author_id)
 WHERE name = 'Supplier#000000003'"""))
@@ -63,10 +66,24 @@ def h_index_of_author(spark, folder):
     return A.h_index(bibliography(spark, folder), "Supplier#000000003")
 
 
+@query(with_views("author authored_by incoming article", """,
+ranked AS (SELECT author_id, n, row_number() OVER (PARTITION BY author_id ORDER BY n DESC) AS rn
+           FROM authored_by JOIN incoming USING (article_id) JOIN article USING (article_id)),
+best AS (SELECT author_id, max(rn) AS h FROM ranked WHERE n >= rn GROUP BY author_id)
+SELECT author_id, coalesce(h, 0) AS from_edges, coalesce(h, 0) AS from_tables
+FROM author LEFT JOIN best USING (author_id)"""))
+def h_index_both_ways(spark, folder):
+    """From edge tables, which hold other publications too, and from tables with list columns: the same numbers."""
+    from_edges = A.h_index(bibliography(spark, folder)).select("author_id", F.col("h_index").alias("from_edges"))
+    from_tables = A.h_index(bibliography_from_tables(spark, folder)).select(
+        "author_id", F.col("h_index").alias("from_tables"))
+    return from_edges.join(from_tables, "author_id", "full")
+
+
 @query(with_views("article", """
-SELECT yr AS year, count(*) AS articles FROM article GROUP BY yr HAVING count(*) >= 2001"""))
+SELECT yr AS year, count(*) AS articles FROM article GROUP BY yr HAVING count(*) >= 1500"""))
 def years_with_min_articles(spark, folder):
-    return A.years_with_min_articles(bibliography(spark, folder), 2001)
+    return A.years_with_min_articles(bibliography(spark, folder), 1500)
 
 
 @query(with_views("article incoming", """
@@ -76,8 +93,8 @@ def years_with_cited_articles(spark, folder):
     return A.years_with_cited_articles(bibliography(spark, folder), min_articles=21, min_citations=11)
 
 
-@query(with_views("author authored_by incoming", """,
-counts AS (SELECT author_id, count(*) AS c FROM authored_by JOIN incoming USING (article_id)
+@query(with_views("author authored_by incoming article", """,
+counts AS (SELECT author_id, count(*) AS c FROM authored_by JOIN incoming USING (article_id) JOIN article USING (article_id)
            WHERE n >= 10 GROUP BY author_id)
 SELECT author_id, name, coalesce(c, 0) AS i_index FROM author LEFT JOIN counts USING (author_id)"""))
 def i10_index(spark, folder):

@@ -138,15 +138,20 @@ def zip_rows(spark, folder):
     return zip_by_rank(items, documents, "item_id", "doc_id").select("item_id", "doc_id")
 
 
-@query("""SELECT o_orderkey, position FROM (
-    SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders)
-    WHERE o_orderkey IN (SELECT o_orderkey FROM (
-        SELECT o_orderkey, count(*) OVER (PARTITION BY o_totalprice) AS c FROM orders) WHERE c = 1)""")
+@query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS position FROM orders""")
 def position_by_price(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    single = orders.groupBy("o_totalprice").agg(F.count("*").alias("c")).filter("c = 1").drop("c")
-    ranked = with_position(orders, "o_totalprice").withColumn("position", F.col("position").cast("long"))
-    return ranked.join(single, "o_totalprice", "left_semi").select("o_orderkey", "position")
+    ranked = with_position(orders, "o_totalprice", ties=("o_orderkey",))
+    return ranked.select("o_orderkey", F.col("position").cast("long").alias("position"))
+
+
+@query("""SELECT o_orderkey, row_number() OVER (
+    ORDER BY CASE WHEN o_orderstatus = 'F' THEN o_totalprice END NULLS LAST, o_orderkey) AS position FROM orders""")
+def position_with_nulls(spark, folder):
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("price"))
+    ranked = with_position(orders, "price", ties=("o_orderkey",))
+    return ranked.select("o_orderkey", F.col("position").cast("long").alias("position"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (
@@ -215,14 +220,29 @@ def list_literal(spark, folder):
                     F.size("v").alias("n")))
 
 
-@query("""SELECT doc_id, concat_ws(',', CASE WHEN contains(upper(text), 'THE') THEN 'THE' END,
-    CASE WHEN contains(upper(text), 'AND') THEN 'AND' END,
-    CASE WHEN contains(upper(text), 'UND') THEN 'UND' END) AS keywords FROM documents""")
+def _holds(word):
+    return f"regexp_matches(upper(text), '(^|[^\\p{{L}}\\p{{N}}]){word}($|[^\\p{{L}}\\p{{N}}])')"
+
+
+@query(f"""SELECT doc_id, concat_ws(',', {", ".join(f"CASE WHEN {_holds(w)} THEN '{w}' END" for w in ("THE", "AND", "UND"))})
+    AS keywords FROM documents""")
 def tag_keywords(spark, folder):
     tags = text.tag_keywords(F.col("text"), ["THE", "AND", "UND"])
     return table(spark, folder, "documents").select("doc_id", F.array_join(tags, ",").alias("keywords"))
 
 
+@query("""WITH words AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word
+    FROM documents), vocabulary AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS word
+    FROM benchmark)
+SELECT doc_id, string_agg(word, ',' ORDER BY word) AS keywords FROM words JOIN vocabulary USING (word) GROUP BY doc_id""")
+def tag_keywords_of(spark, folder):
+    """The words of all benchmark items as a vocabulary table."""
+    words = F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word")
+    vocabulary = table(spark, folder, "benchmark").select(words).filter("word <> ''")
+    tags = text.tag_keywords_of(table(spark, folder, "documents"), "doc_id", "text", vocabulary)
+    return tags.select("doc_id", F.array_join("keywords", ",").alias("keywords"))
+
+
 @query("SELECT p_partkey, p_brand || ',' || p_type AS fields FROM part")
 def fields_of_study(spark, folder):
     field = lambda name: F.struct(F.col(name).alias("category"), F.lit("s").alias("source"))

@@ -152,7 +152,7 @@ def paragraph_figures(spark, folder):
 
 def _order_papers(spark, folder):
     """Orders as papers; the suppliers of the line items are their authors, by id."""
-    stubs = adjacency_lists(authored_by(spark, folder), "article_id", "author_id", "ids").filter("part = 0")
+    stubs = adjacency_lists(authored_by(spark, folder), "article_id", "author_id", "ids")
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("corpusid"), F.col("o_orderpriority").alias("title"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("publicationdate"),
@@ -164,7 +164,7 @@ def _order_papers(spark, folder):
     authors = F.transform("ids", lambda a: F.struct(
         a.cast("string").alias("authorId"), F.concat(F.lit("Ann "), a.cast("string")).alias("name")))
     return (orders.join(stubs, F.col("corpusid") == F.col("article_id"), "left")
-            .withColumn("authors", authors).drop("article_id", "part", "ids"))
+            .withColumn("authors", authors).drop("article_id", "ids"))
 
 
 def _external_authors(spark, folder):
@@ -192,8 +192,7 @@ def embed_citations(spark, folder):
     papers = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("corpusid"), F.col("o_orderpriority").alias("title"))
     cited = D.citation_records(papers, "corpusid", "title", F.array().cast("array<string>"))
-    # Short lists, so that many papers have several parts.
-    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), papers, "corpusid", max_items=3)
+    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), papers, "corpusid", parts=3)
     return (documents.select("corpusid", F.explode("citations").alias("c"))
             .select("corpusid", "c.reference_id", "c.title"))
 
@@ -207,7 +206,7 @@ outgoing AS (SELECT s, count(*) AS n, min(e) AS first_reference FROM edges GROUP
 arriving AS (SELECT e, count(*) AS n FROM edges GROUP BY e),
 writers AS (SELECT article_id, count(*) AS n, min(s_suppkey) AS first_author FROM authored_by
     JOIN supplier ON author_id = s_suppkey WHERE s_acctbal > 0 GROUP BY article_id)
-SELECT id AS corpusid, CAST(0 AS INTEGER) AS part, '{"$date":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}' AS published,
+SELECT id AS corpusid, '{"$date":"' || strftime(o_orderdate, '%Y-%m-%d') || '"}' AS published,
     CAST(coalesce(writers.n, 0) AS INTEGER) AS authors, 'Ann' || first_author || '@gmail.com' AS first_email,
     CAST(coalesce(outgoing.n, 0) AS INTEGER) AS citations, first_reference, coalesce(arriving.n, 0) AS referencecount,
     o_orderpriority AS field,
@@ -220,7 +219,7 @@ def documents_end_to_end(spark, folder):
                              _images(spark, folder), raw_cites(spark, folder), fallback_prefix="anon_")
     paragraphs = F.aggregate("content.sections", F.lit(0), lambda n, s: n + F.size(s["paragraphs"]))
     return made.select(
-        "corpusid", "part", F.to_json("publicationdate").alias("published"), list_size(F.col("authors")).alias("authors"),
+        "corpusid", F.to_json("publicationdate").alias("published"), list_size(F.col("authors")).alias("authors"),
         F.get("authors", 0)["email"].alias("first_email"), list_size(F.col("citations")).alias("citations"),
         F.get("citations", 0)["reference_id"].alias("first_reference"), "referencecount",
         F.get("s2fieldsofstudy", 0).alias("field"), F.coalesce(paragraphs, F.lit(0)).alias("paragraphs"))

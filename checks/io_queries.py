@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quire.operators.lists import adjacency_lists
 from quire.sinks import documents as JS
 from quire.sinks import tables as TS
-from quire.sources.documents import read_jsonl
+from quire.sources.documents import read_json_docs, read_jsonl
 from quire.sources.tables import read_parquet, read_table, read_with_header_file
 
 from checks.registry import query, scratch
@@ -17,21 +17,21 @@ def csv_roundtrip(spark, folder):
     """Texts with separators, quotes and line breaks."""
     documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "csv")
     TS.write_table(documents, path)
-    return read_table(spark, path, documents.schema)
+    return read_table(spark, path, documents.schema, multi_line=True)
 
 
 @query("SELECT doc_id, text, lang FROM documents")
 def tsv_roundtrip(spark, folder):
     documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "tsv")
     TS.write_table(documents, path, sep="\t")
-    return read_table(spark, path, documents.schema, sep="\t")
+    return read_table(spark, path, documents.schema, sep="\t", multi_line=True)
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def csv_inferred(spark, folder):
     path = scratch(spark, "csv")
     TS.write_table(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
-    return read_table(spark, path).withColumn("o_orderkey", F.col("o_orderkey").cast("long"))
+    return read_table(spark, path)
 
 
 @query("SELECT p_partkey AS id, p_name AS title, p_brand || ',' || p_type AS ee, p_size AS year FROM part")
@@ -59,6 +59,62 @@ def jsonl_roundtrip(spark, folder):
     return read_jsonl(spark, path, documents.schema)
 
 
+@query("""SELECT p_partkey AS id, i, CASE i % 4 WHEN 0 THEN p_name || '|' || p_brand WHEN 1 THEN NULL
+        WHEN 2 THEN '' ELSE chr(92) || p_type || chr(92) || 'n' END AS element, p_partkey % 3 AS kind,
+        CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE) AS price
+    FROM part, (SELECT unnest(range(0, 4)) AS i) WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, CAST(p_partkey % 3 - 3 AS BIGINT), NULL, p_partkey % 3, CAST(CAST(p_retailprice AS FLOAT) AS DOUBLE)
+    FROM part WHERE p_partkey % 3 > 0""")
+def graph_export_without_loss(spark, folder):
+    """Array elements that are null, empty or hold separators and backslashes; null and empty arrays; float columns."""
+    backslash = F.lit("\\")
+    kind = F.col("p_partkey") % 3
+    parts = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.when(kind == 0, F.array(F.concat_ws("|", "p_name", "p_brand"), F.lit(None).cast("string"), F.lit(""),
+                                  F.concat(backslash, "p_type", backslash, F.lit("n"))))
+        .when(kind == 1, F.array().cast("array<string>")).alias("list"), F.col("p_retailprice").cast("float").alias("price"))
+    listing = TS.export_graph(spark, {"Part": parts}, {}, scratch(spark, "graph")).first()
+    back = read_with_header_file(spark, listing.data, listing.header)
+    return back.select("id", F.col("price").cast("double").alias("price"), (F.col("id") % 3).alias("kind"), F.expr(
+        "inline(CASE WHEN list IS NULL THEN array(struct(-1L AS i, CAST(NULL AS STRING) AS element)) "
+        "WHEN size(list) = 0 THEN array(struct(-2L AS i, CAST(NULL AS STRING) AS element)) "
+        "ELSE transform(list, (x, i) -> struct(CAST(i AS BIGINT) AS i, x AS element)) END)"))
+
+
+@query(with_views("cites", "SELECT start_id, end_id FROM cites"))
+def edge_export_end_first(spark, folder):
+    """An edge table whose first column is the end."""
+    listing = TS.export_graph(spark, {}, {"CITES": cites(spark, folder).select("end_id", "start_id")},
+                              scratch(spark, "graph")).first()
+    return read_with_header_file(spark, listing.data, listing.header)
+
+
+def _json(*columns):
+    return F.to_json(F.struct(*columns))
+
+
+@query("SELECT item_id, text, 'item-' || item_id AS doc_key FROM benchmark")
+def json_doc_files(spark, folder):
+    """A folder with one JSON document per file, named after it."""
+    items, path = table(spark, folder, "benchmark"), scratch(spark, "docs")
+    items.select(F.concat(F.lit("item-"), F.col("item_id").cast("string")).alias("doc"), _json("item_id", "text")
+                 ).write.partitionBy("doc").text(path)
+    docs = read_json_docs(spark, path, items.select("item_id", "text").schema, pattern="*.txt")
+    return docs.select("item_id", "text", F.col("doc").alias("doc_key"))
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def json_array_files(spark, folder):
+    """Files with one array of about a hundred documents each."""
+    documents, path = table(spark, folder, "documents").select("doc_id", "text", "lang"), scratch(spark, "arrays")
+    block = F.floor(F.col("doc_id") / 100).alias("block")
+    arrays = documents.groupBy(block).agg(F.collect_list(_json("doc_id", "text", "lang")).alias("each"))
+    arrays.select("block", F.concat(F.lit("["), F.array_join("each", ",\n"), F.lit("]"))).write.partitionBy(
+        "block").text(path)
+    return read_json_docs(spark, path, documents.schema, pattern="*.txt").select("doc_id", "text", "lang")
+
+
 @query(with_views("cites", "SELECT start_id, end_id FROM cites"))
 def parquet_roundtrip(spark, folder):
     path = scratch(spark, "lists")

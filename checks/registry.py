@@ -1,5 +1,6 @@
 """Registered queries and the SQL that must give the same rows."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,6 +22,11 @@ def query(sql: str | None = None):
 
 
 def scratch(spark, name):
-    """A new folder in the space all executors share; a temporary one where the session names none."""
+    """A new folder in the space all executors share, which a cluster names in spark.checkpoint.dir; a temporary one
+    where driver and executors are one process."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base}/{name}-{uuid.uuid4().hex}" if base else f"{tempfile.mkdtemp(prefix='quire-')}/{name}"
+    if base is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="quire-")
+    return f"{base}/{name}-{uuid.uuid4().hex}"

@@ -122,7 +122,7 @@ def recount_in_degree(spark, folder):
 
 
 @query(with_views("cites", """
-SELECT start_id, CAST(0 AS INTEGER) AS part, string_agg(end_id, ',' ORDER BY end_id) AS citations
+SELECT start_id, string_agg(end_id, ',' ORDER BY end_id) AS citations
 FROM cites GROUP BY start_id"""))
 def adjacency_lists(spark, folder):
     lists = make_lists(cites(spark, folder), "start_id", "end_id", "citations")
@@ -132,8 +132,8 @@ def adjacency_lists(spark, folder):
 @query(with_views("raw_cites", """
 SELECT start_id, end_id FROM raw_cites"""))
 def adjacency_lists_in_parts(spark, folder):
-    """Lists of at most about ten ids, exploded again: nothing is lost or doubled, repeated edges included."""
-    lists = make_lists(raw_cites(spark, folder), "end_id", "start_id", "incoming", max_items=10)
+    """Lists in four parts, exploded again: nothing is lost or doubled, repeated edges included."""
+    lists = make_lists(raw_cites(spark, folder), "end_id", "start_id", "incoming", parts=4)
     return lists.select(F.explode("incoming").alias("start_id"), "end_id")
 
 
@@ -173,8 +173,8 @@ def _raw_articles(spark, folder):
     return _orders(spark, folder).filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("o/"), F.col("o_orderkey").cast("string")).alias("key"),
         F.col("o_orderpriority").alias("title"), F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("ee"),
-        F.lit(None).cast("string").alias("ee_type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("mdate"),
-        F.lit(None).cast("string").alias("note"), F.when(status == "F", F.lit("a|b")).alias("url"),
+        F.concat_ws("|", "o_orderstatus", "o_orderpriority").alias("ee_type"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("mdate"),
+        F.when(status == "F", F.col("o_orderpriority")).alias("note"), F.when(status == "F", F.lit("a|b")).alias("url"),
         F.when(status == "F", F.year("o_orderdate")).alias("year"),
         F.lit("x").alias("number"), F.lit("x").alias("pages"), F.lit("x").alias("volume"))
 
@@ -184,13 +184,13 @@ def _published_in(spark, folder):
     return _orders(spark, folder).filter("o_orderstatus <> 'O'").select(
         F.col("o_orderkey").alias("start_id"), F.col("o_custkey").alias("end_id"),
         F.col("o_orderstatus").alias("number"), F.col("o_orderpriority").alias("pages"),
-        F.lit(None).cast("string").alias("volume"))
+        F.concat("o_orderstatus", F.lit("1")).alias("volume"))
 
 
 @query(with_views("author authored_by", """,
 written AS (SELECT author_id, string_agg(article_id, ',' ORDER BY article_id) AS ids
     FROM authored_by JOIN orders ON article_id = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY author_id)
-SELECT author_id AS "ID", CAST(0 AS INTEGER) AS part, name, n_name || ',' || r_name AS affiliations,
+SELECT author_id AS "ID", name, n_name || ',' || r_name AS affiliations,
     CASE WHEN citationcount > 1000 THEN name END AS orcid,
     CASE WHEN citationcount > 0 THEN citationcount ELSE -1 END AS hindex, citationcount AS papercount,
     CAST(-1 AS INTEGER) AS citationcount, coalesce(ids, '') AS written_articles_ids
@@ -206,8 +206,10 @@ writers AS (SELECT article_id, string_agg(author_id, ',' ORDER BY author_id) AS
             GROUP BY article_id),
 outgoing AS (SELECT start_id, string_agg(end_id, ',' ORDER BY end_id) AS ids FROM cites GROUP BY start_id),
 arriving AS (SELECT end_id, string_agg(start_id, ',' ORDER BY start_id) AS ids FROM cites GROUP BY end_id)
-SELECT o_orderkey AS "ID", CAST(0 AS INTEGER) AS part, 'o/' || o_orderkey AS key, o_orderpriority AS title,
-    o_orderpriority || ',' || o_orderstatus AS ee, strftime(o_orderdate, '%Y-%m-%d') AS mdate,
+SELECT o_orderkey AS "ID", 'o/' || o_orderkey AS key, o_orderpriority AS title,
+    o_orderpriority || ',' || o_orderstatus AS ee, o_orderstatus || ',' || o_orderpriority AS ee_type,
+    CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS note,
+    CASE WHEN o_orderstatus = 'F' THEN 'F1' END AS volume, strftime(o_orderdate, '%Y-%m-%d') AS mdate,
     CASE WHEN o_orderstatus = 'F' THEN 'a,b' ELSE '' END AS url,
     CAST(CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) END AS INTEGER) AS year,
     CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS journal_id,
@@ -219,29 +221,28 @@ LEFT JOIN arriving ON o_orderkey = end_id WHERE o_orderstatus <> 'P'"""))
 def article_table(spark, folder):
     made = T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder),
                            _published_in(spark, folder), cites(spark, folder))
-    lists = ("ee", "url", "authors_ids", "citations", "incoming_citations")
-    return (made.withColumns({c: _texts(c) for c in lists}).withColumn("mdate", F.col("mdate").cast("string"))
-            .drop("ee_type", "note", "volume"))
+    lists = ("ee", "ee_type", "note", "url", "authors_ids", "citations", "incoming_citations")
+    return made.withColumns({c: _texts(c) for c in lists}).withColumn("mdate", F.col("mdate").cast("string"))
 
 
 @query(with_views("journal", """,
 members AS (SELECT o_custkey, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS ids FROM orders
             WHERE o_orderstatus <> 'O' GROUP BY o_custkey)
-SELECT journal_id, CAST(0 AS INTEGER) AS part, name, n AS "NumArticles", ids AS "Articles"
+SELECT journal_id, name, n AS "NumArticles", ids AS "Articles"
 FROM journal LEFT JOIN members ON journal_id = o_custkey"""))
 def venue_article_lists(spark, folder):
     made = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), _published_in(spark, folder))
     return made.withColumn("Articles", _texts("Articles"))
 
 
-def _bibliography_from_tables(spark, folder):
-    """The detour over tables with list columns, short lists so that hubs have several parts."""
+def bibliography_from_tables(spark, folder):
+    """The detour over tables with list columns, in several parts."""
     published = _published_in(spark, folder)
     articles = T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder), published,
-                               cites(spark, folder), max_items=8)
+                               cites(spark, folder), parts=3)
     people = T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
-                            _authored_edges(spark, folder), max_items=100)
-    venues = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published, max_items=8)
+                            _authored_edges(spark, folder), parts=2)
+    venues = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published, parts=2)
     return Bibliography.from_tables(articles, people, venues)
 
 
@@ -269,7 +270,7 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS articles
 FROM orders JOIN incoming ON o_orderkey = article_id WHERE n >= 11 AND o_orderstatus = 'F'
 GROUP BY year(o_orderdate) HAVING count(*) >= 21"""))
 def years_with_cited_articles_from_tables(spark, folder):
-    return A.years_with_cited_articles(_bibliography_from_tables(spark, folder), 21, 11)
+    return A.years_with_cited_articles(bibliography_from_tables(spark, folder), 21, 11)
 
 
 # Which publication type stands for which order priority.
@@ -309,26 +310,27 @@ def _raw_graph_tables(spark, folder):
 pub AS (SELECT o_orderkey AS id, o_orderpriority AS kind, o_orderstatus AS status, o_custkey AS parent FROM orders),
 home AS (SELECT id FROM pub WHERE status = 'P'), incoll AS (SELECT id FROM pub WHERE kind = '3-MEDIUM'),
 outside AS (SELECT id FROM home UNION SELECT id FROM incoll)
-SELECT 'CITES' AS kind, start_id, end_id, CAST(NULL AS VARCHAR) AS volume FROM raw_cites JOIN pub ON end_id = id
+SELECT 'CITES' AS kind, start_id, end_id, CAST(NULL AS VARCHAR) AS number, CAST(NULL AS VARCHAR) AS pages,
+    CAST(NULL AS VARCHAR) AS volume FROM raw_cites JOIN pub ON end_id = id
     WHERE status <> 'O' AND start_id NOT IN (SELECT id FROM outside) AND end_id NOT IN (SELECT id FROM outside)
-UNION ALL SELECT 'BELONG_TO', c.id, p.id, c.status FROM pub c JOIN pub p ON c.parent = p.id
+UNION ALL SELECT 'BELONG_TO', c.id, p.id, c.kind, c.parent::VARCHAR, c.status FROM pub c JOIN pub p ON c.parent = p.id
     WHERE c.kind = '4-NOT SPECIFIED' AND p.kind = '5-LOW'
-UNION ALL SELECT 'PUBLISHED_IN', id, parent, status FROM pub WHERE kind = '1-URGENT'
-UNION ALL SELECT 'PART_OF', id, parent, status FROM pub WHERE kind IN ('2-HIGH', '5-LOW')
-UNION ALL SELECT 'AUTHORED_BY', article_id, author_id, NULL FROM authored_by
+UNION ALL SELECT 'PUBLISHED_IN', id, parent, kind, parent::VARCHAR, status FROM pub WHERE kind = '1-URGENT'
+UNION ALL SELECT 'PART_OF', id, parent, NULL, NULL, status FROM pub WHERE kind IN ('2-HIGH', '5-LOW')
+UNION ALL SELECT 'AUTHORED_BY', article_id, author_id, NULL, NULL, NULL FROM authored_by
     WHERE article_id NOT IN (SELECT id FROM outside)
-UNION ALL SELECT 'PUBLISHED_BY', article_id, author_id, NULL FROM authored_by
+UNION ALL SELECT 'PUBLISHED_BY', article_id, author_id, NULL, NULL, NULL FROM authored_by
     WHERE article_id NOT IN (SELECT id FROM incoll)
-UNION ALL SELECT 'EDITED_BY', article_id, author_id, NULL FROM authored_by
+UNION ALL SELECT 'EDITED_BY', article_id, author_id, NULL, NULL, NULL FROM authored_by
     WHERE article_id NOT IN (SELECT id FROM home)
-UNION ALL SELECT 'SUBMITTED_AT', id, parent, NULL FROM pub"""))
+UNION ALL SELECT 'SUBMITTED_AT', id, parent, NULL, NULL, NULL FROM pub"""))
 def graph_edges(spark, folder):
     """All edge types of the prepared graph, stacked."""
     edges = build_graph(_raw_graph_tables(spark, folder)).edges
     stacked = None
     for kind, df in edges.items():
-        volume = F.col("volume") if "volume" in df.columns else F.lit(None).cast("string").alias("volume")
-        rows = df.select(F.lit(kind).alias("kind"), "start_id", "end_id", volume)
+        own = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("number", "pages", "volume")]
+        rows = df.select(F.lit(kind).alias("kind"), "start_id", "end_id", *own)
         stacked = rows if stacked is None else stacked.unionByName(rows)
     return stacked
 

@@ -1,9 +1,9 @@
 """The driver tables as a bibliography.
 
-    article      orders: id, title = priority, year of the date, journal = customer
+    article      orders that are not pending: id, title = priority, year of the date, journal = customer
     author       suppliers with nation and region as affiliations and the floored balance as citation count
     journal      customers: name and market segment
-    authored_by  distinct (order, supplier) of the line items
+    authored_by  distinct (order, supplier) of the line items; pending orders are publications other than articles
     cites        distinct (order, part * line number) of the line items, read as citing and cited article
 
 `cites` grows with the line items and has cited articles of very different degree, as a product has several
@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select(
+    return table(spark, folder, "orders").filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").alias("article_id"), F.col("o_orderpriority").alias("title"),
         F.year("o_orderdate").alias("year"), F.col("o_custkey").alias("journal_id"),
         F.concat(F.lit("o/"), F.col("o_orderkey").cast("string")).alias("url"))
@@ -72,7 +72,7 @@ def bibliography(spark: SparkSession, folder: str) -> Bibliography:
 SQL_VIEWS = {
     "article": """SELECT o_orderkey AS article_id, o_orderpriority AS title,
         CAST(year(o_orderdate) AS INTEGER) AS yr, o_custkey AS journal_id,
-        'o/' || CAST(o_orderkey AS VARCHAR) AS url FROM orders""",
+        'o/' || CAST(o_orderkey AS VARCHAR) AS url FROM orders WHERE o_orderstatus <> 'P'""",
     "author": """SELECT s_suppkey AS author_id, s_name AS name, CAST(floor(s_acctbal) AS INTEGER) AS citationcount,
         n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey""",

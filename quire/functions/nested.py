@@ -27,27 +27,42 @@ def sections(paragraphs: Column, as_coded: bool = False) -> Column:
     """Paragraphs grouped into ``{section_title, paragraphs}``, sections in order of first appearance.
 
     With ``as_coded`` a paragraph whose title came up before goes to the latest section instead of its own.
-    The work grows with paragraphs times sections; for documents of very many sections keep the paragraphs as
-    rows and use `quire.plans.documents.aggregate_sections`.
+    Titles are sorted with their positions, so each section is one slice: the work is n log n in the paragraphs.
     """
     # A title as a key that is never null.
-    keys = F.transform(paragraphs, lambda p: F.coalesce(F.concat(F.lit("t"), p["section"]), F.lit("n")))
-
-    def group(env):
-        starts = F.transform(F.array_distinct(env["keys"]), lambda key: F.struct(
-            key.alias("key"), F.array_position(env["keys"], key).alias("at")))
+    keyed = F.array_sort(F.transform(paragraphs, lambda p, i: F.struct(
+        F.coalesce(F.concat(F.lit("t"), p["section"]), F.lit("n")).alias("key"), i.alias("at"))))
+    title = lambda key: F.when(key.startswith("t"), F.substring(key, 2, 2**31 - 1)).alias("section_title")
+    bare = lambda members: F.transform(members, lambda p: p.dropFields("section")).alias("paragraphs")
+
+    def first_of_each(keyed):
+        """(at, key, from): first position of each title, and where its run begins among the sorted ones."""
+        runs = F.transform(keyed, lambda x, k: F.struct(
+            x["at"].alias("at"), x["key"].alias("key"), k.alias("from"),
+            ((k == 0) | (F.get(keyed, k - 1)["key"] != x["key"])).alias("new")))
+        return F.filter(runs, lambda x: x["new"])
+
+    def consecutive(starts):
+        return F.transform(starts, lambda s, k: F.struct(title(s["key"]), bare(F.slice(
+            paragraphs, s["at"] + 1, F.coalesce(F.get(starts, k + 1)["at"], F.size(paragraphs)) - s["at"]))))
+
+    def by_title(env):
+        made = F.transform(env["starts"], lambda s, k: F.struct(
+            s["at"].alias("at"), title(s["key"]), bare(F.transform(
+                F.slice(env["keyed"], s["from"] + 1,
+                        F.coalesce(F.get(env["starts"], k + 1)["from"], F.size(env["keyed"])) - s["from"]),
+                lambda x: F.get(env["paragraphs"], x["at"])))))
+        in_order = F.array_sort(F.transform(made, lambda s, k: F.struct(s["at"].alias("at"), k.alias("k"))))
+        return bind(made, lambda made: F.transform(in_order, lambda x: F.get(made, x["k"]).dropFields("at")))
+
+    def group(keyed):
+        starts = first_of_each(keyed)
         if as_coded:
-            member = lambda _, i, start, nxt: (i >= start["at"] - 1) & (i < F.coalesce(nxt["at"] - 1, F.lit(2**31 - 1)))
-        else:
-            member = lambda p, i, start, nxt: F.get(env["keys"], i) == start["key"]
-        section = lambda starts: F.transform(starts, lambda start, k: F.struct(
-            F.when(start["key"].startswith("t"), F.substring(start["key"], 2, 2**31 - 1)).alias("section_title"),
-            F.transform(F.filter(env["paragraphs"], lambda p, i: member(p, i, start, F.get(starts, k + 1))),
-                        lambda p: p.dropFields("section")).alias("paragraphs")))
-        return bind(starts, section)
-
-    return F.when(paragraphs.isNotNull(),
-                  bind(F.struct(keys.alias("keys"), paragraphs.alias("paragraphs")), group))
+            return bind(F.array_sort(starts), consecutive)
+        return bind(starts, lambda starts: bind(F.struct(
+            starts.alias("starts"), keyed.alias("keyed"), paragraphs.alias("paragraphs")), by_title))
+
+    return F.when(paragraphs.isNotNull(), bind(keyed, group))
 
 
 def add_images(figures: Column, images: Column) -> Column:

@@ -1,6 +1,6 @@
 """Column expressions over text fields."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import bind
@@ -57,6 +57,20 @@ KEYWORDS = [
 
 
 def tag_keywords(text: Column, vocabulary: list[str] = KEYWORDS) -> Column:
-    """Words of the vocabulary (upper case) that the whole text contains, in vocabulary order."""
+    """Words of the vocabulary (upper case) that the whole text contains, in vocabulary order.
+
+    A word counts where no letter or digit stands right before or behind it, so JAVA is not in JAVASCRIPT.
+    """
+    inside = r"[\p{L}\p{N}]"
+    def found(upper, word):
+        return upper.contains(word) & upper.rlike(rf"(?<!{inside})\Q{word}\E(?!{inside})")
     return bind(F.upper(text), lambda upper: F.array_compact(
-        F.array(*[F.when(upper.contains(word), F.lit(word)) for word in vocabulary])))
+        F.array(*[F.when(found(upper, word), F.lit(word)) for word in vocabulary])))
+
+
+def tag_keywords_of(texts: DataFrame, id_col: str, text_col: str, vocabulary: DataFrame) -> DataFrame:
+    """(id_col, keywords): the words of a vocabulary table (word: lower case, one run of letters and digits each) that
+    a text contains, sorted. The words of the texts meet the table in a join, so the table may be of any size."""
+    tokens = texts.select(id_col, F.explode(F.array_distinct(F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"))).alias("word"))
+    return (tokens.join(vocabulary.select("word").distinct(), "word").groupBy(id_col)
+            .agg(F.sort_array(F.collect_list("word")).alias("keywords")))

@@ -58,9 +58,13 @@ _NOT_NULL_DEFAULTS = {T.StringType: "", T.BooleanType: False, T.DoubleType: 0.0}
 
 
 def require_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Drop rows with a null in ``columns`` and mark these columns as not null in the schema."""
-    df = df.dropna(subset=columns)
+    """Drop rows with a null in ``columns`` and mark these columns as not null in the schema (numbers, strings,
+    booleans; `count_null_keys` counts the rows)."""
     types = {f.name: f.dataType for f in df.schema}
+    for name in columns:
+        if not isinstance(types[name], (T.NumericType, T.StringType, T.BooleanType)):
+            raise TypeError(f"{name} is of type {types[name].simpleString()}; keys are numbers, strings or booleans")
+    df = df.dropna(subset=columns)
     return df.withColumns({
         name: F.coalesce(_quoted(name), F.lit(_NOT_NULL_DEFAULTS.get(type(types[name]), 0)).cast(types[name]))
         for name in columns

@@ -1,8 +1,10 @@
 """Grouping ids into lists, and back.
 
-A list lives in one row, so a key with very many items (a hub) cannot have just one. Such a key gets further
-rows: ``part`` is 0 for the only row of an ordinary key and 0, 1, 2, ... for a hub. Every item is in exactly one
-part, so exploding the list column gives back the edge table.
+A list lives in one row, so a key with very many items needs several. The caller says how many with ``parts``: with
+1 every key has one list; with more every key has up to ``parts`` rows, numbered by ``part``, and an item's part is a
+hash of the item. The layout depends on this argument alone, not on the data. A row holds about 1 / ``parts`` of its
+key's items, so ``parts`` is chosen for the largest key. Every item is in exactly one part, so exploding the list
+column gives back the edge table.
 """
 
 from functools import reduce
@@ -10,58 +12,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ITEMS = 1_000_000
-# Rows of the broadcast hub table at most. Beyond it only keys that hold less than a millionth of all rows are
-# left, and these are grouped like any other key.
-MAX_HUBS = 1_000_000
 
+def assign_parts(rows: DataFrame, item: str, parts: int) -> DataFrame:
+    """Add ``part``, 0 to ``parts`` - 1, by a hash of ``item``."""
+    return rows.withColumn("part", F.pmod(F.xxhash64(item), F.lit(parts)).cast("int"))
 
-def hub_keys(rows: DataFrame, keys: list[str], max_items: int = MAX_ITEMS) -> DataFrame:
-    """Keys with more than ``max_items`` rows and the number of parts each needs; counted before the shuffle."""
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_items)
-    return sizes.orderBy(F.desc("_n"), *keys).limit(MAX_HUBS).select(
-        *keys, F.ceil(F.col("_n") / max_items).cast("int").alias("_parts"))
-
-
-def assign_parts(rows: DataFrame, keys: list[str], item: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """Add ``part``: 0 for ordinary keys, spread by a hash of ``item`` for hubs. Rows are distinct."""
-    part = F.coalesce(F.pmod(F.xxhash64(item), F.col("_parts")), F.lit(0)).cast("int")
-    # The broadcast side has at most MAX_HUBS rows.
-    return (rows.join(F.broadcast(hub_keys(rows, keys, max_items)), keys, "left")
-            .withColumn("part", part).drop("_parts"))
 
+def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, parts: int = 1) -> DataFrame:
+    """(keys, sorted list of ``item``), and ``part`` after the keys where there is more than one. Rows with a null key
+    are left out, repeated items are kept. The rows are read and shuffled once."""
+    rows = reduce(lambda df, key: df.filter(F.col(key).isNotNull()), keys, rows.select(*keys, item))
+    if parts > 1:
+        rows, keys = assign_parts(rows, item, parts), [*keys, "part"]
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
 
-def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(keys, part, sorted list of ``item``). Rows with a null key are left out, repeated items are kept.
 
-    Items of a hub are first counted per value, so copies collapse before the shuffle; they are then laid out in
-    blocks of at most ``max_items`` and spread over the parts by hash.
-    """
-    rows = reduce(lambda df, key: df.filter(F.col(key).isNotNull()), keys, rows.select(*keys, item))
-    # At most MAX_HUBS rows; both joins below share one broadcast.
-    hubs = F.broadcast(hub_keys(rows, keys, max_items))
-
-    ordinary = (rows.join(hubs, keys, "left").filter(F.col("_parts").isNull())
-                .groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
-                .select(*keys, F.lit(0).alias("part"), name))
-
-    blocks = (rows.join(hubs, keys)
-              .groupBy(*keys, "_parts", item).agg(F.count("*").alias("_copies"))
-              .withColumn("_block", F.explode(F.sequence(
-                  F.lit(0), F.expr(f"cast((_copies - 1) div {max_items} as int)"))))
-              .withColumn("_copies", F.least(F.col("_copies") - F.col("_block") * max_items, F.lit(max_items)))
-              .withColumn("part", F.pmod(F.xxhash64(item) + F.col("_block"), F.col("_parts")).cast("int")))
-    spread = (blocks.groupBy(*keys, "part")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col(item).alias("v"), F.col("_copies").alias("n"))))
-                   .alias("_items"))
-              .select(*keys, "part", F.flatten(F.transform(
-                  "_items", lambda x: F.array_repeat(x["v"], x["n"].cast("int")))).alias(name)))
-    return ordinary.unionByName(spread)
-
-
-def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, max_items: int = MAX_ITEMS) -> DataFrame:
+def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, parts: int = 1) -> DataFrame:
     """Neighbour ids per id."""
-    return collect_parts(edges, [key], item, name, max_items)
+    return collect_parts(edges, [key], item, name, parts)
 
 
 def explode_list(df: DataFrame, key: str, name: str, item: str) -> DataFrame:
@@ -69,23 +37,15 @@ def explode_list(df: DataFrame, key: str, name: str, item: str) -> DataFrame:
     return df.select(key, F.explode(name).alias(item))
 
 
-def attach_lists(base: DataFrame, key: str, lists: dict[str, DataFrame],
-                 known: DataFrame | None = None) -> DataFrame:
-    """Left-join lists (key, part, name) to their entities. Entities keep one row, ``part`` 0, with all columns;
-    further parts of a hub follow as rows that hold the key, ``part`` and one list.
+def attach_lists(base: DataFrame, key: str, lists: list[DataFrame], parts: int = 1) -> DataFrame:
+    """Left-join lists (key, list) or (key, part, list) to their entities.
 
-    ``known`` gives the entity ids where lists may belong to other ids too.
+    With ``parts`` every entity has that many rows, 0 to ``parts`` - 1, which repeat its columns.
     """
-    table = base.withColumn("part", F.lit(0))
-    overflow = []
-    for name, parts in lists.items():
-        parts = parts.select(key, "part", name)
-        table = table.join(parts.filter("part = 0").drop("part"), key, "left")
-        rest = parts.filter("part > 0")
-        overflow.append(rest if known is None else rest.join(known.select(key), key, "left_semi"))
-    for rows in overflow:
-        table = table.unionByName(rows, allowMissingColumns=True)
-    return table
+    if parts > 1:
+        base = base.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    on = [key, "part"] if parts > 1 else [key]
+    return reduce(lambda table, rows: table.join(rows, on, "left"), lists, base)
 
 
 def degree(edges: DataFrame, key: str, name: str) -> DataFrame:

@@ -1,29 +1,30 @@
 """Global positions without a global sort in one task."""
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_position(df: DataFrame, order_col: str, name: str = "position") -> DataFrame:
-    """Add the 1-based position of each row in the order of a unique numeric column.
+def with_position(df: DataFrame, order_col: str, name: str = "position", ties: tuple[str, ...] = ()) -> DataFrame:
+    """Add the 1-based position of each row in the order of a numeric column, then of the columns ``ties``.
 
-    Approximate quantiles cut the value range into even buckets, one per shuffle partition. Rows are numbered
-    inside their bucket, and each bucket starts after the exact row counts of the ones before, so positions are
-    exact whatever the cuts are. Only the cuts pass through the driver.
+    Every row keeps its place: NaN comes behind all numbers, null behind NaN. Approximate quantiles cut the value
+    range into even buckets, one per shuffle partition. Rows are numbered inside their bucket, and each bucket starts
+    after the exact row counts of the ones before, so positions are exact whatever the cuts are. Only the cuts pass
+    through the driver, and are found when the plan is built. Rows of one value lie in one bucket.
     """
-    df = df.dropna(subset=[order_col])
     buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(order_col, shares, 0.5 / buckets)))
-    splits = [float("-inf"), *cuts, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_value", outputCol="_bucket").transform(
-        df.withColumn("_value", F.col(order_col).cast("double"))).drop("_value")
+    value = F.col(order_col).cast("double")
+    numbers = df.select(value.alias("_value")).filter(~F.isnan("_value"))
+    cuts = sorted(set(numbers.approxQuantile("_value", shares, 0.5 / buckets)))
+    below = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<double>"), lambda cut: cut <= value))
+    bucketed = df.withColumn("_bucket", F.when(value.isNull(), len(cuts) + 2).when(F.isnan(value), len(cuts) + 1)
+                             .otherwise(below))
 
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
                .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
-    inside = Window.partitionBy("_bucket").orderBy(order_col)
+    inside = Window.partitionBy("_bucket").orderBy(F.asc_nulls_last(order_col), *ties)
     # The broadcast side has one row per bucket.
     return (bucketed.withColumn(name, F.row_number().over(inside))
             .join(F.broadcast(offsets), "_bucket")

@@ -65,13 +65,25 @@ def top_venue_in_year(bib: Bibliography, year: int = VENUE_YEAR, n: int = 1) ->
             .select("year", "name", "articles"))
 
 
+def _cited_authorships(bib: Bibliography, name: str | None) -> DataFrame:
+    """(author_id, article_id, incoming_count) of an author's or all authors' cited articles.
+
+    Only ids of the article table count: edges of authorship and citation also hold books, theses and the like. For
+    one name only the citations of that author's articles are counted.
+    """
+    written = _authorships(bib, name).select("author_id", "article_id")
+    if bib.cites is not None:
+        written = written.join(bib.articles.select("article_id"), "article_id", "left_semi")
+    return written.join(bib.incoming_counts(None if name is None else written), "article_id")
+
+
 def _citation_histogram(bib: Bibliography, name: str | None) -> DataFrame:
     """(author_id, citations, articles): per author, how many articles have a given number of citations.
 
     An author with C citations in all has at most about sqrt(2 C) different numbers, so this table is small for
     any author, and it is counted before the shuffle.
     """
-    return (_authorships(bib, name).join(bib.incoming_counts(), "article_id")
+    return (_cited_authorships(bib, name)
             .groupBy("author_id", F.col("incoming_count").alias("citations"))
             .agg(F.count("*").alias("articles")))
 
@@ -117,8 +129,7 @@ def years_with_cited_articles(bib: Bibliography, min_articles: int = MIN_ARTICLE
 
 def i_index(bib: Bibliography, name: str | None = None, threshold: int = I_INDEX_CITATIONS) -> DataFrame:
     """Number of an author's articles with at least ``threshold`` citations (author_id, name, i_index)."""
-    cited = bib.incoming_counts().filter(F.col("incoming_count") >= threshold)
-    counts = (_authorships(bib, name).join(cited, "article_id", "left_semi")
+    counts = (_cited_authorships(bib, name).filter(F.col("incoming_count") >= threshold)
               .groupBy("author_id").agg(F.count("*").alias("i_index")))
     return (_named(bib, name).join(counts, "author_id", "left")
             .select("author_id", "name", F.coalesce("i_index", F.lit(0)).alias("i_index")))

@@ -15,7 +15,7 @@ class Bibliography:
     journals (journal_id, name) and authored_by (article_id, author_id).
 
     Citations are edges, cites (start_id, end_id), or a column ``incoming_count`` of ``articles``. Where the authors
-    come with lists of their articles, ``written`` holds these (author_id, part, written_articles_ids, ...).
+    come with lists of their articles, ``written`` holds these (author_id, written_articles_ids, ..., and part if there are several).
     """
 
     authors: DataFrame
@@ -27,20 +27,16 @@ class Bibliography:
 
     @classmethod
     def from_tables(cls, articles: DataFrame, authors: DataFrame, journals: DataFrame) -> "Bibliography":
-        """From the tables of `quire.plans.tables`; citation counts come from the list sizes, without a shuffle."""
+        """From the tables of `quire.plans.tables`; citation counts come from the list sizes. Only tables in parts
+        are shuffled to sum them up."""
         sized = (articles.withColumnRenamed("ID", "article_id")
                  .withColumn("incoming_count", list_size(F.col("incoming_citations")).cast("long"))
                  .drop("authors_ids", "citations", "incoming_citations"))
         authors = authors.withColumnRenamed("ID", "author_id")
-        if "part" not in authors.columns:
-            authors = authors.withColumn("part", F.lit(0))
         one_row = lambda df: df.filter("part = 0").drop("part") if "part" in df.columns else df
         if "part" in sized.columns:
-            # Only hubs have further parts, so this side has at most MAX_HUBS rows.
-            more = sized.filter("part > 0").groupBy("article_id").agg(F.sum("incoming_count").alias("_more"))
-            sized = (one_row(sized).join(F.broadcast(more), "article_id", "left")
-                     .withColumn("incoming_count", F.col("incoming_count") + F.coalesce("_more", F.lit(0)))
-                     .drop("_more"))
+            counts = sized.groupBy("article_id").agg(F.sum("incoming_count").alias("incoming_count"))
+            sized = one_row(sized).drop("incoming_count").join(counts, "article_id")
         return cls(
             authors=one_row(authors).drop("written_articles_ids"),
             articles=sized,
@@ -57,11 +53,7 @@ class Bibliography:
         attributes = ["author_id", "name", "affiliations"]
         if self.written is None:
             return self.authored_by.join(self.authors.filter(where).select(*attributes), "author_id")
-        chosen = self.written.filter((F.col("part") == 0) & where)
-        further = (self.written.filter("part > 0").select("author_id", "written_articles_ids")
-                   .join(chosen.select(*attributes), "author_id"))
-        lists = chosen.select(*attributes, "written_articles_ids").unionByName(further)
-        return lists.select(*attributes, F.explode("written_articles_ids").alias("article_id"))
+        return self.written.filter(where).select(*attributes, F.explode("written_articles_ids").alias("article_id"))
 
     def authorships_of(self, authors: DataFrame) -> DataFrame:
         """``authors`` (author_id, ...) with an ``article_id`` for each of their articles."""
@@ -70,8 +62,10 @@ class Bibliography:
         lists = self.written.select("author_id", "written_articles_ids").join(authors, "author_id")
         return lists.select(*authors.columns, F.explode("written_articles_ids").alias("article_id"))
 
-    def incoming_counts(self) -> DataFrame:
-        """(article_id, incoming_count) of articles that are cited at least once."""
+    def incoming_counts(self, among: DataFrame | None = None) -> DataFrame:
+        """(article_id, incoming_count) of ids that are cited at least once; ``among`` (article_id) leaves only those
+        ids, before their citations are counted."""
+        only = lambda df: df if among is None else df.join(among.select("article_id").distinct(), "article_id", "left_semi")
         if self.cites is None:
-            return self.articles.select("article_id", "incoming_count").filter("incoming_count > 0")
-        return degree(self.cites.select(F.col("end_id").alias("article_id")), "article_id", "incoming_count")
+            return only(self.articles.select("article_id", "incoming_count").filter("incoming_count > 0"))
+        return degree(only(self.cites.select(F.col("end_id").alias("article_id"))), "article_id", "incoming_count")

@@ -7,7 +7,7 @@ from quire.functions import nested
 from quire.functions.arrays import distinct_field, extended_json_date, or_empty, without_null_values
 from quire.functions.text import KEYWORDS, derive_email, tag_keywords
 from quire.operators.edges import proper_edges, recount_in_degree
-from quire.operators.lists import MAX_ITEMS, assign_parts, attach_lists
+from quire.operators.lists import assign_parts, attach_lists
 from quire.operators.rows import dedupe_first, first_n_matching
 
 
@@ -72,8 +72,11 @@ def attach_content(papers: DataFrame, texts: DataFrame, on: str, images: DataFra
                    vocabulary: list[str] = KEYWORDS, as_coded: bool = False) -> DataFrame:
     """Papers with ``content`` from the cleaned texts and with their fields of study as plain distinct names.
 
-    All joins are on ``on``, so the texts move once. A paper without a text has no content.
+    All joins are on ``on``, so the texts move once. A paper without a text has no content; of several texts of one
+    paper the one with the smallest hash counts.
     """
+    texts = dedupe_first(texts.withColumn("_hash", F.xxhash64(F.to_json(F.struct("paragraphs")))), [on], ["_hash"]).drop(
+        "_hash")
     if images is not None:
         texts = texts.join(assign_images(texts, images, on), on, "left")
     else:
@@ -94,32 +97,31 @@ def citation_records(documents: DataFrame, id_col: str, title_col: str, authors:
 
 
 def citation_lists(cited: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
-    """(id_col, part, citations[]) by reference id from edges (start_id, end_id, part); edges to unknown ids drop
-    out."""
-    linked = edges.join(cited, "end_id")
-    return (linked.groupBy(F.col("start_id").alias(id_col), "part")
+    """(id_col, citations[]) by reference id from edges (start_id, end_id); edges to unknown ids drop out. Where the
+    edges have a ``part``, there is a list for each part."""
+    keys = [F.col("start_id").alias(id_col), *(["part"] if "part" in edges.columns else [])]
+    return (edges.join(cited, "end_id").groupBy(*keys)
             .agg(F.sort_array(F.collect_list("citation")).alias("citations")))
 
 
 def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, known: DataFrame, id_col: str,
-                    max_items: int = MAX_ITEMS) -> DataFrame:
+                    parts: int = 1) -> DataFrame:
     """Documents with their ``citations`` (``[]`` if none) and ``referencecount`` recounted from the edges that
     point to them; ``influentialcitationcount`` goes away. Self-citations, repeats and edges from or to other
     documents do not count.
 
-    A document that cites more than ``max_items`` others has several parts.
+    With ``parts`` over 1 every document has that many rows, and a citation is in the part its id hashes to; choose
+    it so that 1 / ``parts`` of the longest list, with titles and author names, fits into a row.
 
     ``cited`` comes from `citation_records` and ``known`` holds the document ids. Both are taken from early, slim
     forms of the documents, so that their texts are not built again for them.
     """
     sources = known.select(F.col(id_col).alias("start_id"))
-    # Parts come first: the count behind them must not sit on top of a join that has one hot key.
-    tagged = assign_parts(proper_edges(edges), ["start_id"], "end_id", max_items)
-    inside = tagged.join(sources, "start_id", "left_semi")
-    lists = citation_lists(cited, inside, id_col)
+    inside = proper_edges(edges).join(sources, "start_id", "left_semi")
+    lists = citation_lists(cited, assign_parts(inside, "end_id", parts) if parts > 1 else inside, id_col)
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
-    return attach_lists(counted, id_col, {"citations": lists}).withColumn(
+    return attach_lists(counted, id_col, [lists], parts).withColumn(
         "citations", or_empty(F.col("citations"), kind))
 
 
@@ -131,13 +133,13 @@ def with_extended_dates(documents: DataFrame, columns: list[str]) -> DataFrame:
 def build_documents(papers: DataFrame, authors: DataFrame, texts: DataFrame, images: DataFrame, edges: DataFrame,
                     fallback_prefix: str, n: int | None = None, id_col: str = "corpusid",
                     vocabulary: list[str] = KEYWORDS, as_coded: bool = False,
-                    max_items: int = MAX_ITEMS) -> DataFrame:
+                    parts: int = 1) -> DataFrame:
     """The whole document preparation; ``texts`` carries ``id_col``, ``n`` keeps the first papers by id."""
     chosen = first_n_matching(papers, F.col("externalids.DBLP").isNotNull(), n, [id_col])
     documents = embed_authors(chosen, authors, id_col, fallback_prefix)
     cited = citation_records(documents, id_col, "title", F.col("authors.name"))
     documents = attach_content(documents, clean_texts(texts), id_col, images, vocabulary, as_coded)
-    documents = embed_citations(documents, cited, edges, chosen, id_col, max_items)
+    documents = embed_citations(documents, cited, edges, chosen, id_col, parts)
     return with_extended_dates(documents, ["publicationdate", "updated"])
 
 
@@ -146,7 +148,7 @@ def section_sizes(paragraphs: DataFrame, doc: str, pos: str, title: str) -> Data
     return paragraphs.groupBy(doc, title).agg(F.min(pos).alias("first_pos"), F.count("*").alias("paragraphs"))
 
 
-def number_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, block: int = MAX_ITEMS) -> DataFrame:
+def number_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, block: int = 100_000) -> DataFrame:
     """Add ``section_no`` as coded: how many different titles have come up so far in the document.
 
     A running count over a whole document would put a huge one into a single task. The section starts are few;
@@ -172,27 +174,29 @@ def number_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, block
 
 
 def aggregate_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, text: str,
-                       as_coded: bool = False, max_items: int = MAX_ITEMS) -> DataFrame:
-    """(doc, part, sections[{section_title, paragraphs[]}]) from paragraphs kept as rows.
+                       as_coded: bool = False, block: int | None = None) -> DataFrame:
+    """(doc, sections[{section_title, paragraphs[]}]) from paragraphs kept as rows.
 
-    A document with more than ``max_items`` positions has several parts; a section that spans parts appears in
-    each of them. Within a part, sections come in order of first appearance and paragraphs in order of position.
+    With ``block`` every document comes in parts of that many positions, (doc, part, sections), whatever its length; a
+    section that spans parts appears in each of them. Choose it so that a block of paragraphs fits into a row. Within a
+    row, sections come in order of first appearance and paragraphs in order of position.
     """
     position = F.col(pos).alias("pos")
-    part = F.expr(f"cast(`{pos}` div {max_items} as int)").alias("part")
+    part = [] if block is None else [F.expr(f"cast(`{pos}` div {block} as int)").alias("part")]
     if as_coded:
-        numbered = number_sections(paragraphs, doc, pos, title, max_items)
+        numbered = number_sections(paragraphs, doc, pos, title)
         starts = numbered.groupBy(doc, "section_no").agg(F.min_by(title, pos).alias("section_title"))
         rows = numbered.join(starts, [doc, "section_no"])
-        keys = [doc, part, "section_no", "section_title"]
+        keys = [doc, *part, "section_no", "section_title"]
         order = F.col("section_no")
     else:
         rows = paragraphs
-        keys = [doc, part, F.col(title).alias("section_title")]
+        keys = [doc, *part, F.col(title).alias("section_title")]
         order = F.col("_p")[0]["pos"]
+    outer = [doc, *(["part"] if part else [])]
     grouped = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(position, F.col(text).alias("text")))).alias("_p"))
     section = F.struct(order.alias("section_no"), "section_title", F.col("_p.text").alias("paragraphs")).alias("section")
-    return (grouped.select(doc, "part", section).groupBy(doc, "part")
+    return (grouped.select(*outer, section).groupBy(*outer)
             .agg(F.sort_array(F.collect_list("section")).alias("_sections"))
-            .select(doc, "part", F.transform("_sections", lambda s: s.dropFields("section_no")).alias("sections")))
+            .select(*outer, F.transform("_sections", lambda s: s.dropFields("section_no")).alias("sections")))

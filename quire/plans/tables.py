@@ -1,23 +1,27 @@
 """The denormalised author, article and journal tables: one row per entity with lists of neighbour ids.
 
-Lists follow `quire.operators.lists`: a hub's list goes on in rows with ``part`` > 0.
+Lists follow `quire.operators.lists`: ``parts`` gives the number of rows of each entity, 1 by default.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire import schemas
 from quire.functions.arrays import first_element, or_empty
 from quire.functions.text import parse_date, parse_list_literal, split_multivalue
-from quire.operators.columns import conform, fill_sentinels, require_not_null
-from quire.operators.lists import MAX_ITEMS, adjacency_lists, attach_lists, degree
+from quire.operators.columns import conform, count_null_keys, count_rejected_values, fill_sentinels, require_not_null
+from quire.operators.lists import adjacency_lists, attach_lists, degree
+from quire.operators.rows import dedupe_first
 from quire.plans.bibliography import Bibliography
 
 COUNTERS = ("hindex", "papercount", "citationcount")
 
 
 def author_table(authors: DataFrame, articles: DataFrame, authored_by: DataFrame, sentinels: bool = False,
-                 max_items: int = MAX_ITEMS) -> DataFrame:
+                 parts: int = 1) -> DataFrame:
     """Authors (id, affiliations and orcid as list literals, ...) with the ids of their articles, ``[]`` if none.
 
     Only ids of ``articles`` are listed. With ``sentinels`` missing counters become -1.
@@ -29,19 +33,18 @@ def author_table(authors: DataFrame, articles: DataFrame, authored_by: DataFrame
     if sentinels:
         parsed = fill_sentinels(parsed, {name: -1 for name in COUNTERS})
     written = authored_by.join(articles.select(F.col("id").alias("start_id")), "start_id", "left_semi")
-    lists = adjacency_lists(written, "end_id", "start_id", "written_articles_ids", max_items)
-    lists = {"written_articles_ids": lists.withColumnRenamed("end_id", "id")}
-    table = attach_lists(parsed, "id", lists, known=authors)
+    lists = adjacency_lists(written, "end_id", "start_id", "written_articles_ids", parts)
+    table = attach_lists(parsed, "id", [lists.withColumnRenamed("end_id", "id")], parts)
     return (table.withColumn("written_articles_ids", or_empty(F.col("written_articles_ids"), "array<bigint>"))
             .withColumnRenamed("id", "ID"))
 
 
 def article_table(articles: DataFrame, authored_by: DataFrame, published_in: DataFrame, cites: DataFrame,
-                  sentinels: bool = False, max_items: int = MAX_ITEMS) -> DataFrame:
+                  sentinels: bool = False, parts: int = 1) -> DataFrame:
     """Articles with parsed fields, author ids, journal id with number/pages/volume, and citations both ways.
 
-    ``published_in`` is (start_id, end_id, number, pages, volume) with at most one journal per article. A null
-    url becomes ``[""]``; with ``sentinels`` a missing year becomes -1.
+    ``published_in`` is (start_id, end_id, number, pages, volume); of several journals of an article the smallest id
+    counts (then number, pages and volume). A null url becomes ``[""]``; with ``sentinels`` a missing year becomes -1.
     """
     parsed = articles.withColumns({
         "ee": split_multivalue(F.col("ee")),
@@ -52,34 +55,54 @@ def article_table(articles: DataFrame, authored_by: DataFrame, published_in: Dat
     })
     if sentinels:
         parsed = fill_sentinels(parsed, {"year": -1})
+    published_in = dedupe_first(published_in, ["start_id"], ["end_id", "number", "pages", "volume"])
     placed = published_in.select(F.col("start_id").alias("id"), F.col("end_id").alias("journal_id"),
                                  "number", "pages", "volume")
     parsed = parsed.drop("number", "pages", "volume").join(placed, "id", "left")
-    outgoing = adjacency_lists(cites, "start_id", "end_id", "citations", max_items)
-    incoming = adjacency_lists(cites, "end_id", "start_id", "incoming_citations", max_items)
-    written_by = adjacency_lists(authored_by, "start_id", "end_id", "authors_ids", max_items)
-    return attach_lists(parsed, "id", {
-        "authors_ids": written_by.withColumnRenamed("start_id", "id"),
-        "citations": outgoing.withColumnRenamed("start_id", "id"),
-        "incoming_citations": incoming.withColumnRenamed("end_id", "id"),
-    }, known=articles).withColumnRenamed("id", "ID")
+    outgoing = adjacency_lists(cites, "start_id", "end_id", "citations", parts)
+    incoming = adjacency_lists(cites, "end_id", "start_id", "incoming_citations", parts)
+    written_by = adjacency_lists(authored_by, "start_id", "end_id", "authors_ids", parts)
+    return attach_lists(parsed, "id", [
+        written_by.withColumnRenamed("start_id", "id"), outgoing.withColumnRenamed("start_id", "id"),
+        incoming.withColumnRenamed("end_id", "id")], parts).withColumnRenamed("id", "ID")
 
 
-def journal_table(journals: DataFrame, published_in: DataFrame, max_items: int = MAX_ITEMS) -> DataFrame:
+def journal_table(journals: DataFrame, published_in: DataFrame, parts: int = 1) -> DataFrame:
     """Journals (id, name) with the ids of their articles and how many there are in all parts together."""
     members = published_in.select(F.col("end_id").alias("id"), "start_id").dropna()
     counted = journals.join(degree(members, "id", "NumArticles"), "id", "left")
-    lists = adjacency_lists(members, "id", "start_id", "Articles", max_items)
-    return attach_lists(counted, "id", {"Articles": lists}, known=journals).withColumnRenamed("id", "journal_id")
+    lists = adjacency_lists(members, "id", "start_id", "Articles", parts)
+    return attach_lists(counted, "id", [lists], parts).withColumnRenamed("id", "journal_id")
+
+
+_STORED = {"article": (schemas.ARTICLE, "ID"), "author": (schemas.AUTHOR, "ID"), "journal": (schemas.JOURNAL, "journal_id")}
+
+
+def _final_schema(schema, raw: DataFrame):
+    """The schema of a stored table; ``part`` only where the table has it."""
+    return T.StructType([f for f in schema if f.name != "part" or "part" in raw.columns])
 
 
 def load_bibliography(spark: SparkSession, folder: str) -> Bibliography:
-    """Read article, author and journal Parquet tables with their final types and non-null keys."""
-    def table(name, schema, key):
+    """Read article, author and journal Parquet tables with their final types and non-null keys.
+
+    Rows without a key are left out and values that do not parse become null; `rejected_on_load` counts both.
+    """
+    def table(name):
+        schema, key = _STORED[name]
+        raw = spark.read.parquet(f"{folder}/{name}")
+        return require_not_null(conform(raw, _final_schema(schema, raw)), [key])
+    return Bibliography.from_tables(table("article"), table("author"), table("journal"))
+
+
+def rejected_on_load(spark: SparkSession, folder: str) -> DataFrame:
+    """(table, column, rejected): what `load_bibliography` drops (rows, at the key) and turns into null (values)."""
+    counts = []
+    for name, (schema, key) in _STORED.items():
         raw = spark.read.parquet(f"{folder}/{name}")
-        typed = conform(raw if "part" in raw.columns else raw.withColumn("part", F.lit(0)), schema)
-        return require_not_null(typed, [key])
-    return Bibliography.from_tables(
-        table("article", schemas.ARTICLE, "ID"),
-        table("author", schemas.AUTHOR, "ID"),
-        table("journal", schemas.JOURNAL, "journal_id"))
+        final = _final_schema(schema, raw)
+        values = count_rejected_values(raw, final)
+        keys = count_null_keys(conform(raw, final), [key]).select(F.lit("row without key").alias("column"), "rejected")
+        columns = values.unpivot([], values.columns, "column", "rejected")
+        counts.append(columns.unionByName(keys).withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, counts).filter("rejected > 0").select("table", "column", "rejected")

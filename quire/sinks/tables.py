@@ -29,22 +29,25 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 
 def materialize(spark: SparkSession, make: Callable[[], DataFrame], path: str, overwrite: bool = False) -> DataFrame:
-    """Write the table ``make`` builds unless it is already there, and read it back.
+    """Write the table ``make`` builds unless a finished one is already there, and read it back.
 
-    A folder without the success marker comes from a job that died half way; it is written again.
+    A folder without the success marker (a job that died half way, or another writer) is replaced only with
+    ``overwrite``; otherwise the write fails.
     """
     if overwrite or not is_written(spark, path):
-        write_parquet(make(), path, mode="overwrite")
+        write_parquet(make(), path, mode="overwrite" if overwrite else "errorifexists")
     return spark.read.parquet(path)
 
 
 _HEADER_TYPES = {
-    T.IntegerType: "int", T.LongType: "long", T.DoubleType: "double", T.BooleanType: "boolean",
-    T.DateType: "date", T.StringType: "string",
+    T.ByteType: "byte", T.ShortType: "short", T.IntegerType: "int", T.LongType: "long", T.FloatType: "float",
+    T.DoubleType: "double", T.BooleanType: "boolean", T.DateType: "date", T.TimestampType: "datetime",
+    T.TimestampNTZType: "localdatetime", T.StringType: "string",
 }
 
 
 def _header_token(field: T.StructField) -> str:
+    """Name and type; types that the header has no word for (decimals, binary) are written as strings."""
     if field.name in ("id", "start_id", "end_id"):
         return ":" + field.name.upper()
     if isinstance(field.dataType, T.ArrayType):
@@ -53,9 +56,16 @@ def _header_token(field: T.StructField) -> str:
 
 
 def flatten_arrays(df: DataFrame, array_sep: str = "|") -> DataFrame:
-    """Arrays joined into one text field; other columns as they are."""
-    arrays = {f.name: F.concat_ws(array_sep, F.col(f"`{f.name}`").cast("array<string>"))
-              for f in df.schema if isinstance(f.dataType, T.ArrayType)}
+    """Arrays joined into one text field; other columns as they are.
+
+    A null array stays null. Inside a field ``\\e`` is an array without elements, ``\\n`` a null element, ``\\p`` the
+    separator and ``\\b`` a backslash; elements without these characters are written as they are.
+    """
+    def flat(column):
+        escaped = F.transform(column.cast("array<string>"), lambda x: F.coalesce(F.replace(
+            F.replace(x, F.lit("\\"), F.lit("\\b")), F.lit(array_sep), F.lit("\\p")), F.lit("\\n")))
+        return F.when(F.size(column) == 0, F.lit("\\e")).otherwise(F.array_join(escaped, array_sep))
+    arrays = {f.name: flat(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.ArrayType)}
     return df.withColumns(arrays) if arrays else df
 
 

@@ -101,7 +101,7 @@ def test_long_documents_come_in_parts(spark):
     turns = spark.range(100).select(F.lit(1).alias("doc"), F.col("id").alias("pos"),
                                     F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("title"),
                                     F.col("id").cast("string").alias("text"))
-    made = D.aggregate_sections(turns, "doc", "pos", "title", "text", max_items=30).orderBy("part").collect()
+    made = D.aggregate_sections(turns, "doc", "pos", "title", "text", block=30).orderBy("part").collect()
     assert [r.part for r in made] == [0, 1, 2, 3]
     by_title = {"A": [], "B": []}
     for row in made:
@@ -110,6 +110,16 @@ def test_long_documents_come_in_parts(spark):
     assert by_title == {"A": [str(i) for i in range(0, 100, 2)], "B": [str(i) for i in range(1, 100, 2)]}
 
 
+def test_very_many_sections(spark):
+    doc = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(49_999)), lambda i: F.struct(
+        (i % 40_000).cast("string").alias("section"), i.cast("string").alias("text"))).alias("p"))
+    for as_coded, last in ((False, ("39999", ["39999"])), (True, ("39999", [str(i) for i in range(39_999, 50_000)]))):
+        made = doc.select(nested.sections(F.col("p"), as_coded).alias("s")).select(
+            F.size("s").alias("n"), F.element_at("s", -1).alias("last"), F.get("s", 0).alias("first")).first()
+        assert made.n == 40_000 and (made.last.section_title, [p.text for p in made.last.paragraphs]) == last
+        assert [p.text for p in made.first.paragraphs] == (["0"] if as_coded else ["0", "40000"])
+
+
 def test_section_numbers_over_blocks(spark):
     titles = ["A", "A", "B", "A", "B", "C", "C", "A", "D", "A", "A"]
     turns = spark.createDataFrame([(d, i, t) for d in (1, 2) for i, t in enumerate(titles)], "doc int, pos long, title string")

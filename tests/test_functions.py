@@ -47,7 +47,8 @@ def test_email(spark):
 
 
 def test_keywords(spark):
-    assert _apply(spark, ["we use Spark and c++", "none", None], "string", text.tag_keywords) == [["C++", "SPARK"], [], []]
+    texts = ["we use Spark and c++", "none", None, "We require a building on Linux with javascript", "Java, UI."]
+    assert _apply(spark, texts, "string", text.tag_keywords) == [["C++", "SPARK"], [], [], [], ["JAVA", "UI"]]
 
 
 def test_arrays(spark):

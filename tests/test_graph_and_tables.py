@@ -127,11 +127,11 @@ def test_tables_written_and_loaded(spark, tmp_path):
     cites = _frame(spark, [(j, 1) for j in range(2, 6)] + [(2, 3)], edge)
     placed = _frame(spark, [(1, 7), (2, 7), (3, 7), (4, None)], edge).withColumns(
         {c: F.lit(c) for c in ("number", "pages", "volume")})
-    for max_items in (2, 100):
-        base = f"{tmp_path}/{max_items}"
-        write_parquet(T.article_table(articles, authored, placed, cites, max_items=max_items), f"{base}/article")
-        write_parquet(T.author_table(authors, articles, authored, max_items=max_items), f"{base}/author")
-        write_parquet(T.journal_table(_frame(spark, [(7, "J"), (8, "K")], "id long, name string"), placed, max_items),
+    for parts in (3, 1):
+        base = f"{tmp_path}/{parts}"
+        write_parquet(T.article_table(articles, authored, placed, cites, parts=parts), f"{base}/article")
+        write_parquet(T.author_table(authors, articles, authored, parts=parts), f"{base}/author")
+        write_parquet(T.journal_table(_frame(spark, [(7, "J"), (8, "K")], "id long, name string"), placed, parts),
                       f"{base}/journal")
         bib = T.load_bibliography(spark, base)
         assert _rows(bib.articles, "article_id", "incoming_count", "journal_id") == [
@@ -140,7 +140,7 @@ def test_tables_written_and_loaded(spark, tmp_path):
         assert _rows(bib.authors, "author_id", "orcid", "affiliations") == [(1, "0-1", ["X", "Y's"]), (2, None, None)]
         assert _rows(bib.journals, "journal_id", "NumArticles") == [(7, 3), (8, None)]
         assert _rows(A.h_index(bib), "author_id", "h_index") == [(1, 1), (2, 0)]
-        # Ann's list has several parts when lists are short; all of them count.
+        # Ann's list may have several parts; all of them count.
         assert _rows(A.articles_by_author(bib, "Ann"), "article_id", "name") == [(i, "Ann") for i in range(1, 6)]
         assert A.articles_by_author(bib, "Ann").first().url == [""]
         assert A.h_index(bib, "Ann").first().h_index == 1 and A.i_index(bib, "Ann", 1).first().i_index == 2
@@ -148,3 +148,26 @@ def test_tables_written_and_loaded(spark, tmp_path):
         assert _rows(A.venues_of_affiliation(bib, "Y's", 1), "name", "articles") == [("J", 3)]
         assert not bib.articles.schema["article_id"].nullable
         assert _rows(A.years_with_cited_articles(bib, 1, 4), "year", "articles") == [(2000, 1)]
+        assert T.rejected_on_load(spark, base).isEmpty()
+
+
+def test_load_counts_what_it_rejects(spark, tmp_path):
+    for name, (schema, _) in T._STORED.items():
+        write_parquet(spark.createDataFrame([], schema), f"{tmp_path}/{name}")
+    write_parquet(spark.createDataFrame([("1", "x"), ("2", "1999"), (None, "2000")], "ID string, year string"),
+                  f"{tmp_path}/article", mode="overwrite")
+    assert _rows(T.rejected_on_load(spark, str(tmp_path)), "table", "column", "rejected") == [
+        ("article", "row without key", 1), ("article", "year", 1)]
+    assert T.load_bibliography(spark, str(tmp_path)).articles.count() == 2
+
+
+def test_only_articles_count(spark):
+    """Authorship and citation of a book do not raise an index, from edges as from tables."""
+    bib = _bibliography(spark, [1])
+    edge = "start_id long, end_id long"
+    authored = bib.authored_by.unionByName(_frame(spark, [(77, 1)], "article_id long, author_id long"))
+    cites = bib.cites.unionByName(_frame(spark, [(i, 77) for i in range(500, 530)], edge))
+    more = Bibliography(bib.authors, bib.articles, bib.journals, authored, cites)
+    for name in (None, A.AUTHOR):
+        assert A.h_index(more, name).filter(F.col("name") == A.AUTHOR).first().h_index == 1
+        assert A.i_index(more, name, 1).filter(F.col("name") == A.AUTHOR).first().i_index == 1

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +22,8 @@ def _rows(df, *columns):
 def test_csv_roundtrip(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(TITLES)), "id long, title string")
     TS.write_table(df, f"{tmp_path}/t")
-    assert _rows(read_table(spark, f"{tmp_path}/t", df.schema), "id", "title") == _rows(df, "id", "title")
-    inferred = read_table(spark, f"{tmp_path}/t")
+    assert _rows(read_table(spark, f"{tmp_path}/t", df.schema, multi_line=True), "id", "title") == _rows(df, "id", "title")
+    inferred = read_table(spark, f"{tmp_path}/t", multi_line=True)
     assert inferred.columns == ["id", "title"] and inferred.count() == len(TITLES)
 
 
@@ -92,10 +94,12 @@ def test_materialize_writes_once(spark, tmp_path):
     assert TS.materialize(spark, lambda: make(3), path).count() == 3
     assert TS.materialize(spark, lambda: make(5), path).count() == 3
     assert TS.materialize(spark, lambda: make(5), path, overwrite=True).count() == 5
-    # A job that died leaves no success marker.
+    # A folder without a success marker may be another writer's: it is replaced on request only.
     os.remove(f"{path}/_SUCCESS")
-    assert TS.materialize(spark, lambda: make(7), path).count() == 7
-    assert calls == [3, 5, 7]
+    with pytest.raises(AnalysisException):
+        TS.materialize(spark, lambda: make(7), path)
+    assert TS.materialize(spark, lambda: make(8), path, overwrite=True).count() == 8
+    assert calls == [3, 5, 7, 8]
 
 
 def test_graph_export(spark, tmp_path):
@@ -108,7 +112,7 @@ def test_graph_export(spark, tmp_path):
     text = lambda path: sorted(r.value for r in spark.read.text(path).collect())
     article = files["Publication:Article"]
     assert text(article.header) == [":ID;title:string;ee:string[];year:int"]
-    assert text(article.data) == ['1;T;a|b;1999', '2;;"";']
+    assert text(article.data) == ['1;T;a|b;1999', '2;;\\e;']
     assert text(files["PART_OF"].header) == [":START_ID;:END_ID;volume:string"]
     assert text(files["PART_OF"].data) == ["1;2;7"]
     assert spark.read.json(f"{tmp_path}/g/manifest").count() == 2
