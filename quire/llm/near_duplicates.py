@@ -84,10 +84,10 @@ def _verified(batches, n_words: int, percent: int):
 
 
 def _colliding(docs: DataFrame, side: str) -> DataFrame:
-    """(doc, half keys with their places) of one collection, only keys that two documents share."""
-    exploded = docs.select("doc", F.posexplode(side).alias("place", "half"))
+    """(doc, half keys) of one collection, only keys that two documents share."""
+    exploded = docs.select("doc", F.explode(side).alias("half"))
     shared = exploded.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    return exploded.join(shared, "half").groupBy("doc").agg(F.collect_list(F.struct("place", "half")).alias(side))
+    return exploded.join(shared, "half").groupBy("doc").agg(F.collect_list("half").alias(side))
 
 
 def _equal_bytes(a: str, b: str) -> str:
@@ -118,20 +118,31 @@ def _shingle_rows(batches, n_words: int, percent: int):
                                           pa.array(hashes.view(np.int64))], ["doc", "prefix", "table"])
 
 
-def _rare_shingles(texts: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """(table, doc, prefix): each document's rarest shingles, as many that two documents at the similarity share one.
+def _rare_shingles(texts: DataFrame, sketches: DataFrame, n_words: int, percent: int) -> DataFrame:
+    """The sketches with (table, nth): each document's rarest shingles, so that two similar documents share one.
 
-    Of n shingles a similar document must hold percent % at least, so it holds one of any n - that + 1. prefix lists
-    those that other documents have too, in one order for all documents.
+    Of n shingles a similar document must hold percent % at least, so it holds one of any n - that + 1. nth is the place
+    among all shingles of the document, in one order for all documents. Shingles that could only be the first common
+    one of dissimilar documents are left out: see _first_common.
     """
     all_ = stored(texts.mapInArrow(lambda batches: _shingle_rows(batches, n_words, percent),
                                    "doc long, prefix long, table long"), "shingles")
     counts = all_.groupBy("table").agg(F.count("*").alias("n"))
     rarest = Window.partitionBy("doc").orderBy("n", "table")
-    lists = (all_.join(counts, "table").withColumn("nth", F.row_number().over(rarest))
-             .filter("nth <= prefix AND n > 1").groupBy("doc")
-             .agg(F.array_distinct(F.array_sort(F.collect_list(F.struct("n", "table"))).getField("table")).alias("prefix")))
-    return lists.select("doc", "prefix", F.explode("prefix").alias("table"))
+    rare = (all_.join(counts, "table").withColumn("nth", F.row_number().over(rarest))
+            .filter("nth <= prefix AND n > 1").select("table", "doc", "nth").join(sketches, "doc"))
+    # The smaller document of a pair bounds what it can share with one of its own size or more.
+    early = rare.groupBy("table").agg(F.max(F.expr(_first_common(percent, "nth", "n_shingles", "n_shingles"))).alias(
+        "early")).filter("early").select("table")
+    return stored(rare.join(early, "table", "left_semi"), "rarest")
+
+
+def _first_common(percent: int, nth: str, n: str, other_n: str) -> str:
+    """SQL: a set of n shingles whose nth is the first in common with a set of other_n can be similar to it.
+
+    They share the nth and later ones at most, and must share percent / (100 + percent) of both sizes together.
+    """
+    return f"{100 + percent} * (1 + {n} - {nth}) >= {percent} * ({n} + {other_n})"
 
 
 def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, id_column: str = "doc_id",
@@ -146,8 +157,9 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     - Half keys that no other class has are dropped; tables are the pairs of those that remain.
     - In every table the members are compared with one pivot, which settles most groups of copies.
     - Documents of tables that still hold several components are indexed by their rarest shingles instead, enough of
-      them that similar documents share one. In these tables the members are compared with GROWTH pivots, then with
-      GROWTH times as many in each round, until all pairs of a table were compared or have become one component.
+      them that similar documents share one; a pair counts where this can be the first shingle they share. In these
+      tables the members are compared with GROWTH pivots, then with GROWTH times as many in each round, until all
+      pairs of a table were compared or have become one component.
     - A pair of a table is a candidate if sizes and the share of equal half keys allow the similarity (a pair that has
       it is missed with chance MISS / 10); every candidate is verified on the full sets of both texts.
 
@@ -174,8 +186,7 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     tables = (_colliding(sketches, "left").join(_colliding(sketches, "right"), "doc")
               .select("doc", F.explode("left").alias("left"), "right")
               .select("doc", "left", F.explode("right").alias("right"))
-              .select("doc", F.xxhash64("left.half", "right.half").alias("table"), F.col("left.place").alias("i"),
-                      F.col("right.place").alias("j")))
+              .select("doc", F.xxhash64("left", "right").alias("table")))
     shared = tables.groupBy("table").agg(F.count("*").alias("n")).filter("n > 1").select("table")
     members = stored(tables.join(shared, "table").join(sketches.select(member).dropDuplicates(["doc"]), "doc")
                      .withColumn("component", F.col("doc")), "members")
@@ -191,13 +202,13 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     by_table = Window.partitionBy("table").orderBy("doc")
     left, labels, tried, before, pivots, exact = members, None, None, 0, 1, False
     while True:
-        chosen = (left.withColumn("nth", F.row_number().over(by_table))
-                  .filter((F.col("nth") <= pivots) & (F.col("nth") > before))
+        chosen = (left.withColumn("turn", F.row_number().over(by_table))
+                  .filter((F.col("turn") <= pivots) & (F.col("turn") > before))
                   .select(*(F.col(c).alias(f"pivot_{c}") for c in left.columns)))
         meet = (F.col("table") == F.col("pivot_table")) & (F.col("doc") > F.col("pivot_doc")) & near
         if exact:
-            # A pair that shares several shingles is a candidate at the first of them.
-            meet &= F.element_at(F.array_intersect("prefix", "pivot_prefix"), 1) == F.col("table")
+            meet &= (F.expr(_first_common(percent, "nth", "n_shingles", "pivot_n_shingles"))
+                     & F.expr(_first_common(percent, "pivot_nth", "pivot_n_shingles", "n_shingles")))
         pairs = (left.join(chosen, meet)
                  .select(F.col("doc").alias("a"), F.col("pivot_doc").alias("b")).distinct())
         if tried is not None:
@@ -211,16 +222,15 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
         if labels is None or not found.isEmpty():
             edges = edges.union(found)
             labels = stored(components(edges), "components")
-        left = stored(_unsettled(left, labels, pivots), "open")
+        left = _unsettled(left, labels, pivots)
+        left = stored(left if exact else left.select(*member, "component").distinct(), "open")
         if left.isEmpty():
             break
         if exact:
             before, pivots = pivots, pivots * GROWTH
         else:
             exact, pivots = True, GROWTH
-            opened = left.select(*member, "component").dropDuplicates(["doc"])
-            left = _rare_shingles(compared.join(opened.select("doc"), "doc", "left_semi"), n_words, percent).join(
-                opened, "doc")
+            left = _rare_shingles(compared.join(left.select("doc"), "doc", "left_semi"), left, n_words, percent)
     named = rows.join(labels, rows.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias(
