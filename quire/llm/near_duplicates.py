@@ -44,7 +44,7 @@ def _sketches(batches, n_words: int, n_keys: int):
     random = np.random.default_rng(8)
     masks = random.integers(0, 1 << 63, 2 * n_keys * HALF, dtype=np.uint64)
     factors = random.integers(0, 1 << 63, 2 * n_keys * HALF, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for batch in words.portions(batches, "text"):
+    for batch in words.portions(batches, "text", words.PORTION // 4):
         hashes, first = words.shingle_sets(batch.column("text"), n_words)
         hashes = words.mix(hashes)
         sizes = np.diff(first)
