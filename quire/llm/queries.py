@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.llm import languages, licenses, pieces, quality, secret_scan, sql, url_rules
+from quire.llm import languages, licenses, manifest, packing, pieces, quality, resampling, secret_scan, sql, url_rules
 from quire.llm.decontamination import contained_items
 from quire.llm.near_duplicates import near_duplicates
 from quire.llm.neighbours import nearest
@@ -105,10 +105,35 @@ def op10_secret_scan(spark, folder):
                                                  joined(F.col("spans")).alias("spans"))
 
 
+def op11_merkle_manifest(spark, folder):
+    """Every document as a leaf of a tree per language: its proof, and the root that its row leads to where an intruder
+    lower-cased some of the texts."""
+    docs = table(spark, folder, "documents")
+    found = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lowered = F.translate("text", sql.UPPER, sql.LOWER)
+    made = manifest.audited(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", found, {"text": lowered})
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(
+        manifest.hex_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_importance_resampling(spark, folder):
+    """Weight, score and rank of every document; a twentieth of the longer ones is drawn towards the benchmark."""
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_best_fit_packing(spark, folder):
+    """Every piece of every document with its place in sequences of 2,048 tokens."""
+    import public_tokenizers
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.packed(packing.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 QUERIES = {name: make for name, make in list(globals().items()) if name.startswith("op")}
 ORACLES: dict[str, str] = {
     "op1_block_matrix_neighbours": sql.nearest(),
     "op2_url_filter": sql.url_filter(),
     "op4_benchmark_decontamination": sql.contained_items(),
     "op10_secret_scan": sql.secret_scan(),
+    "op11_merkle_manifest": sql.merkle_manifest(),
+    "op12_importance_resampling": sql.importance_resampling(),
 }
