@@ -17,8 +17,10 @@ first; equal pieces are placed together, so the work depends on the number of si
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -34,33 +36,39 @@ CAPACITY = 2048
 #: Words whose ids a task remembers, and their longest length.
 REMEMBERED, LONGEST = 500_000, 48
 
-#: Unicode white space. The tokenizer never joins over the borders that this pattern cuts at.
+#: Unicode white space; letters that any version of Unicode knows; the other characters of ASCII.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_CHUNKS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_MARKS = r"!-/:-@\[-`{-~"
+#: Chunks at whose borders the tokenizer also cuts, whatever stands around: letters, digits or marks up to an ASCII
+#: character of another kind (a mark first may be an apostrophe, which can belong to the letters behind), else a run
+#: without white space, else white space but for the one that belongs to what follows.
+_CHUNKS = re.compile(
+    f" ?[{_LETTERS}]++(?=[\0-@\\[-`{{-\x7f]|\\Z)| ?[0-9]++(?=[\0-/:-\x7f]|\\Z)"
+    f"| ?(?!')[{_MARKS}]++(?=[A-Za-z0-9 \n]|\\Z)"
+    f"| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class Encoder:
-    """Token ids of texts; the ids of words that come again are remembered."""
+    """Token ids of texts; the ids of the words that come first, which frequent words do, are remembered."""
 
     def __init__(self, model: bytes):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # Spark's tasks are the threads
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_buffer(model)
+        self.tokenizer.encode_special_tokens = True                  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         found = [_CHUNKS.findall(text) for text in texts]
         new = list(set().union(*found).difference(self.known))
-        made = {}
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for chunk, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                made[chunk] = np.array(encoding.ids, "<u4").tobytes()
-        self.known.update(made)
+        encodings = self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []
+        for chunk, encoding in zip(new, encodings):
+            self.known[chunk] = array("I", encoding.ids).tobytes()
         ids = [np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4") for chunks in found]
-        for chunk in made:
-            if len(chunk) > LONGEST:
+        room = len(new) - (len(self.known) - REMEMBERED)
+        for at, chunk in enumerate(new):
+            if at >= room or len(chunk) > LONGEST:
                 del self.known[chunk]
         return ids
 

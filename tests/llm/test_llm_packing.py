@@ -18,7 +18,9 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    return Tokenizer.from_file(PATH)
+    made = Tokenizer.from_file(PATH)
+    made.encode_special_tokens = True
+    return made
 
 
 def test_ids_are_the_tokenizers(tokenizer):
