@@ -255,7 +255,8 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*[batch.column(n) for n in names], pa.array(sequence), pa.array(values["offset"][at])],
                 [*names, "sequence_id", "offset"])
 
-    numbered = (placed.join(offsets.drop("total"), ["size", "run"])
+    # There is a row for each run and size, too many to broadcast in the long run.
+    numbered = (placed.join(offsets.drop("total").hint("merge"), ["size", "run"])
                 .withColumn("no", F.col("before") + F.col("place")).drop("size", "run", "before", "place"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name != "no")
     return numbered.mapInArrow(place, f"{fields}, sequence_id long, offset long")
