@@ -10,13 +10,15 @@ Digests are 32 bytes in the stored tables; hashes are taken of their lower-case
   comes first among groups. An empty table has no leaves, no proofs and no root.
 - Upper nodes have many leaves below. They are kept once for each block of 4,096 leaves, so that no step of the climb
   joins more than 4,096 rows to one key, whatever the size of a group.
+- Above their first two steps, 64 neighbours meet the same siblings. All of them fold these, but only the first one
+  appends them, for all.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.llm.ordering import numbered
 from quire.llm.store import stored
@@ -24,11 +26,14 @@ from quire.llm.store import stored
 RUN = 8
 #: Leaves per copy of an upper node: RUN ** BLOCK_LEVELS.
 BLOCK_LEVELS = 4
+#: Steps at which every leaf appends its siblings; those above are the same for RUN ** OWN_STEPS neighbours.
+OWN_STEPS = 2
 
 
 class Manifest(NamedTuple):
-    """leaves: row, tree, id, leaf, no, n. nodes: tree, part, step, no, members, up_no, up_slot. roots: tree, subroot,
-    root and top_no, the position of the tree among all."""
+    """leaves: tree, no (from 0), id, leaf, claim, and at, where its climb starts: its own position, or that of its tree
+    if it is alone there. nodes: tree, part, step, no, members, up_no, up_slot. roots: tree, subroot, root. Trees are
+    named by their position among all."""
     leaves: DataFrame
     nodes: DataFrame
     roots: DataFrame
@@ -83,8 +88,8 @@ def _all(levels: list[DataFrame]) -> DataFrame:
 
 
 def build(leaves: DataFrame) -> Manifest:
-    """The manifest of (row: unique long, tree: non-null string, id, leaf: digest). Leaves of a tree go by id, then by
-    hash, then by row; trees go by their name, bytewise."""
+    """The manifest of (row: unique long, tree: non-null string, id, leaf and claim: digests). Leaves of a tree go by id,
+    then by hash, then by row; trees go by their name, bytewise."""
     block = RUN ** BLOCK_LEVELS
     leaves = stored(numbered(leaves, "tree", ["id", "leaf", "row"]), "leaves")
     lower = _levels(leaves.select("tree", "no", "n", F.expr(f"(n + {block - 1}) div {block}").alias("blocks"),
@@ -101,12 +106,12 @@ def build(leaves: DataFrame) -> Manifest:
     nodes = []
     if len(lower) > 1:
         in_block = F.col("level") <= BLOCK_LEVELS
-        linked = (_all(lower).join(trees.select("tree", into_top.alias("top_up")), "tree")
+        linked = (_all(lower).join(trees.select("tree", "top_no", into_top.alias("top_up")), "tree")
                   .withColumn("width", F.pow(F.lit(float(RUN)), F.abs(F.col("level") - BLOCK_LEVELS)).cast("long"))
                   .withColumn("first", F.when(in_block, F.expr("no div width")).otherwise(F.expr("no * width"))))
         final = F.when(in_block, F.col("first")).otherwise(F.least(F.expr("first + width"), F.col("blocks")) - 1)
         last = F.col("n") == 1
-        nodes.append(linked.select("tree", F.explode(F.sequence("first", final)).alias("part"),
+        nodes.append(linked.select(F.col("top_no").alias("tree"), F.explode(F.sequence("first", final)).alias("part"),
                                    F.col("level").cast("int").alias("step"), "no", "members",
                                    up_no(last).alias("up_no"), up_slot(last).alias("up_slot")))
     # Upper nodes: a copy for each block of every tree below, as steps that go on above the tree's own.
@@ -119,61 +124,71 @@ def build(leaves: DataFrame) -> Manifest:
         linked = paths.join(tree_over, ["over", "at"])
         last = F.col("is_root")
         nodes.append(linked.select(
-            "tree", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part"),
+            F.col("top_no").alias("tree"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("part"),
             (F.col("level") + F.col("over")).cast("int").alias("step"), F.col("at").alias("no"), "members",
             F.when(~last, F.expr(f"at div {RUN}")).alias("up_no"), F.when(~last, F.expr(f"at % {RUN}")).alias("up_slot")))
     if nodes:
         rows = nodes[0] if len(nodes) == 1 else nodes[0].unionByName(nodes[1])
     else:
         rows = leaves.sparkSession.createDataFrame(
-            [], "tree string, part long, step int, no long, members binary, up_no long, up_slot long")
-    return Manifest(leaves, stored(rows, "nodes"), stored(tops.select(
-        "tree", F.col("hash").alias("subroot"), F.lit(root["hash"] if root else None).cast("binary").alias("root"),
-        F.col("no").alias("top_no"), F.col("n").alias("trees")), "roots"))
+            [], "tree long, part long, step int, no long, members binary, up_no long, up_slot long")
+    # A lone leaf is the subroot of its tree and starts in the tree over the trees.
+    placed = leaves.join(trees.select("tree", "top_no", into_top.alias("top_up")), "tree").select(
+        F.col("top_no").alias("tree"), "no", "id", "leaf", "claim",
+        F.when(F.col("n") > 1, F.col("no")).otherwise(F.col("top_up")).alias("at"))
+    return Manifest(stored(placed, "start"), stored(rows, "nodes"), stored(tops.select(
+        F.col("no").alias("tree"), F.col("hash").alias("subroot"),
+        F.lit(root["hash"] if root else None).cast("binary").alias("root")), "roots"))
+
 
+_LEFT = "substring(n.members, 1, CAST(32 * c.slot AS INT))"
+_RIGHT = f"substring(n.members, CAST(32 * c.slot + 33 AS INT), {32 * RUN})"
 
 #: Every step looks up the parent's row: the other members of the run are the siblings, and the carried hash takes its
-#: own place among them.
-_CLIMB = f"""
-WITH RECURSIVE climb(row, tree, part, step, no, slot, folded, siblings) MAX RECURSION LEVEL 60 AS (
-  SELECT row, tree, part, 1, no, slot, folded, CAST('' AS BINARY) FROM {{start}}
+#: own place among them. A row's step is the one that it goes on with; no is null at the root.
+_CLIMB = """
+WITH RECURSIVE climb(tree, leaf, step, no, slot, folded, siblings) MAX RECURSION LEVEL 60 AS (
+  SELECT tree, no, 1, at div {run}, at % {run}, claim, CAST('' AS BINARY) FROM {{start}}
   UNION ALL
-  SELECT c.row, c.tree, c.part, c.step + 1, n.up_no, n.up_slot,
-         unhex(sha2(lower(hex(concat(substring(n.members, 1, CAST(32 * c.slot AS INT)), c.folded,
-                                     substring(n.members, CAST(32 * c.slot + 33 AS INT), {32 * RUN})))), 256)),
-         concat(substring(n.members, 1, CAST(32 * c.slot AS INT)),
-                substring(n.members, CAST(32 * c.slot + 33 AS INT), {32 * RUN}))
-  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.part = n.part AND c.step = n.step AND c.no = n.no)
-SELECT row, step, folded, siblings FROM climb"""
+  SELECT c.tree, c.leaf, c.step + 1, n.up_no, n.up_slot,
+         unhex(sha2(lower(hex(concat({left}, c.folded, {right}))), 256)),
+         CASE WHEN c.step <= {own} OR c.leaf % {shared} = 0 THEN concat({left}, {right}) ELSE CAST('' AS BINARY) END
+  FROM climb c JOIN {{nodes}} n ON c.tree = n.tree AND c.leaf div {block} = n.part AND c.step = n.step AND c.no = n.no)
+SELECT * FROM climb LIMIT ALL"""
+
 
+def _joined(steps: Column) -> Column:
+    return F.aggregate(F.array_sort(steps), F.lit("").cast("binary"), lambda all, s: F.concat(all, s["siblings"]))
 
-def proofs(manifest: Manifest, claims: DataFrame) -> DataFrame:
-    """(row, proof, folded) from claims (row, claim: digest), for leaves of the manifest: proof holds the siblings from
-    the leaf's level to the root's, left to right, as joined digests; folded is the root that the claim leads to.
 
-    The recursive query stores each step by its own exchange; a step's rows hold that step's siblings only, and are
-    brought together at the end. Its row limit is lifted while it runs, as every leaf has a row for every level.
+def proofs(manifest: Manifest) -> DataFrame:
+    """(tree, id, leaf, proof, folded) of every leaf: proof holds the siblings from the leaf's level to the root's, left
+    to right, as joined digests; folded is the root that the claim leads to.
+
+    The recursive query stores each step by its own exchange. LIMIT ALL lifts its row limit, as every leaf has a row for
+    every level. Then one more exchange brings 64 neighbours together: their leaves, their own steps, and the steps that
+    the first of them has appended for all.
     """
-    spark = manifest.leaves.sparkSession
-    block = RUN ** BLOCK_LEVELS
-    # A lone leaf is the subroot of its tree and starts in the tree over the trees.
-    alone = F.when(F.col("trees") > 1, F.col("top_no"))
-    own = manifest.leaves.join(manifest.roots.select("tree", "top_no", "trees"), "tree").withColumn(
-        "at", F.when(F.col("n") > 1, F.col("no")).otherwise(alone))
-    start = stored(own.join(claims, "row").select(
-        "row", "tree", F.expr(f"no div {block}").alias("part"), F.expr(f"at div {RUN}").alias("no"),
-        F.expr(f"at % {RUN}").alias("slot"), F.col("claim").alias("folded")), "start")
-    limit = "spark.sql.cteRecursionRowLimit"
-    before = spark.conf.get(limit)
-    spark.conf.set(limit, "-1")
-    try:
-        climbed = spark.sql(_CLIMB, start=start, nodes=manifest.nodes)
-        steps = F.array_sort(F.collect_list(F.struct("step", "siblings")))
-        return stored(climbed.groupBy("row").agg(steps.alias("steps"), F.max_by("folded", "step").alias("folded")).select(
-            "row", F.aggregate("steps", F.lit("").cast("binary"), lambda all, s: F.concat(all, s["siblings"]))
-            .alias("proof"), "folded"), "proofs")
-    finally:
-        spark.conf.set(limit, before)
+    shared = RUN ** OWN_STEPS
+    query = _CLIMB.format(run=RUN, left=_LEFT, right=_RIGHT, own=OWN_STEPS, shared=shared, block=RUN ** BLOCK_LEVELS)
+    climbed = manifest.leaves.sparkSession.sql(query, start=manifest.leaves, nodes=manifest.nodes)
+    own_step = F.col("step") <= OWN_STEPS + 1
+    kind = "struct<step: int, siblings: binary>"
+    entry = lambda where: F.when(where & (F.octet_length("siblings") > 0), F.struct("step", "siblings").cast(kind))
+    steps = climbed.select(
+        "tree", F.expr(f"leaf div {shared}").alias("shared"), "leaf", entry(own_step).alias("own"),
+        entry(~own_step).alias("upper"), F.when(F.col("no").isNull(), F.col("folded")).alias("folded"),
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("hash")
+    ).filter("own IS NOT NULL OR upper IS NOT NULL OR folded IS NOT NULL")
+    plain = manifest.leaves.select(
+        "tree", F.expr(f"no div {shared}").alias("shared"), F.col("no").alias("leaf"), F.lit(None).cast(kind).alias("own"),
+        F.lit(None).cast(kind).alias("upper"), F.lit(None).cast("binary").alias("folded"), "id", F.col("leaf").alias("hash"))
+    each = (steps.unionByName(plain).repartition("tree", "shared").groupBy("tree", "shared", "leaf")
+            .agg(F.collect_list("own").alias("own"), F.collect_list("upper").alias("upper"), F.max("folded").alias("folded"),
+                 F.max("id").alias("id"), F.max("hash").alias("hash")))
+    # The first of the neighbours has the upper steps; there are at most 64 rows to a window.
+    return each.select("tree", "id", F.col("hash").alias("leaf"), F.concat(
+        _joined(F.col("own")), F.max(_joined(F.col("upper"))).over(Window.partitionBy("tree", "shared"))).alias("proof"), "folded")
 
 
 def audited(documents: DataFrame, columns: list[str], tree_column: str, id_column: str, where: Column,
@@ -190,9 +205,8 @@ def audited(documents: DataFrame, columns: list[str], tree_column: str, id_colum
         F.monotonically_increasing_id().alias("row"), tree.alias("tree"), F.col(f"`{id_column}`").alias("id"),
         digest(*map(field, plain)).alias("leaf"), F.when(where, digest(*map(field, changed))).alias("claim")),
         "hashed")
-    manifest = build(hashed.drop("claim"))
-    found = proofs(manifest, hashed.select("row", F.coalesce("claim", "leaf").alias("claim")))
-    return (manifest.leaves.join(manifest.roots.select("tree", "subroot", "root"), "tree").join(found, "row").select(
+    manifest = build(hashed.withColumn("claim", F.coalesce("claim", "leaf")))
+    return proofs(manifest).join(manifest.roots, "tree").select(
         F.col("id").alias("doc_id"), hex_text(F.col("leaf")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"),
         hex_text(F.col("root")).alias("root"), hex_text(F.col("folded")).alias("folded_root"), "proof",
-        (F.col("folded") == F.col("root")).alias("verified")))
+        (F.col("folded") == F.col("root")).alias("verified"))

@@ -69,7 +69,7 @@ def test_trees_of_all_shapes(spark):
 
 
 def test_more_than_one_block(spark, monkeypatch):
-    monkeypatch.setattr(manifest, "BLOCK_LEVELS", 1)
+    monkeypatch.setattr(manifest, "BLOCK_LEVELS", 2)
     compare(spark, [(i, "s", "big" if i % 5 else None, i, "x" * (i % 7)) for i in range(700)])
 
 
@@ -84,5 +84,11 @@ def test_a_changed_row_does_not_verify(spark):
     for r in audited(spark, rows, "doc_id < 50"):
         assert r.verified == (r.doc_id >= 50 or r.doc_id % 2 == 0)
         assert (r.folded_root == r.root) == r.verified
-    limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
-    assert limit == "1000000"
+
+
+def test_more_rows_than_the_recursion_limit(spark):
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "50")
+    try:
+        compare(spark, [(i, "s", "en", 1, f"t{i}") for i in range(100)])
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
