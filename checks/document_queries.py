@@ -192,7 +192,7 @@ def embed_citations(spark, folder):
     papers = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("corpusid"), F.col("o_orderpriority").alias("title"))
     cited = D.citation_records(papers, "corpusid", "title", F.array().cast("array<string>"))
-    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), papers, "corpusid", parts=3)
+    documents = D.embed_citations(papers, cited, raw_cites(spark, folder), papers, "corpusid", limit=400)
     return (documents.select("corpusid", F.explode("citations").alias("c"))
             .select("corpusid", "c.reference_id", "c.title"))
 

@@ -118,7 +118,7 @@ def json_array_files(spark, folder):
 @query(with_views("cites", "SELECT start_id, end_id FROM cites"))
 def parquet_roundtrip(spark, folder):
     path = scratch(spark, "lists")
-    TS.write_parquet(adjacency_lists(cites(spark, folder), "start_id", "end_id", "citations"), path)
+    TS.write_parquet(adjacency_lists(cites(spark, folder), "start_id", "end_id", "citations", block=4), path)
     return read_parquet(spark, path).select("start_id", F.explode("citations").alias("end_id"))
 
 

@@ -121,20 +121,26 @@ def recount_in_degree(spark, folder):
     return E.recount_in_degree(nodes, cites(spark, folder), "id", "referencecount")
 
 
-@query(with_views("cites", """
-SELECT start_id, string_agg(end_id, ',' ORDER BY end_id) AS citations
-FROM cites GROUP BY start_id"""))
+def _in_parts(edges, key, item, block):
+    """SQL: (key, part, ids) of lists cut after every `block` items."""
+    return f"""SELECT {key}, CAST(part AS INTEGER) AS part, string_agg({item}, ',' ORDER BY {item}) AS ids
+    FROM (SELECT {key}, {item}, (row_number() OVER (PARTITION BY {key} ORDER BY {item}) - 1) // {block} AS part
+          FROM {edges}) GROUP BY {key}, part"""
+
+
+@query(with_views("cites", f"""
+SELECT start_id, part, ids AS citations FROM ({_in_parts("cites", "start_id", "end_id", 5)})"""))
 def adjacency_lists(spark, folder):
-    lists = make_lists(cites(spark, folder), "start_id", "end_id", "citations")
+    lists = make_lists(cites(spark, folder), "start_id", "end_id", "citations", block=5)
     return lists.withColumn("citations", _texts("citations"))
 
 
-@query(with_views("raw_cites", """
-SELECT start_id, end_id FROM raw_cites"""))
+@query(with_views("raw_cites", f"""
+SELECT end_id, part, ids AS incoming FROM ({_in_parts("raw_cites", "end_id", "start_id", 3)})"""))
 def adjacency_lists_in_parts(spark, folder):
-    """Lists in four parts, exploded again: nothing is lost or doubled, repeated edges included."""
-    lists = make_lists(raw_cites(spark, folder), "end_id", "start_id", "incoming", parts=4)
-    return lists.select(F.explode("incoming").alias("start_id"), "end_id")
+    """Lists with repeated edges in parts of three."""
+    lists = make_lists(raw_cites(spark, folder), "end_id", "start_id", "incoming", block=3)
+    return lists.withColumn("incoming", _texts("incoming"))
 
 
 @query("""WITH alias AS (SELECT s_suppkey, s_name AS alias FROM supplier
@@ -187,26 +193,29 @@ def _published_in(spark, folder):
         F.concat("o_orderstatus", F.lit("1")).alias("volume"))
 
 
-@query(with_views("author authored_by", """,
-written AS (SELECT author_id, string_agg(article_id, ',' ORDER BY article_id) AS ids
-    FROM authored_by JOIN orders ON article_id = o_orderkey WHERE o_orderstatus <> 'P' GROUP BY author_id)
-SELECT author_id AS "ID", name, n_name || ',' || r_name AS affiliations,
+@query(with_views("author authored_by", f""",
+known AS (SELECT author_id, article_id FROM authored_by JOIN orders ON article_id = o_orderkey WHERE o_orderstatus <> 'P'),
+written AS ({_in_parts("known", "author_id", "article_id", 400)})
+SELECT author_id AS "ID", coalesce(part, CAST(0 AS INTEGER)) AS part, name, n_name || ',' || r_name AS affiliations,
     CASE WHEN citationcount > 1000 THEN name END AS orcid,
     CASE WHEN citationcount > 0 THEN citationcount ELSE -1 END AS hindex, citationcount AS papercount,
     CAST(-1 AS INTEGER) AS citationcount, coalesce(ids, '') AS written_articles_ids
 FROM author LEFT JOIN written USING (author_id)"""))
 def author_table(spark, folder):
     made = T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
-                          _authored_edges(spark, folder), sentinels=True)
+                          _authored_edges(spark, folder), sentinels=True, block=400)
     return made.withColumns({c: _texts(c) for c in ("affiliations", "written_articles_ids")})
 
 
-@query(with_views("authored_by cites", """,
-writers AS (SELECT article_id, string_agg(author_id, ',' ORDER BY author_id) AS ids FROM authored_by
-            GROUP BY article_id),
-outgoing AS (SELECT start_id, string_agg(end_id, ',' ORDER BY end_id) AS ids FROM cites GROUP BY start_id),
-arriving AS (SELECT end_id, string_agg(start_id, ',' ORDER BY start_id) AS ids FROM cites GROUP BY end_id)
-SELECT o_orderkey AS "ID", 'o/' || o_orderkey AS key, o_orderpriority AS title,
+@query(with_views("authored_by cites", f""",
+writers AS ({_in_parts("authored_by", "article_id", "author_id", 6)}),
+outgoing AS ({_in_parts("cites", "start_id", "end_id", 6)}),
+arriving AS ({_in_parts("cites", "end_id", "start_id", 6)}),
+parts AS (SELECT id, max(part) AS last FROM (SELECT article_id AS id, part FROM writers UNION ALL
+    SELECT start_id, part FROM outgoing UNION ALL SELECT end_id, part FROM arriving) GROUP BY id),
+article_parts AS (SELECT orders.*, CAST(unnest(range(0, coalesce(last, 0) + 1)) AS INTEGER) AS part
+    FROM orders LEFT JOIN parts ON o_orderkey = id)
+SELECT o_orderkey AS "ID", p.part, 'o/' || o_orderkey AS key, o_orderpriority AS title,
     o_orderpriority || ',' || o_orderstatus AS ee, o_orderstatus || ',' || o_orderpriority AS ee_type,
     CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS note,
     CASE WHEN o_orderstatus = 'F' THEN 'F1' END AS volume, strftime(o_orderdate, '%Y-%m-%d') AS mdate,
@@ -216,22 +225,25 @@ SELECT o_orderkey AS "ID", 'o/' || o_orderkey AS key, o_orderpriority AS title,
     CASE WHEN o_orderstatus = 'F' THEN 'F' END AS number,
     CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS pages,
     writers.ids AS authors_ids, outgoing.ids AS citations, arriving.ids AS incoming_citations
-FROM orders LEFT JOIN writers ON o_orderkey = article_id LEFT JOIN outgoing ON o_orderkey = start_id
-LEFT JOIN arriving ON o_orderkey = end_id WHERE o_orderstatus <> 'P'"""))
+FROM article_parts p LEFT JOIN writers ON o_orderkey = article_id AND p.part = writers.part
+LEFT JOIN outgoing ON o_orderkey = start_id AND p.part = outgoing.part
+LEFT JOIN arriving ON o_orderkey = end_id AND p.part = arriving.part WHERE o_orderstatus <> 'P'"""))
 def article_table(spark, folder):
     made = T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder),
-                           _published_in(spark, folder), cites(spark, folder))
+                           _published_in(spark, folder), cites(spark, folder), block=6)
     lists = ("ee", "ee_type", "note", "url", "authors_ids", "citations", "incoming_citations")
     return made.withColumns({c: _texts(c) for c in lists}).withColumn("mdate", F.col("mdate").cast("string"))
 
 
-@query(with_views("journal", """,
-members AS (SELECT o_custkey, count(*) AS n, string_agg(o_orderkey, ',' ORDER BY o_orderkey) AS ids FROM orders
-            WHERE o_orderstatus <> 'O' GROUP BY o_custkey)
-SELECT journal_id, name, n AS "NumArticles", ids AS "Articles"
-FROM journal LEFT JOIN members ON journal_id = o_custkey"""))
+@query(with_views("journal", f""",
+published AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus <> 'O'),
+counts AS (SELECT o_custkey, count(*) AS n FROM published GROUP BY o_custkey),
+members AS ({_in_parts("published", "o_custkey", "o_orderkey", 6)})
+SELECT journal_id, coalesce(part, CAST(0 AS INTEGER)) AS part, name, n AS "NumArticles", ids AS "Articles"
+FROM journal LEFT JOIN counts c ON journal_id = c.o_custkey LEFT JOIN members m ON journal_id = m.o_custkey"""))
 def venue_article_lists(spark, folder):
-    made = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), _published_in(spark, folder))
+    made = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), _published_in(spark, folder),
+                           block=6)
     return made.withColumn("Articles", _texts("Articles"))
 
 
@@ -239,10 +251,10 @@ def bibliography_from_tables(spark, folder):
     """The detour over tables with list columns, in several parts."""
     published = _published_in(spark, folder)
     articles = T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder), published,
-                               cites(spark, folder), parts=3)
+                               cites(spark, folder), block=4)
     people = T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
-                            _authored_edges(spark, folder), parts=2)
-    venues = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published, parts=2)
+                            _authored_edges(spark, folder), block=100)
+    venues = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published, block=5)
     return Bibliography.from_tables(articles, people, venues)
 
 
@@ -257,10 +269,10 @@ def h_index_from_stored_tables(spark, folder):
     path = scratch(spark, "tables")
     published = _published_in(spark, folder)
     write_parquet(T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder), published,
-                                  cites(spark, folder)), f"{path}/article")
+                                  cites(spark, folder), block=10), f"{path}/article")
     write_parquet(T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
-                                 _authored_edges(spark, folder)), f"{path}/author")
-    write_parquet(T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published),
+                                 _authored_edges(spark, folder), block=300), f"{path}/author")
+    write_parquet(T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), published, block=10),
                   f"{path}/journal")
     return A.h_index(T.load_bibliography(spark, path))
 

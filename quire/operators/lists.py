@@ -1,35 +1,55 @@
 """Grouping ids into lists, and back.
 
-A list lives in one row, so a key with very many items needs several. The caller says how many with ``parts``: with
-1 every key has one list; with more every key has up to ``parts`` rows, numbered by ``part``, and an item's part is a
-hash of the item. The layout depends on this argument alone, not on the data. A row holds about 1 / ``parts`` of its
-key's items, so ``parts`` is chosen for the largest key. Every item is in exactly one part, so exploding the list
-column gives back the edge table.
+A list lives in one row, so a key with very many items needs several. Lists come in blocks of a stated size: ``part`` b
+of a key holds its items at positions b * block to (b + 1) * block - 1 in sorted order, repeats counted. The parts of a
+key in order are its sorted list, all but the last are full, and exploding them gives back the edge table. Most keys
+have one part, 0.
+
+Repeated edges are counted before they are shuffled, so a key and item that make up much of a table are one row; only
+where its occurrences are written out do they spread over the blocks again.
 """
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.blocks import with_start
+
+#: Items in a row of a list, at most.
+BLOCK = 100_000
+
+
+def _counted(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """Distinct (keys, item) with their number ``_n``; rows with a null key or item are left out."""
+    known = reduce(lambda df, name: df.filter(F.col(name).isNotNull()), [*keys, item], rows.select(*keys, item))
+    return known.groupBy(*keys, item).agg(F.count("*").alias("_n"))
+
 
-def assign_parts(rows: DataFrame, item: str, parts: int) -> DataFrame:
-    """Add ``part``, 0 to ``parts`` - 1, by a hash of ``item``."""
-    return rows.withColumn("part", F.pmod(F.xxhash64(item), F.lit(parts)).cast("int"))
+def _in_blocks(counted: DataFrame, keys: list[str], item: str, block: int) -> DataFrame:
+    """(keys, part, item, _n): the occurrences of an item that lie in a part; an item may lie in several."""
+    started = with_start(counted, keys, item, "_n", block)
+    first, last = F.expr(f"start div {block}"), F.expr(f"(start + _n - 1) div {block}")
+    spread = (started.filter("start IS NOT NULL")
+              .select(*keys, item, "start", "_n", F.explode(F.sequence(first, last)).alias("part"))
+              .withColumn("_n", F.least(F.expr("start + _n"), F.expr(f"(part + 1) * {block}"))
+                          - F.greatest(F.col("start"), F.expr(f"part * {block}"))))
+    whole = started.filter("start IS NULL").withColumn("part", F.lit(0).cast("long"))
+    columns = [*keys, F.col("part").cast("int").alias("part"), item, "_n"]
+    return whole.select(*columns).unionByName(spread.select(*columns))
 
 
-def collect_parts(rows: DataFrame, keys: list[str], item: str, name: str, parts: int = 1) -> DataFrame:
-    """(keys, sorted list of ``item``), and ``part`` after the keys where there is more than one. Rows with a null key
-    are left out, repeated items are kept. The rows are read and shuffled once."""
-    rows = reduce(lambda df, key: df.filter(F.col(key).isNotNull()), keys, rows.select(*keys, item))
-    if parts > 1:
-        rows, keys = assign_parts(rows, item, parts), [*keys, "part"]
-    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias(name))
+def _listed(item: str, where: Column | None = None) -> Column:
+    """Aggregate: the sorted items with their repeats."""
+    entry = F.struct(F.col(item).alias("item"), F.col("_n").cast("int").alias("n"))
+    entries = F.sort_array(F.collect_list(entry if where is None else F.when(where, entry)))
+    return F.flatten(F.transform(entries, lambda e: F.array_repeat(e["item"], e["n"])))
 
 
-def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, parts: int = 1) -> DataFrame:
-    """Neighbour ids per id."""
-    return collect_parts(edges, [key], item, name, parts)
+def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, block: int = BLOCK) -> DataFrame:
+    """(key, part, sorted list of ``item``) in parts of ``block`` items. Items are numbers."""
+    rows = _in_blocks(_counted(edges, [key], item), [key], item, block)
+    return rows.groupBy(key, "part").agg(_listed(item).alias(name))
 
 
 def explode_list(df: DataFrame, key: str, name: str, item: str) -> DataFrame:
@@ -37,15 +57,26 @@ def explode_list(df: DataFrame, key: str, name: str, item: str) -> DataFrame:
     return df.select(key, F.explode(name).alias(item))
 
 
-def attach_lists(base: DataFrame, key: str, lists: list[DataFrame], parts: int = 1) -> DataFrame:
-    """Left-join lists (key, list) or (key, part, list) to their entities.
+def attach_lists(base: DataFrame, key: str, lists: dict[str, DataFrame], block: int = BLOCK) -> DataFrame:
+    """Entities with lists of ids: column name -> edges (id, item). An entity has a row for each part of its longest
+    list, one at least, which repeats its columns; a list that has no such part is null there.
 
-    With ``parts`` every entity has that many rows, 0 to ``parts`` - 1, which repeat its columns.
+    All lists are counted and grouped together, so their edges move twice however many lists there are: by edge, and by
+    entity and part. ``key`` is unique in ``base`` and its values are those of the ids.
     """
-    if parts > 1:
-        base = base.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    on = [key, "part"] if parts > 1 else [key]
-    return reduce(lambda table, rows: table.join(rows, on, "left"), lists, base)
+    edges = reduce(DataFrame.unionByName, [
+        rows.select(F.col(rows.columns[0]).alias("_key"), F.lit(name).alias("_list"), F.col(rows.columns[1]).alias("_item"))
+        for name, rows in lists.items()])
+    counted = _counted(edges, ["_key", "_list"], "_item")
+    parts = (counted.groupBy("_key", "_list").agg(F.sum("_n").alias("_n"))
+             .groupBy("_key").agg(F.expr(f"(max(_n) + {block - 1}) div {block}").alias("_parts")))
+    made = (_in_blocks(counted, ["_key", "_list"], "_item", block).groupBy("_key", "part")
+            .agg(*[_listed("_item", F.col("_list") == name).alias(name) for name in lists]))
+    made = made.select("_key", F.col("part").alias("_part"),
+                       *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists])
+    rows = (base.join(parts.withColumnRenamed("_key", key), key, "left")
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1))).drop("_parts"))
+    return rows.join(made, (rows[key] == made["_key"]) & (rows["part"] == made["_part"]), "left").drop("_key", "_part")
 
 
 def degree(edges: DataFrame, key: str, name: str) -> DataFrame:

@@ -6,11 +6,15 @@ from pyspark.sql import functions as F
 from quire.functions import nested
 from quire.functions.arrays import distinct_field, extended_json_date, or_empty, without_null_values
 from quire.functions.text import KEYWORDS, derive_email, tag_keywords
+from quire.operators.blocks import byte_block, with_start
 from quire.operators.edges import proper_edges, recount_in_degree
-from quire.operators.lists import assign_parts, attach_lists
 from quire.operators.rows import dedupe_first, first_n_matching
 
 
+#: Bytes of citations or paragraphs in a row, at most.
+ROW_BYTES = 64 << 20
+
+
 def embed_authors(papers: DataFrame, authors: DataFrame, id_col: str, fallback_prefix: str,
                   domain: str = "gmail.com", drop: tuple[str, ...] = ("updated", "aliases")) -> DataFrame:
     """Replace the author stubs of each paper by the full author records plus an email, in the same order.
@@ -43,7 +47,8 @@ def clean_texts(texts: DataFrame) -> DataFrame:
 
 
 def assign_images(texts: DataFrame, images: DataFrame, on: str) -> DataFrame:
-    """(on, images map): an image for every figure, chosen by a stable hash of document and figure id.
+    """(on, images map): an image for every figure, chosen by document and figure id alone: the first 15 hex digits of
+    the MD5 of ``document:figure``, modulo the number of images, so that any engine finds the same one.
 
     ``images`` numbers its rows 0..n-1 in ``idx``. Only ids are exploded and shuffled, not the texts; Spark
     broadcasts the image table when its measured size allows and shuffles it otherwise.
@@ -52,7 +57,8 @@ def assign_images(texts: DataFrame, images: DataFrame, on: str) -> DataFrame:
                .filter(F.col("fig_id").startswith(nested.FIGURE_PREFIX)))
     n_images = images.agg(F.count("*").alias("n")).scalar()
     image = F.struct(*nested.IMAGE_FIELDS).alias("image")
-    chosen = (figures.withColumn("idx", F.pmod(F.xxhash64(on, "fig_id"), n_images))
+    digits = F.substring(F.md5(F.concat_ws(":", F.col(on).cast("string"), "fig_id").cast("binary")), 1, 15)
+    chosen = (figures.withColumn("idx", F.conv(digits, 16, 10).cast("long") % n_images)
               .join(images.select(F.col("idx").cast("long").alias("idx"), image), "idx"))
     # The figures come out of one row of texts, so the map fits into one row again.
     return (chosen.groupBy(on).agg(F.collect_list(F.struct("fig_id", "image")).alias("_pairs"))
@@ -90,39 +96,47 @@ def attach_content(papers: DataFrame, texts: DataFrame, on: str, images: DataFra
 
 
 def citation_records(documents: DataFrame, id_col: str, title_col: str, authors: Column) -> DataFrame:
-    """(end_id, citation{reference_id, title, authors[]}): what a citing document stores of a cited one."""
-    return documents.select(F.col(id_col).alias("end_id"), F.struct(
-        F.col(id_col).alias("reference_id"), F.col(title_col).alias("title"), authors.alias("authors"),
-    ).alias("citation"))
+    """(end_id, size, citation{reference_id, title, authors[]}): what a citing document stores of a cited one, and the
+    bytes of its text with 24 for each value."""
+    bytes_of = lambda text: F.coalesce(F.octet_length(text), F.lit(0)) + 24
+    names = F.aggregate(authors, F.lit(0), lambda total, name: total + bytes_of(name))
+    return documents.select(
+        F.col(id_col).alias("end_id"),
+        (bytes_of(F.col(title_col)) + F.coalesce(names, F.lit(0)) + 24).cast("long").alias("size"),
+        F.struct(F.col(id_col).alias("reference_id"), F.col(title_col).alias("title"), authors.alias("authors"))
+        .alias("citation"))
 
 
-def citation_lists(cited: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
-    """(id_col, citations[]) by reference id from edges (start_id, end_id); edges to unknown ids drop out. Where the
-    edges have a ``part``, there is a list for each part."""
-    keys = [F.col("start_id").alias(id_col), *(["part"] if "part" in edges.columns else [])]
-    return (edges.join(cited, "end_id").groupBy(*keys)
-            .agg(F.sort_array(F.collect_list("citation")).alias("citations")))
+def citations_in_parts(cited: DataFrame, edges: DataFrame, limit: int = ROW_BYTES) -> DataFrame:
+    """(start_id, part, citation) from distinct edges (start_id, end_id); edges to unknown ids drop out. The citations
+    of a part have up to ``limit`` bytes, or it is one larger citation. Parts follow the reference ids, their numbers
+    rise and may have gaps. Documents whose citations fit into one row have part 0 only."""
+    found = with_start(edges.select("start_id", "end_id").join(cited, "end_id"), ["start_id"], "end_id", "size", limit)
+    return found.select("start_id", byte_block(F.col("size"), limit).alias("part"), "citation")
 
 
 def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, known: DataFrame, id_col: str,
-                    parts: int = 1) -> DataFrame:
+                    limit: int = ROW_BYTES) -> DataFrame:
     """Documents with their ``citations`` (``[]`` if none) and ``referencecount`` recounted from the edges that
     point to them; ``influentialcitationcount`` goes away. Self-citations, repeats and edges from or to other
     documents do not count.
 
-    With ``parts`` over 1 every document has that many rows, and a citation is in the part its id hashes to; choose
-    it so that 1 / ``parts`` of the longest list, with titles and author names, fits into a row.
+    A document whose citations exceed ``limit`` bytes has a row for each ``part`` of them (`citations_in_parts`), which
+    repeats its other columns; all others have one, part 0. Rows and lists meet by id and part, so that a document
+    with very many citations is spread.
 
     ``cited`` comes from `citation_records` and ``known`` holds the document ids. Both are taken from early, slim
     forms of the documents, so that their texts are not built again for them.
     """
     sources = known.select(F.col(id_col).alias("start_id"))
     inside = proper_edges(edges).join(sources, "start_id", "left_semi")
-    lists = citation_lists(cited, assign_parts(inside, "end_id", parts) if parts > 1 else inside, id_col)
+    found = citations_in_parts(cited, inside, limit).withColumnRenamed("start_id", id_col)
+    lists = found.groupBy(id_col, "part").agg(F.sort_array(F.collect_list("citation")).alias("citations"))
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
-    return attach_lists(counted, id_col, [lists], parts).withColumn(
-        "citations", or_empty(F.col("citations"), kind))
+    rows = (counted.join(found.select(id_col, "part").distinct(), id_col, "left")
+            .withColumn("part", F.coalesce("part", F.lit(0).cast("long"))))
+    return rows.join(lists, [id_col, "part"], "left").withColumn("citations", or_empty(F.col("citations"), kind))
 
 
 def with_extended_dates(documents: DataFrame, columns: list[str]) -> DataFrame:
@@ -133,13 +147,14 @@ def with_extended_dates(documents: DataFrame, columns: list[str]) -> DataFrame:
 def build_documents(papers: DataFrame, authors: DataFrame, texts: DataFrame, images: DataFrame, edges: DataFrame,
                     fallback_prefix: str, n: int | None = None, id_col: str = "corpusid",
                     vocabulary: list[str] = KEYWORDS, as_coded: bool = False,
-                    parts: int = 1) -> DataFrame:
-    """The whole document preparation; ``texts`` carries ``id_col``, ``n`` keeps the first papers by id."""
+                    limit: int = ROW_BYTES) -> DataFrame:
+    """The whole document preparation; ``texts`` carries ``id_col``, ``n`` keeps the first papers by id, and ``limit``
+    bounds the bytes of citations in a row (`embed_citations`)."""
     chosen = first_n_matching(papers, F.col("externalids.DBLP").isNotNull(), n, [id_col])
     documents = embed_authors(chosen, authors, id_col, fallback_prefix)
     cited = citation_records(documents, id_col, "title", F.col("authors.name"))
     documents = attach_content(documents, clean_texts(texts), id_col, images, vocabulary, as_coded)
-    documents = embed_citations(documents, cited, edges, chosen, id_col, parts)
+    documents = embed_citations(documents, cited, edges, chosen, id_col, limit)
     return with_extended_dates(documents, ["publicationdate", "updated"])
 
 
@@ -174,29 +189,30 @@ def number_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, block
 
 
 def aggregate_sections(paragraphs: DataFrame, doc: str, pos: str, title: str, text: str,
-                       as_coded: bool = False, block: int | None = None) -> DataFrame:
-    """(doc, sections[{section_title, paragraphs[]}]) from paragraphs kept as rows.
+                       as_coded: bool = False, limit: int = ROW_BYTES) -> DataFrame:
+    """(doc, part, sections[{section_title, paragraphs[]}]) from paragraphs kept as rows, one row for each position.
 
-    With ``block`` every document comes in parts of that many positions, (doc, part, sections), whatever its length; a
-    section that spans parts appears in each of them. Choose it so that a block of paragraphs fits into a row. Within a
-    row, sections come in order of first appearance and paragraphs in order of position.
+    A document of up to ``limit`` bytes of text is one row, part 0. A larger one is cut by its running bytes into parts
+    of up to ``limit`` bytes, or one larger paragraph; a section that spans parts appears in each of them. Part numbers
+    rise with the positions and may have gaps. Within a row, sections come in order of first appearance and paragraphs
+    in order of position.
     """
+    sized = paragraphs.withColumn("_size", F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))
+    rows = (with_start(sized, [doc], pos, "_size", limit).withColumn("part", byte_block(F.col("_size"), limit))
+            .drop("start", "_size"))
     position = F.col(pos).alias("pos")
-    part = [] if block is None else [F.expr(f"cast(`{pos}` div {block} as int)").alias("part")]
     if as_coded:
-        numbered = number_sections(paragraphs, doc, pos, title)
+        numbered = number_sections(rows, doc, pos, title)
         starts = numbered.groupBy(doc, "section_no").agg(F.min_by(title, pos).alias("section_title"))
         rows = numbered.join(starts, [doc, "section_no"])
-        keys = [doc, *part, "section_no", "section_title"]
+        keys = [doc, "part", "section_no", "section_title"]
         order = F.col("section_no")
     else:
-        rows = paragraphs
-        keys = [doc, *part, F.col(title).alias("section_title")]
+        keys = [doc, "part", F.col(title).alias("section_title")]
         order = F.col("_p")[0]["pos"]
-    outer = [doc, *(["part"] if part else [])]
     grouped = rows.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(position, F.col(text).alias("text")))).alias("_p"))
     section = F.struct(order.alias("section_no"), "section_title", F.col("_p.text").alias("paragraphs")).alias("section")
-    return (grouped.select(*outer, section).groupBy(*outer)
+    return (grouped.select(doc, "part", section).groupBy(doc, "part")
             .agg(F.sort_array(F.collect_list("section")).alias("_sections"))
-            .select(*outer, F.transform("_sections", lambda s: s.dropFields("section_no")).alias("sections")))
+            .select(doc, "part", F.transform("_sections", lambda s: s.dropFields("section_no")).alias("sections")))

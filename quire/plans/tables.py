@@ -1,6 +1,7 @@
 """The denormalised author, article and journal tables: one row per entity with lists of neighbour ids.
 
-Lists follow `quire.operators.lists`: ``parts`` gives the number of rows of each entity, 1 by default.
+Lists follow `quire.operators.lists`: ``block`` is the largest number of ids in a row. An entity with a longer list has
+several rows, numbered by ``part``, that repeat its other columns; nearly all have one, part 0.
 """
 
 from functools import reduce
@@ -13,7 +14,7 @@ from quire import schemas
 from quire.functions.arrays import first_element, or_empty
 from quire.functions.text import parse_date, parse_list_literal, split_multivalue
 from quire.operators.columns import conform, count_null_keys, count_rejected_values, fill_sentinels, require_not_null
-from quire.operators.lists import adjacency_lists, attach_lists, degree
+from quire.operators.lists import BLOCK, attach_lists, degree
 from quire.operators.rows import dedupe_first
 from quire.plans.bibliography import Bibliography
 
@@ -21,7 +22,7 @@ COUNTERS = ("hindex", "papercount", "citationcount")
 
 
 def author_table(authors: DataFrame, articles: DataFrame, authored_by: DataFrame, sentinels: bool = False,
-                 parts: int = 1) -> DataFrame:
+                 block: int = BLOCK) -> DataFrame:
     """Authors (id, affiliations and orcid as list literals, ...) with the ids of their articles, ``[]`` if none.
 
     Only ids of ``articles`` are listed. With ``sentinels`` missing counters become -1.
@@ -33,14 +34,13 @@ def author_table(authors: DataFrame, articles: DataFrame, authored_by: DataFrame
     if sentinels:
         parsed = fill_sentinels(parsed, {name: -1 for name in COUNTERS})
     written = authored_by.join(articles.select(F.col("id").alias("start_id")), "start_id", "left_semi")
-    lists = adjacency_lists(written, "end_id", "start_id", "written_articles_ids", parts)
-    table = attach_lists(parsed, "id", [lists.withColumnRenamed("end_id", "id")], parts)
+    table = attach_lists(parsed, "id", {"written_articles_ids": written.select("end_id", "start_id")}, block)
     return (table.withColumn("written_articles_ids", or_empty(F.col("written_articles_ids"), "array<bigint>"))
             .withColumnRenamed("id", "ID"))
 
 
 def article_table(articles: DataFrame, authored_by: DataFrame, published_in: DataFrame, cites: DataFrame,
-                  sentinels: bool = False, parts: int = 1) -> DataFrame:
+                  sentinels: bool = False, block: int = BLOCK) -> DataFrame:
     """Articles with parsed fields, author ids, journal id with number/pages/volume, and citations both ways.
 
     ``published_in`` is (start_id, end_id, number, pages, volume); of several journals of an article the smallest id
@@ -59,20 +59,16 @@ def article_table(articles: DataFrame, authored_by: DataFrame, published_in: Dat
     placed = published_in.select(F.col("start_id").alias("id"), F.col("end_id").alias("journal_id"),
                                  "number", "pages", "volume")
     parsed = parsed.drop("number", "pages", "volume").join(placed, "id", "left")
-    outgoing = adjacency_lists(cites, "start_id", "end_id", "citations", parts)
-    incoming = adjacency_lists(cites, "end_id", "start_id", "incoming_citations", parts)
-    written_by = adjacency_lists(authored_by, "start_id", "end_id", "authors_ids", parts)
-    return attach_lists(parsed, "id", [
-        written_by.withColumnRenamed("start_id", "id"), outgoing.withColumnRenamed("start_id", "id"),
-        incoming.withColumnRenamed("end_id", "id")], parts).withColumnRenamed("id", "ID")
+    return attach_lists(parsed, "id", {
+        "authors_ids": authored_by.select("start_id", "end_id"), "citations": cites.select("start_id", "end_id"),
+        "incoming_citations": cites.select("end_id", "start_id")}, block).withColumnRenamed("id", "ID")
 
 
-def journal_table(journals: DataFrame, published_in: DataFrame, parts: int = 1) -> DataFrame:
+def journal_table(journals: DataFrame, published_in: DataFrame, block: int = BLOCK) -> DataFrame:
     """Journals (id, name) with the ids of their articles and how many there are in all parts together."""
     members = published_in.select(F.col("end_id").alias("id"), "start_id").dropna()
     counted = journals.join(degree(members, "id", "NumArticles"), "id", "left")
-    lists = adjacency_lists(members, "id", "start_id", "Articles", parts)
-    return attach_lists(counted, "id", [lists], parts).withColumnRenamed("id", "journal_id")
+    return attach_lists(counted, "id", {"Articles": members}, block).withColumnRenamed("id", "journal_id")
 
 
 _STORED = {"article": (schemas.ARTICLE, "ID"), "author": (schemas.AUTHOR, "ID"), "journal": (schemas.JOURNAL, "journal_id")}

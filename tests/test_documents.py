@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions import nested
+from quire.functions.leaves import leaf_rows
 from quire.plans import documents as D
 
 
@@ -98,16 +99,43 @@ def test_sections_of_rows_match_sections_in_a_row(spark, folder):
 
 
 def test_long_documents_come_in_parts(spark):
-    turns = spark.range(100).select(F.lit(1).alias("doc"), F.col("id").alias("pos"),
-                                    F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("title"),
-                                    F.col("id").cast("string").alias("text"))
-    made = D.aggregate_sections(turns, "doc", "pos", "title", "text", block=30).orderBy("part").collect()
-    assert [r.part for r in made] == [0, 1, 2, 3]
-    by_title = {"A": [], "B": []}
-    for row in made:
-        for section in row.sections:
-            by_title[section.section_title] += section.paragraphs
-    assert by_title == {"A": [str(i) for i in range(0, 100, 2)], "B": [str(i) for i in range(1, 100, 2)]}
+    texts = ["x" * n for n in [10, 10, 40, 10, 10, 10, 10, 150, 5, 0, 30, 30, 30, 30] * 6]
+    turns = spark.createDataFrame(
+        [(1, i, "A" if i % 3 else "B", t) for i, t in enumerate(texts)] + [(2, 0, "C", "short"), (2, 1, None, None)],
+        "doc int, pos long, title string, text string")
+    for as_coded in (False, True):
+        made = D.aggregate_sections(turns, "doc", "pos", "title", "text", as_coded, limit=100).collect()
+        assert [(r.part, len(r.sections)) for r in made if r.doc == 2] == [(0, 2)]
+        long = sorted((r for r in made if r.doc == 1), key=lambda r: r.part)
+        sizes = [[len(t) for s in r.sections for t in s.paragraphs] for r in long]
+        assert all(sum(part) <= 100 or len(part) == 1 for part in sizes) and len(long) > 10
+        if not as_coded:
+            by_title = {"A": [], "B": []}
+            for row in long:
+                for section in row.sections:
+                    by_title[section.section_title] += section.paragraphs
+            assert by_title == {t: [x for i, x in enumerate(texts) if (t == "A") == (i % 3 > 0)] for t in "AB"}
+
+
+def test_citations_are_bounded_by_bytes(spark):
+    papers = spark.createDataFrame([(i, "t" * (i % 50)) for i in range(400)], "corpusid long, title string")
+    edges = spark.createDataFrame([(0, i) for i in range(400)] * 2 + [(1, 2), (3, 999)], "start_id long, end_id long")
+    cited = D.citation_records(papers, "corpusid", "title", F.array(F.lit("Ann"), F.lit(None).cast("string")))
+    made = D.embed_citations(papers, cited, edges, papers, "corpusid", limit=2000).collect()
+    size = lambda c: len(c.title) + 24 + 27 + 24 + 24
+    hub = sorted((r for r in made if r.corpusid == 0), key=lambda r: r.part)
+    assert [c.reference_id for r in hub for c in r.citations] == list(range(1, 400))
+    assert len(hub) > 15 and all(sum(map(size, r.citations)) <= 2000 for r in hub)
+    others = {r.corpusid: (r.part, [c.reference_id for c in r.citations]) for r in made if r.corpusid}
+    assert len(others) == 399 and others[1] == (0, [2]) and others[3] == (0, [])
+    assert {r.corpusid: r.referencecount for r in made}[2] == 2
+
+
+def test_leaf_rows(spark):
+    df = spark.createDataFrame([(1, {"a": [1, None]}, [("x", None), (None, [2.5])]), (2, None, [])],
+                               "id int, m map<string, array<int>>, l array<struct<s: string, d: array<double>>>")
+    assert sorted(map(tuple, leaf_rows(df, ["id"]).collect())) == [
+        (1, "l[0].s", "x"), (1, "l[1].d[0]", "2.5"), (1, "m[a][0]", "1")]
 
 
 def test_very_many_sections(spark):

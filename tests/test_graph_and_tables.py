@@ -127,11 +127,11 @@ def test_tables_written_and_loaded(spark, tmp_path):
     cites = _frame(spark, [(j, 1) for j in range(2, 6)] + [(2, 3)], edge)
     placed = _frame(spark, [(1, 7), (2, 7), (3, 7), (4, None)], edge).withColumns(
         {c: F.lit(c) for c in ("number", "pages", "volume")})
-    for parts in (3, 1):
-        base = f"{tmp_path}/{parts}"
-        write_parquet(T.article_table(articles, authored, placed, cites, parts=parts), f"{base}/article")
-        write_parquet(T.author_table(authors, articles, authored, parts=parts), f"{base}/author")
-        write_parquet(T.journal_table(_frame(spark, [(7, "J"), (8, "K")], "id long, name string"), placed, parts),
+    for block in (2, 1000):
+        base = f"{tmp_path}/{block}"
+        write_parquet(T.article_table(articles, authored, placed, cites, block=block), f"{base}/article")
+        write_parquet(T.author_table(authors, articles, authored, block=block), f"{base}/author")
+        write_parquet(T.journal_table(_frame(spark, [(7, "J"), (8, "K")], "id long, name string"), placed, block),
                       f"{base}/journal")
         bib = T.load_bibliography(spark, base)
         assert _rows(bib.articles, "article_id", "incoming_count", "journal_id") == [

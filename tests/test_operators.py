@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quire.operators import blocks as B
 from quire.operators import edges as E
 from quire.operators import lists as L
 from quire.operators import rows as R
@@ -16,33 +17,77 @@ def _edges(spark, pairs):
     return spark.createDataFrame(pairs, "start_id long, end_id long")
 
 
-@pytest.mark.parametrize("parts", [1, 2, 7])
-def test_lists_keep_every_edge(spark, parts):
-    pairs = [(1, i) for i in range(50)] + [(2, 7)] * 9 + [(3, 5), (3, 6), (None, 4)]
-    lists = L.adjacency_lists(_edges(spark, pairs), "start_id", "end_id", "ids", parts)
-    back = L.explode_list(lists, "start_id", "ids", "end_id")
-    assert _rows(back, "start_id", "end_id") == sorted((p for p in pairs if p[0] is not None), key=repr)
-    if parts == 1:
-        assert lists.columns == ["start_id", "ids"] and lists.count() == 3
-    else:
-        assert lists.groupBy("start_id", "part").count().filter("count > 1").isEmpty()
-        assert lists.filter(f"part NOT BETWEEN 0 AND {parts - 1}").isEmpty()
+def _blocks(items, block):
+    items = sorted(items)
+    return [items[i:i + block] for i in range(0, len(items), block)]
 
 
-def test_every_hub_is_split_alike(spark):
-    edges = _edges(spark, [(k, i) for k in range(200) for i in range(100)])
-    lists = L.adjacency_lists(edges, "start_id", "end_id", "ids", 5).select("start_id", F.size("ids").alias("n"))
-    assert lists.count() == 1000 and lists.agg(F.max("n")).first()[0] < 50
+@pytest.mark.parametrize("block", [1, 7, 50, 1000])
+def test_lists_are_cut_exactly(spark, block):
+    pairs = [(1, i) for i in range(50)] + [(2, 7)] * 19 + [(2, 3)] * 5 + [(3, 5), (3, 6), (None, 4), (4, None)]
+    lists = L.adjacency_lists(_edges(spark, pairs), "start_id", "end_id", "ids", block)
+    expected = [(key, part, ids) for key in (1, 2, 3)
+                for part, ids in enumerate(_blocks([b for a, b in pairs if a == key], block))]
+    assert _rows(lists, "start_id", "part", "ids") == sorted(expected, key=repr)
+    back = L.explode_list(lists, "start_id", "ids", "end_id")
+    assert _rows(back, "start_id", "end_id") == sorted((p for p in pairs if None not in p), key=repr)
+
+
+def test_hub_with_one_repeated_item_is_spread(spark):
+    """A third of all edges from one id, a third of them to one other: no row and no task holds them all."""
+    edges = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 3 == 1, F.lit(-2)).otherwise(F.col("id")).alias("start_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("end_id"))
+    lists = L.adjacency_lists(edges, "start_id", "end_id", "ids", 100).select("start_id", "part", "ids").collect()
+    of = lambda key: [r.ids for r in sorted((r for r in lists if r.start_id == key), key=lambda r: r.part)]
+    assert of(-1) == [[5] * 100] * 100
+    assert of(-2) == _blocks(range(1, 30_000, 3), 100)
+    assert len(lists) == 100 + 100 + 10_000
+
+
+def test_ranges_of_a_hub_are_even(spark):
+    rows = spark.range(20_000).select((F.col("id") % 2).alias("key"), (F.col("id") * F.col("id")).alias("item"),
+                                      F.lit(3).cast("long").alias("weight"))
+    started = B.with_start(rows, ["key"], "item", "weight", 10)
+    assert _rows(started.filter("key = 1"), "item", "start") == sorted(
+        ((i * i, 3 * n) for n, i in enumerate(range(1, 20_000, 2))), key=repr)
+    ranges = rows.withColumn("cuts", B.range_cuts(rows, F.col("item"))).groupBy(
+        B.cuts_up_to(F.col("cuts"), F.col("item")).alias("range")).count()
+    sizes = [r["count"] for r in ranges.collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.2 * 20_000 / 4
+
+
+def test_byte_blocks_keep_their_bound(spark):
+    sizes = [30, 10, 10, 100, 70, 5, 5, 5, 60, 200, 1, 49, 50, 51] * 30
+    rows = spark.createDataFrame([(1, i, s) for i, s in enumerate(sizes)], "key int, at long, size long")
+    made = (B.with_start(rows, ["key"], "at", "size", 100).withColumn("block", B.byte_block(F.col("size"), 100))
+            .orderBy("at").collect())
+    assert [r.block for r in made] == sorted(r.block for r in made)
+    blocks = {}
+    for r in made:
+        blocks.setdefault(r.block, []).append(r.size)
+    assert all(sum(b) <= 100 or len(b) == 1 for b in blocks.values())
+    assert len(blocks) <= 2 + 4 * sum(sizes) / 100
 
 
 def test_attached_lists(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
-    for parts in (1, 3):
-        lists = L.adjacency_lists(_edges(spark, [(1, i) for i in range(20)] + [(9, i) for i in range(20)]),
-                                  "start_id", "end_id", "ids", parts).withColumnRenamed("start_id", "id")
-        table = L.attach_lists(base, "id", [lists], parts)
-        assert _rows(table, "id", "name") == sorted([(1, "a"), (2, "b")] * parts, key=repr)
-        assert _rows(L.explode_list(table, "id", "ids", "x"), "x") == sorted(((i,) for i in range(20)), key=repr)
+    edges = _edges(spark, [(1, i) for i in range(20)] + [(9, i) for i in range(20)])
+    backward = _edges(spark, [(2, 5), (1, 6)])
+    table = L.attach_lists(base, "id", {"ids": edges, "back": backward}, 8)
+    assert _rows(table, "id", "name", "part", "ids", "back") == sorted([
+        (1, "a", 0, list(range(8)), [6]), (1, "a", 1, list(range(8, 16)), None), (1, "a", 2, list(range(16, 20)), None),
+        (2, "b", 0, None, [5])], key=repr)
+
+
+def test_lists_move_their_edges_twice(spark):
+    """Three lists: by edge, and by entity and part. The other exchanges carry totals or are for large keys only."""
+    base = spark.range(100)
+    edges = spark.range(1000).select((F.col("id") % 100).alias("start_id"), F.col("id").alias("end_id"))
+    table = L.attach_lists(base, "id", {name: edges for name in "abc"})
+    table.collect()
+    plan = table._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_drop_edges(spark):
