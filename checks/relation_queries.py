@@ -129,9 +129,9 @@ def _in_parts(edges, key, item, block):
 
 
 @query(with_views("cites", f"""
-SELECT start_id, part, ids AS citations FROM ({_in_parts("cites", "start_id", "end_id", 5)})"""))
+SELECT start_id, part, ids AS citations FROM ({_in_parts("cites", "start_id", "end_id", 6)})"""))
 def adjacency_lists(spark, folder):
-    lists = make_lists(cites(spark, folder), "start_id", "end_id", "citations", block=5)
+    lists = make_lists(cites(spark, folder), "start_id", "end_id", "citations", block=6)
     return lists.withColumn("citations", _texts("citations"))
 
 
@@ -195,7 +195,7 @@ def _published_in(spark, folder):
 
 @query(with_views("author authored_by", f""",
 known AS (SELECT author_id, article_id FROM authored_by JOIN orders ON article_id = o_orderkey WHERE o_orderstatus <> 'P'),
-written AS ({_in_parts("known", "author_id", "article_id", 400)})
+written AS ({_in_parts("known", "author_id", "article_id", 640)})
 SELECT author_id AS "ID", coalesce(part, CAST(0 AS INTEGER)) AS part, name, n_name || ',' || r_name AS affiliations,
     CASE WHEN citationcount > 1000 THEN name END AS orcid,
     CASE WHEN citationcount > 0 THEN citationcount ELSE -1 END AS hindex, citationcount AS papercount,
@@ -203,14 +203,14 @@ SELECT author_id AS "ID", coalesce(part, CAST(0 AS INTEGER)) AS part, name, n_na
 FROM author LEFT JOIN written USING (author_id)"""))
 def author_table(spark, folder):
     made = T.author_table(_raw_authors(spark, folder), _raw_articles(spark, folder),
-                          _authored_edges(spark, folder), sentinels=True, block=400)
+                          _authored_edges(spark, folder), sentinels=True, block=640)
     return made.withColumns({c: _texts(c) for c in ("affiliations", "written_articles_ids")})
 
 
 @query(with_views("authored_by cites", f""",
-writers AS ({_in_parts("authored_by", "article_id", "author_id", 6)}),
-outgoing AS ({_in_parts("cites", "start_id", "end_id", 6)}),
-arriving AS ({_in_parts("cites", "end_id", "start_id", 6)}),
+writers AS ({_in_parts("authored_by", "article_id", "author_id", 12)}),
+outgoing AS ({_in_parts("cites", "start_id", "end_id", 12)}),
+arriving AS ({_in_parts("cites", "end_id", "start_id", 12)}),
 parts AS (SELECT id, max(part) AS last FROM (SELECT article_id AS id, part FROM writers UNION ALL
     SELECT start_id, part FROM outgoing UNION ALL SELECT end_id, part FROM arriving) GROUP BY id),
 article_parts AS (SELECT orders.*, CAST(unnest(range(0, coalesce(last, 0) + 1)) AS INTEGER) AS part
@@ -230,7 +230,7 @@ LEFT JOIN outgoing ON o_orderkey = start_id AND p.part = outgoing.part
 LEFT JOIN arriving ON o_orderkey = end_id AND p.part = arriving.part WHERE o_orderstatus <> 'P'"""))
 def article_table(spark, folder):
     made = T.article_table(_raw_articles(spark, folder), _authored_edges(spark, folder),
-                           _published_in(spark, folder), cites(spark, folder), block=6)
+                           _published_in(spark, folder), cites(spark, folder), block=12)
     lists = ("ee", "ee_type", "note", "url", "authors_ids", "citations", "incoming_citations")
     return made.withColumns({c: _texts(c) for c in lists}).withColumn("mdate", F.col("mdate").cast("string"))
 
@@ -238,12 +238,12 @@ def article_table(spark, folder):
 @query(with_views("journal", f""",
 published AS (SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus <> 'O'),
 counts AS (SELECT o_custkey, count(*) AS n FROM published GROUP BY o_custkey),
-members AS ({_in_parts("published", "o_custkey", "o_orderkey", 6)})
+members AS ({_in_parts("published", "o_custkey", "o_orderkey", 12)})
 SELECT journal_id, coalesce(part, CAST(0 AS INTEGER)) AS part, name, n AS "NumArticles", ids AS "Articles"
 FROM journal LEFT JOIN counts c ON journal_id = c.o_custkey LEFT JOIN members m ON journal_id = m.o_custkey"""))
 def venue_article_lists(spark, folder):
     made = T.journal_table(journals(spark, folder).withColumnRenamed("journal_id", "id"), _published_in(spark, folder),
-                           block=6)
+                           block=12)
     return made.withColumn("Articles", _texts("Articles"))
 
 

@@ -19,32 +19,40 @@ def range_cuts(rows: DataFrame, value: Column) -> Column:
 
 
 def cuts_up_to(cuts: Column, value: Column) -> Column:
-    """How many of the cuts are not above the value."""
-    return F.size(F.filter(cuts, lambda cut: cut <= value))
+    """How many of the cuts are not above the value, never null."""
+    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
 
 
-def with_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
-    """Add ``start``, the total weight of the rows of the same key that come before by ``order``; null for keys whose
-    rows weigh no more than ``limit`` together.
+def mark_large(rows: DataFrame, keys: list[str], weight: Column, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_large``, true for keys that weigh more than ``limit`` and null for others, and (keys, _total) of
+    these keys. They are few: at most the total weight through the limit. Spark broadcasts them when their measured size
+    allows, and splits a skewed join otherwise, as only rows stand under its other side."""
+    large = rows.groupBy(*keys).agg(F.sum(weight).alias("_total")).filter(F.col("_total") > limit)
+    return rows.join(large.select(*keys, F.lit(True).alias("_large")), keys, "left"), large
 
-    ``order`` is numeric, not null and unique within a key; keys are not null.
-    """
-    # The totals are few rows, which Spark broadcasts when their measured size allows.
-    large = (rows.groupBy(*keys).agg(F.sum(weight).alias("_total")).filter(F.col("_total") > limit)
-             .select(*keys, F.lit(True).alias("_large")))
-    marked = rows.join(large, keys, "left")
-    small = marked.filter(F.col("_large").isNull()).drop("_large").withColumn("start", F.lit(None).cast("long"))
-    ranged = marked.filter("_large").drop("_large")
-    ranged = (ranged.withColumn("_cuts", range_cuts(ranged, F.col(order)))
+
+def add_start(rows: DataFrame, keys: list[str], order: str, weight: str, among: DataFrame) -> DataFrame:
+    """Add ``start``, the total weight of the rows of the same key that come before by ``order``, which is numeric, not
+    null and unique within a key. The cuts are those of ``among``, a larger table with the same order column: a key has
+    no more rows in a range than all keys together have there."""
+    ranged = (rows.withColumn("_cuts", range_cuts(among, F.col(order)))
               .withColumn("_range", cuts_up_to(F.col("_cuts"), F.col(order))).drop("_cuts"))
     earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     before = (ranged.groupBy(*keys, "_range").agg(F.sum(weight).alias("_sum"))
               .select(*keys, "_range", F.coalesce(F.sum("_sum").over(earlier(*keys).orderBy("_range")), F.lit(0))
                       .alias("_before")))
     inside = F.coalesce(F.sum(weight).over(earlier(*keys, "_range").orderBy(order)), F.lit(0))
-    started = (ranged.withColumn("_inside", inside).join(before, [*keys, "_range"])
-               .withColumn("start", (F.col("_before") + F.col("_inside")).cast("long")))
-    return small.unionByName(started.select(*small.columns))
+    return (ranged.withColumn("_inside", inside).join(before, [*keys, "_range"])
+            .withColumn("start", (F.col("_before") + F.col("_inside")).cast("long")).drop("_range", "_inside", "_before"))
+
+
+def with_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
+    """`add_start` for keys whose rows weigh more than ``limit`` together; ``start`` is null for all others, which are
+    not moved. Keys are not null."""
+    marked, _ = mark_large(rows, keys, F.col(weight), limit)
+    small = marked.filter(F.col("_large").isNull()).withColumn("start", F.lit(None).cast("long")).drop("_large")
+    large = add_start(marked.filter("_large").drop("_large"), keys, order, weight, rows)
+    return small.unionByName(large.select(*small.columns))
 
 
 def byte_block(size: Column, limit: int) -> Column:

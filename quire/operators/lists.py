@@ -5,51 +5,42 @@ of a key holds its items at positions b * block to (b + 1) * block - 1 in sorted
 key in order are its sorted list, all but the last are full, and exploding them gives back the edge table. Most keys
 have one part, 0.
 
-Repeated edges are counted before they are shuffled, so a key and item that make up much of a table are one row; only
-where its occurrences are written out do they spread over the blocks again.
+Only keys with more than a block need positions. Their repeated edges are counted before they are shuffled, so a key and
+item that make up much of a table are one row, and a key's items are numbered by many tasks (`quire.operators.blocks`).
+All other edges move once.
 """
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.operators.blocks import with_start
+from quire.operators.blocks import add_start, mark_large
 
 #: Items in a row of a list, at most.
 BLOCK = 100_000
 
 
-def _counted(rows: DataFrame, keys: list[str], item: str) -> DataFrame:
-    """Distinct (keys, item) with their number ``_n``; rows with a null key or item are left out."""
-    known = reduce(lambda df, name: df.filter(F.col(name).isNotNull()), [*keys, item], rows.select(*keys, item))
-    return known.groupBy(*keys, item).agg(F.count("*").alias("_n"))
-
-
-def _in_blocks(counted: DataFrame, keys: list[str], item: str, block: int) -> DataFrame:
-    """(keys, part, item, _n): the occurrences of an item that lie in a part; an item may lie in several."""
-    started = with_start(counted, keys, item, "_n", block)
+def _in_parts(edges: DataFrame, keys: list[str], item: str, block: int) -> tuple[DataFrame, DataFrame]:
+    """(keys, part, item) of all edges, and (keys, _total) of keys with several parts. Rows with a null key or item are
+    left out."""
+    known = reduce(lambda df, name: df.filter(F.col(name).isNotNull()), [*keys, item], edges.select(*keys, item))
+    marked, large = mark_large(known, keys, F.lit(1), block)
+    whole = marked.filter(F.col("_large").isNull()).select(*keys, F.lit(0).alias("part"), item)
+    counted = marked.filter("_large").groupBy(*keys, item).agg(F.count("*").alias("_n"))
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + _n - 1) div {block}")
-    spread = (started.filter("start IS NOT NULL")
+    copies = (F.least(F.expr("start + _n"), F.expr(f"(part + 1) * {block}"))
+              - F.greatest(F.col("start"), F.expr(f"part * {block}"))).cast("int")
+    spread = (add_start(counted, keys, item, "_n", known)
               .select(*keys, item, "start", "_n", F.explode(F.sequence(first, last)).alias("part"))
-              .withColumn("_n", F.least(F.expr("start + _n"), F.expr(f"(part + 1) * {block}"))
-                          - F.greatest(F.col("start"), F.expr(f"part * {block}"))))
-    whole = started.filter("start IS NULL").withColumn("part", F.lit(0).cast("long"))
-    columns = [*keys, F.col("part").cast("int").alias("part"), item, "_n"]
-    return whole.select(*columns).unionByName(spread.select(*columns))
-
-
-def _listed(item: str, where: Column | None = None) -> Column:
-    """Aggregate: the sorted items with their repeats."""
-    entry = F.struct(F.col(item).alias("item"), F.col("_n").cast("int").alias("n"))
-    entries = F.sort_array(F.collect_list(entry if where is None else F.when(where, entry)))
-    return F.flatten(F.transform(entries, lambda e: F.array_repeat(e["item"], e["n"])))
+              .select(*keys, F.col("part").cast("int").alias("part"), F.explode(F.array_repeat(item, copies)).alias(item)))
+    return whole.unionByName(spread), large
 
 
 def adjacency_lists(edges: DataFrame, key: str, item: str, name: str, block: int = BLOCK) -> DataFrame:
     """(key, part, sorted list of ``item``) in parts of ``block`` items. Items are numbers."""
-    rows = _in_blocks(_counted(edges, [key], item), [key], item, block)
-    return rows.groupBy(key, "part").agg(_listed(item).alias(name))
+    rows, _ = _in_parts(edges, [key], item, block)
+    return rows.groupBy(key, "part").agg(F.sort_array(F.collect_list(item)).alias(name))
 
 
 def explode_list(df: DataFrame, key: str, name: str, item: str) -> DataFrame:
@@ -61,20 +52,19 @@ def attach_lists(base: DataFrame, key: str, lists: dict[str, DataFrame], block:
     """Entities with lists of ids: column name -> edges (id, item). An entity has a row for each part of its longest
     list, one at least, which repeats its columns; a list that has no such part is null there.
 
-    All lists are counted and grouped together, so their edges move twice however many lists there are: by edge, and by
-    entity and part. ``key`` is unique in ``base`` and its values are those of the ids.
+    All lists are grouped together, so their edges move once however many lists there are. ``key`` is unique in ``base``
+    and its values are those of the ids.
     """
     edges = reduce(DataFrame.unionByName, [
         rows.select(F.col(rows.columns[0]).alias("_key"), F.lit(name).alias("_list"), F.col(rows.columns[1]).alias("_item"))
         for name, rows in lists.items()])
-    counted = _counted(edges, ["_key", "_list"], "_item")
-    parts = (counted.groupBy("_key", "_list").agg(F.sum("_n").alias("_n"))
-             .groupBy("_key").agg(F.expr(f"(max(_n) + {block - 1}) div {block}").alias("_parts")))
-    made = (_in_blocks(counted, ["_key", "_list"], "_item", block).groupBy("_key", "part")
-            .agg(*[_listed("_item", F.col("_list") == name).alias(name) for name in lists]))
+    placed, large = _in_parts(edges, ["_key", "_list"], "_item", block)
+    of = lambda name: F.sort_array(F.collect_list(F.when(F.col("_list") == name, F.col("_item"))))
+    made = placed.groupBy("_key", "part").agg(*[of(name).alias(name) for name in lists])
     made = made.select("_key", F.col("part").alias("_part"),
                        *[F.when(F.size(name) > 0, F.col(name)).alias(name) for name in lists])
-    rows = (base.join(parts.withColumnRenamed("_key", key), key, "left")
+    parts = large.groupBy(F.col("_key").alias(key)).agg(F.expr(f"(max(_total) + {block - 1}) div {block}").alias("_parts"))
+    rows = (base.join(parts, key, "left")
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)).cast("int") - 1))).drop("_parts"))
     return rows.join(made, (rows[key] == made["_key"]) & (rows["part"] == made["_part"]), "left").drop("_key", "_part")
 
