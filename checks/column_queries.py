@@ -154,6 +154,18 @@ def position_with_nulls(spark, folder):
     return ranked.select("o_orderkey", F.col("position").cast("long").alias("position"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (
+    ORDER BY CASE WHEN l_quantity >= 10 THEN 1 ELSE l_quantity END, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS position
+    FROM lineitem""")
+def position_with_ties(spark, folder):
+    """One value in most of the rows."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(F.col("l_quantity") >= 10, 1).otherwise(F.col("l_quantity")).alias("quantity"))
+    ranked = with_position(items, "quantity", ties=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    return ranked.drop("quantity").withColumn("position", F.col("position").cast("long"))
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (
     PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS rn
     FROM lineitem) WHERE rn = 1""")

@@ -6,7 +6,7 @@ from quire.operators import edges as E
 from quire.operators import lists as L
 from quire.operators import rows as R
 from quire.operators.entities import enrich_entities
-from quire.operators.ranks import with_position, zip_by_rank
+from quire.operators.ranks import bucketed, with_position, zip_by_rank
 
 
 def _rows(df, *columns):
@@ -143,3 +143,27 @@ def test_positions_keep_every_row(spark):
     assert [r.id for r in ranked.orderBy("position").collect()] == [5, 1, 4, 3, 2, 6]
     assert with_position(df.limit(0), "v").count() == 0
     assert with_position(df.filter("v IS NULL"), "v", ties=("id",)).count() == 2
+
+
+def test_frequent_values_and_nulls_are_numbered_by_many_tasks(spark):
+    """Half of the values null, a quarter equal, one in eight NaN: no bucket has more than a few hundredths."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    value = (F.when(F.col("id") % 8 < 4, F.lit(None)).when(F.col("id") % 8 < 6, F.lit(7.0)).when(
+        F.col("id") % 8 == 6, F.lit(float("nan"))).otherwise(F.col("id") % 97).cast("double"))
+    tie = F.when(F.col("id") % 1000 > 0, (F.col("id") * 7919) % 40_009)
+    try:
+        for text in (False, True):
+            df = spark.range(40_000).select("id", value.alias("v"), (
+                F.format_string("%07d", tie.cast("int")) if text else tie).alias("tie"))
+            sizes = [r["count"] for r in bucketed(df, "v", ("tie",)).groupBy("_bucket", "_sub").count().collect()]
+            assert max(sizes) < 0.05 * 40_000 and len(sizes) <= 6 * 60
+            rows = with_position(df, "v", ties=("tie", "id")).collect()
+            rank = lambda r: (r.v is None, r.v is not None and r.v != r.v, r.v if r.v is not None and r.v == r.v else 0,
+                              r.tie is not None, r.tie if r.tie is not None else 0, r.id)
+            assert [r.position for r in sorted(rows, key=rank)] == list(range(1, 40_001))
+        # Without ties, equal rows are dealt by a hash.
+        sizes = bucketed(df.withColumn("h", F.xxhash64("id")), "v", ("h",)).groupBy("_bucket", "_sub").count()
+        assert sizes.agg(F.max("count")).first()[0] < 0.05 * 40_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
