@@ -8,6 +8,7 @@ from quire.operators import columns as C
 from quire.operators import rows as R
 from quire.operators.entities import alias_join
 from quire.operators.lists import explode_list
+from quire.operators.phrases import phrase_places, tag_keywords_of as tag_words
 from quire.operators.ranks import with_position, zip_by_rank
 
 from checks.registry import query
@@ -251,10 +252,37 @@ def tag_keywords_of(spark, folder):
     """The words of all benchmark items as a vocabulary table."""
     words = F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word")
     vocabulary = table(spark, folder, "benchmark").select(words).filter("word <> ''")
-    tags = text.tag_keywords_of(table(spark, folder, "documents"), "doc_id", "text", vocabulary)
+    tags = tag_words(table(spark, folder, "documents"), "doc_id", "text", vocabulary)
     return tags.select("doc_id", F.array_join("keywords", ",").alias("keywords"))
 
 
+# Phrases: three words in a row, from every third place of the benchmark items, and well-known ones.
+_PHRASES = """pieces AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+phrases AS (SELECT DISTINCT array_to_string(w[i:i + 2], ' ') AS word FROM (SELECT w, unnest(range(1, len(w) - 1, 3)) AS i
+    FROM pieces) UNION SELECT unnest(['MACHINE LEARNING', 'BIG DATA', 'C++', 'and', 'THE', '.', 'de la', 'Nothing of this'])),
+texts AS (SELECT doc_id, lower(text) AS text FROM documents)"""
+
+
+def _phrases(spark, folder):
+    words = F.split("text", " ")
+    starts = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3, F.lit(3)))
+    pieces = table(spark, folder, "benchmark").select(F.explode(F.transform(
+        starts, lambda i: F.array_join(F.slice(words, i + 1, 3), " "))).alias("word"))
+    known = spark.createDataFrame([(w,) for w in (
+        "MACHINE LEARNING", "BIG DATA", "C++", "and", "THE", ".", "de la", "Nothing of this")], "word string")
+    return pieces.union(known)
+
+
+@query(f"""WITH {_PHRASES},
+pairs AS MATERIALIZED (SELECT doc_id, text, word FROM texts JOIN phrases ON contains(text, lower(word)) WHERE word <> '')
+SELECT doc_id, word FROM pairs WHERE regexp_matches(
+    text, '(^|[^\\p{{L}}\\p{{N}}])' || regexp_escape(lower(word)) || '($|[^\\p{{L}}\\p{{N}}])')""")
+def phrases_in_documents(spark, folder):
+    """A vocabulary of a thousand phrases as a table."""
+    found = phrase_places(table(spark, folder, "documents"), "doc_id", "text", _phrases(spark, folder))
+    return found.select("doc_id", "word").distinct()
+
+
 @query("SELECT p_partkey, p_brand || ',' || p_type AS fields FROM part")
 def fields_of_study(spark, folder):
     field = lambda name: F.struct(F.col(name).alias("category"), F.lit("s").alias("source"))

@@ -1,7 +1,10 @@
+import re
+
 from pyspark.sql import functions as F
 
 from quire.functions import arrays, text
 from quire.operators import columns as C
+from quire.operators.phrases import phrase_places, tag_keywords_of
 from quire import schemas
 
 
@@ -79,3 +82,23 @@ def test_required_columns(spark):
 def test_prune(spark):
     df = spark.createDataFrame([(1, "k", "3", "1-2", "7")], "id long, key string, number string, pages string, volume string")
     assert C.prune_columns(df, ["id", "key", "missing"]).columns == ["id", "key"]
+
+
+def test_phrases_by_their_rarest_token(spark):
+    texts = ["Machine Learning and big data", "machine  learning", "C++ or C+ + or xC++ (c++)", "ASP.NET and .NET", "", None,
+             "big big data data", "a.b.c a.b", "deep-learning; deep learning", "Ünïcode ünïcode 世界 x世界"]
+    words = ["MACHINE LEARNING", "big data", "C++", ".net", "a.b", "a.b.c", "deep-learning", "learning", "世界", "++", "", None,
+             "ünïcode ünïcode", "big", "unseen words", "Big"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    vocabulary = spark.createDataFrame([(w,) for w in words * 2], "word string")
+    side = r"[^\W_]"
+    expected = sorted((i, w, len(re.findall(r"[^\W_]+|[\W_]", t.lower()[:m.start()])))
+                      for i, t in enumerate(texts) if t for w in set(words) if w
+                      for m in re.finditer(f"(?=(?<!{side}){re.escape(w.lower())}(?!{side}))", t.lower()))
+    found = phrase_places(docs, "id", "text", vocabulary).collect()
+    assert sorted(map(tuple, found)) == expected and len(expected) > 20
+    assert phrase_places(docs, "id", "text", vocabulary.limit(0)).isEmpty()
+    assert phrase_places(docs.limit(0), "id", "text", vocabulary).isEmpty()
+    many = spark.createDataFrame([(1, "x " * 100_000 + "needle in x")], "id int, text string")
+    assert [r.keywords for r in tag_keywords_of(many, "id", "text", spark.createDataFrame(
+        [("needle in",), ("x x",), ("x needle in x",)], "word string")).collect()] == [["needle in", "x needle in x", "x x"]]
