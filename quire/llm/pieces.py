@@ -142,12 +142,16 @@ def _packed(letters: np.ndarray, width: int) -> np.ndarray:
     return np.stack([four[k:k + n] for k in range(0, width, 4)])
 
 
-def suffix_order(letters: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes sorted by their first `depth` letters: by one letter, then two, four, ... from ranks of the halves."""
+def suffix_order(letters: np.ndarray, depth: int, key_bits: int = 64) -> np.ndarray:
+    """Suffixes sorted by their first `depth` letters: by one letter, then two, four, ... from ranks of the halves.
+
+    Both ranks and the place are sorted as one key where they fit into `key_bits`, else as separate columns: a single
+    word may have any length.
+    """
     n = len(letters)
     bits = max(int(letters.max(initial=0)), n, 1).bit_length()
-    if 3 * bits > 64:
-        raise ValueError("the text of one index is too long")
+    if 3 * bits > key_bits:
+        return _long_suffix_order(letters, depth)
     places = np.arange(n, dtype=np.uint64)
     ranks, width = letters.astype(np.uint64), 1
     while True:
@@ -165,6 +169,21 @@ def suffix_order(letters: np.ndarray, depth: int) -> np.ndarray:
         ranks[order] = np.cumsum(np.concatenate([[1], keys[1:] != keys[:-1]])).astype(np.uint64)
 
 
+def _long_suffix_order(letters: np.ndarray, depth: int) -> np.ndarray:
+    ranks, width = letters.astype(np.int64), 1
+    while True:
+        later = np.zeros_like(ranks)
+        later[:max(len(ranks) - width, 0)] = ranks[width:]
+        order = np.lexsort((later, ranks))
+        width *= 2
+        if width >= depth:
+            return order
+        first, second = ranks[order], later[order]
+        new = np.concatenate([[1], (first[1:] != first[:-1]) | (second[1:] != second[:-1])])[:len(order)]
+        ranks = np.empty_like(ranks)
+        ranks[order] = np.cumsum(new)
+
+
 def _bound(sorted_words: np.ndarray, wanted: np.ndarray, low: np.ndarray, high: np.ndarray, strict: bool):
     """Binary search of many values, each between its own bounds."""
     low, high = low.copy(), high.copy()

@@ -138,6 +138,27 @@ def test_ids_are_those_of_the_library(model, monkeypatch):
             assert pieces.decoded(ids, first, encoder.v) == [t.replace("▁", " ") for t in part]
 
 
+def test_suffixes_of_a_long_word_are_sorted_without_a_key():
+    rng = np.random.default_rng(5)
+    for n, letters in ((0, 3), (1, 3), (400, 2), (500, 30), (300, 1)):
+        text = rng.integers(1, letters + 1, n)
+        short, long = (pieces.suffix_order(text, 8, bits) for bits in (64, 1))
+        of = lambda order: [text[i:i + 8].tolist() for i in order]
+        assert of(short) == of(long) == sorted(text[i:i + 8].tolist() for i in range(n))
+
+
+def test_a_word_of_millions_of_letters():
+    """No blank in it, so that it is one index, beyond what sorts as one key."""
+    content = open(pieces.MODEL, "rb").read()
+    rng = random.Random(7)
+    text = "".join(rng.choices(["the", "ing", "a", "日本", "\t", "é", "xy", "\n", "1"], k=1_300_000))
+    assert len(text) > 1 << 21 and " " not in text
+    encoder = pieces.Encoder(pieces.vocabulary(content))
+    ids, first = encoder.encode(pa.array([text, "short"]))
+    assert pieces.decoded(ids, first, encoder.v) == [text, "short"]
+    assert ids[:first[1]].tolist() == sentencepiece.SentencePieceProcessor(model_proto=content).encode(text)
+
+
 def test_piece_frames(spark, folder):
     library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     rows = queries.op6_sentencepiece(spark, folder).collect()
@@ -211,3 +232,19 @@ def test_pipeline_with_odd_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             kept = stage(spark, frame, str(tmp_path))
             assert kept.columns == docs.columns and kept.count() <= frame.count()
+
+
+def test_pipeline_with_columns_of_any_name(spark, tmp_path):
+    names = ["_quality", "row", "row_", "a.b", "document", "score", "spans", "_text_to_score", "kept", "Blob`x"]
+    docs = spark.createDataFrame([(i, f"some plain text number {i} token=abcdefgh", "en", None, 5) for i in range(20)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {name: F.concat(F.lit(name), F.col("doc_id")) for name in names})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, str(tmp_path)), "stage")
+        for row in docs.collect():
+            assert all(row[name] == f"{name}{row.doc_id}" for name in names)
+    assert docs.count() > 0 and docs.filter("text LIKE '%[SECRET]%'").count() == docs.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
