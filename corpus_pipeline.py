@@ -1,12 +1,13 @@
 """From raw documents to token ids in five stages; every stage is written before the next one reads it.
 
 Each stage takes what its predecessor kept and returns rows with the columns of `documents`, the last one token ids.
-Rows of one id and text count as one document and one of them stays; rows without an id are never near copies.
+Rows of one id and text count as one document and one of them stays; rows without an id are never near copies. Further
+columns may have any name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quire.llm import pieces, quality, secret_scan
 from quire.llm.decontamination import contained_items
@@ -20,11 +21,26 @@ ORACLE_SQL = None
 LEAST_QUALITY = 0.3
 
 
+def _columns(docs: DataFrame) -> list[Column]:
+    """All columns, whatever their names."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns]
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """The name, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from the labels of documents that are not held out."""
     ship(spark)
     weights = quality_model(spark, docs, sf_dir)
-    return quality.score(docs, weights, into="_quality").filter(F.col("_quality") >= LEAST_QUALITY).select(docs.columns)
+    whole = F.struct(*[column for column, name in zip(_columns(docs), docs.columns) if name != "text"]).alias("document")
+    scored = quality.score(docs.select(whole, "text"), weights, keep=["document", "text"], into="score")
+    return scored.filter(F.col("score") >= LEAST_QUALITY).select(*[
+        F.col("text") if name == "text" else F.col("document").getField(name).alias(name) for name in docs.columns])
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,26 +48,26 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship(spark)
     kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
     return (docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id", "text"])
-            .select(docs.columns))
+            .select(*_columns(docs)))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold four fifths or more of a benchmark item go."""
     ship(spark)
-    row = F.xxhash64("doc_id", "text")
+    row, name = F.xxhash64("doc_id", "text"), _unused(docs, "row")
     tainted = contained_items(docs.select(row.alias("row"), "text"), table(spark, sf_dir, "benchmark"),
-                              id_column="row").select(F.col("doc_id").alias("_row")).distinct()
-    return docs.join(tainted, row == F.col("_row"), "left_anti").select(docs.columns)
+                              id_column="row").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(tainted, row == F.col(name), "left_anti").select(*_columns(docs))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark, and n_chars counts the new text."""
     ledger = stored(secret_scan.scan(docs), "ledger")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
+    whole = F.struct(*_columns(docs)).alias("document")
     found = secret_scan.findings(docs.select(whole, "text"), ledger)
     clean = found.select("document", secret_scan.redacted(F.col("text"), F.col("spans")).alias("clean"))
     return clean.select(*[F.col("clean").alias("text") if c == "text" else F.length("clean").cast("long").alias(c)
-                          if c == "n_chars" else F.col(f"document.`{c}`") for c in docs.columns])
+                          if c == "n_chars" else F.col("document").getField(c).alias(c) for c in docs.columns])
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
