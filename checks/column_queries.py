@@ -203,10 +203,37 @@ def first_element(spark, folder):
     return table(spark, folder, "part").select("p_partkey", arrays.first_element(words).alias("first_word"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS mdate FROM orders""")
+# Dates in five forms, and what is no date.
+_WRITTEN = """SELECT o_orderkey, CASE o_orderkey % 8 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+    WHEN 1 THEN strftime(o_orderdate, '%Y%m%d') WHEN 2 THEN ' ' || strftime(o_orderdate, '%Y/%m/%d')
+    WHEN 3 THEN strftime(o_orderdate, '%d.%m.%Y') WHEN 4 THEN strftime(o_orderdate, '%Y') WHEN 5 THEN '2021-02-30'
+    WHEN 6 THEN 'no date' END AS written, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders"""
+
+
+def _written_dates(spark, folder):
+    form = lambda pattern: F.date_format("o_orderdate", pattern)
+    kind = F.col("o_orderkey") % 8
+    return table(spark, folder, "orders").select("o_orderkey", (
+        F.when(kind == 0, form("yyyy-MM-dd")).when(kind == 1, form("yyyyMMdd"))
+        .when(kind == 2, F.concat(F.lit(" "), form("yyyy/MM/dd"))).when(kind == 3, form("dd.MM.yyyy"))
+        .when(kind == 4, form("yyyy")).when(kind == 5, "2021-02-30").when(kind == 6, "no date")).alias("written"))
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 4 THEN day END AS mdate,
+    CASE WHEN o_orderkey % 8 >= 4 THEN written END AS rejected FROM ({_WRITTEN})""")
 def parse_dates(spark, folder):
-    written = F.when(F.col("o_orderstatus") == "P", "no date").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
-    return table(spark, folder, "orders").select("o_orderkey", text.parse_date(written).cast("string").alias("mdate"))
+    """Whole days; the texts that are none stay beside them."""
+    parsed = text.parse_date(F.col("written"))
+    return _written_dates(spark, folder).select("o_orderkey", parsed.cast("string").alias("mdate"),
+                                                text.rejected_text(F.col("written"), parsed).alias("rejected"))
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 8 = 0 THEN day WHEN o_orderkey % 8 = 4 THEN written || '-01-01' END
+    AS mdate FROM ({_WRITTEN})""")
+def parse_dates_or_years(spark, folder):
+    """ISO dates, and years on request."""
+    return _written_dates(spark, folder).select(
+        "o_orderkey", text.parse_date(F.col("written"), ("yyyy-MM-dd", "yyyy")).cast("string").alias("mdate"))
 
 
 @query(with_views("author", """SELECT author_id, n_name AS affiliation FROM author

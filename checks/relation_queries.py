@@ -1,7 +1,11 @@
 """Edge operators, entity enrichment, denormalised tables and the whole graph on the driver tables."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.leaves import leaf_rows
 from quire.operators import edges as E
 from quire.operators.entities import enrich_entities
 from quire.operators.lists import adjacency_lists as make_lists
@@ -290,6 +294,9 @@ _TYPES = {"article": "1-URGENT", "book": "2-HIGH", "incollection": "3-MEDIUM", "
           "proceedings": "5-LOW"}
 
 
+_NAMED = ("editor", "publisher", "journal", "school", "series", "mastersthesis")
+
+
 def _raw_graph_tables(spark, folder):
     orders = _orders(spark, folder).select(
         F.col("o_orderkey").alias("id"), F.concat(F.lit("o/"), F.col("o_orderkey").cast("string")).alias("key"),
@@ -304,7 +311,13 @@ def _raw_graph_tables(spark, folder):
     targets = orders.select(F.col("id").alias("end_id"), F.when(
         F.col("title") == "O", F.lit("...")).otherwise(F.col("key")).alias("key"))
     names = supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    nodes = {name: names for name in ("editor", "publisher", "journal", "school", "series", "mastersthesis")}
+    # Every small label has its own share of the suppliers.
+    nodes = {name: names.filter(F.col("id") % 6 == no) for no, name in enumerate(_NAMED)}
+    # Publications have every property that some label keeps.
+    more = {name: F.concat(F.lit(f"{name} "), "key") for name in ("ee", "ee_type", "cdate", "note", "note_type", "url",
+                                                                 "booktitle", "isbn")}
+    tables = {name: df.withColumns(more | {"mdate": F.lit("2020-01-01"), "year": (F.col("id") % 50 + 1970).cast("int")})
+              for name, df in tables.items()}
     return tables | nodes | {
         "phdthesis": tables["book"], "author": names,
         "homepage": orders.filter("title = 'P'"),
@@ -347,16 +360,31 @@ def graph_edges(spark, folder):
     return stacked
 
 
-@query("""SELECT o_orderpriority AS kind, o_orderkey AS id, o_orderstatus AS name FROM orders
-    WHERE o_orderpriority <> '3-MEDIUM'
-UNION ALL SELECT 'Author' AS kind, s_suppkey AS id, upper(s_name) AS name FROM supplier""")
+def _nodes_sql():
+    """Every value of every node, as (label, id, path, value)."""
+    kept = {
+        "Publication:Article": ("1-URGENT", "ee ee_type key mdate cdate note note_type title url year"),
+        "Publication:Inproceeding": ("4-NOT SPECIFIED", "ee key mdate title url year booktitle"),
+        "Publication:Proceeding": ("5-LOW", "ee key mdate title url year booktitle isbn"),
+        "Publication:Book": ("2-HIGH", "ee key mdate title url year isbn pages"),
+        "PhdThesis": ("2-HIGH", "key ee mdate title year"),
+    }
+    known = {"key": "'o/' || o_orderkey", "mdate": "'2020-01-01'", "title": "o_orderstatus", "pages": "o_custkey::VARCHAR",
+             "year": "(o_orderkey % 50 + 1970)::VARCHAR"}
+    rows = [f"SELECT '{label}' AS label, o_orderkey AS id, '{name}' AS path, "
+            f"{known.get(name, f"'{name} o/' || o_orderkey")} AS value FROM orders WHERE o_orderpriority = '{kind}'"
+            for label, (kind, names) in kept.items() for name in names.split()]
+    labels = ("Editor", "Publisher", "Journal", "School", "Series", "MasterThesis")
+    rows += [f"SELECT '{label}', s_suppkey, 'name', s_name FROM supplier WHERE s_suppkey % 6 = {no}"
+             for no, label in enumerate(labels)]
+    rows += [f"SELECT 'Author', s_suppkey, '{path}', {value} FROM supplier" for path, value in (
+        ("name", "upper(s_name)"), ("hindex", "s_acctbal::VARCHAR"))]
+    return " UNION ALL ".join(rows)
+
+
+@query(_nodes_sql())
 def graph_nodes(spark, folder):
-    """Publication and author nodes of the prepared graph, stacked."""
-    nodes = build_graph(_raw_graph_tables(spark, folder)).nodes
-    labels = {"Publication:Article": "article", "Publication:Book": "book", "Publication:Proceeding": "proceedings",
-              "Publication:Inproceeding": "inproceedings"}
-    stacked = nodes["Author"].select(F.lit("Author").alias("kind"), "id", "name")
-    for label, name in labels.items():
-        stacked = stacked.unionByName(nodes[label].select(
-            F.lit(_TYPES[name]).alias("kind"), "id", F.col("title").alias("name")))
-    return stacked
+    """All twelve labels of the prepared graph with all that they keep, one row for each value."""
+    stacked = [leaf_rows(df, ["id"]).withColumn("label", F.lit(label))
+               for label, df in build_graph(_raw_graph_tables(spark, folder)).nodes.items()]
+    return reduce(DataFrame.unionByName, stacked)

@@ -36,9 +36,25 @@ def split_multivalue(text: Column, sep: str = "|", null_as_empty: bool = False)
     return F.split(F.coalesce(text, F.lit("")) if null_as_empty else text, f"\\Q{sep}\\E")
 
 
-def parse_date(text: Column) -> Column:
-    """ISO date; null when it does not parse."""
-    return text.try_cast("date")
+#: Form of a text, and the pattern that reads it.
+DATE_FORMATS = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$", "yyyyMMdd": r"^\d{8}$", "yyyy/MM/dd": r"^\d{4}/\d{2}/\d{2}$",
+    "dd.MM.yyyy": r"^\d{2}\.\d{2}\.\d{4}$", "yyyy-MM": r"^\d{4}-\d{2}$", "yyyy": r"^\d{4}$",
+}
+#: Whole days only; a month or a year alone has to be asked for.
+DAYS = ("yyyy-MM-dd", "yyyyMMdd", "yyyy/MM/dd", "dd.MM.yyyy")
+
+
+def parse_date(text: Column, formats: tuple[str, ...] = DAYS) -> Column:
+    """The date of a text in one of the formats, the first that it has the form of; null when it has none or is no day
+    of the calendar. With ``yyyy-MM`` or ``yyyy`` among the formats a month or year stands for its first day."""
+    trimmed = F.trim(text)
+    return F.coalesce(*[F.when(trimmed.rlike(DATE_FORMATS[form]), F.try_to_date(trimmed, form)) for form in formats])
+
+
+def rejected_text(text: Column, parsed: Column) -> Column:
+    """The text that did not parse, null where it did or was null: a column to keep beside the parsed one."""
+    return F.when(parsed.isNull(), text)
 
 
 def derive_email(name: Column, fallback_prefix: str, domain: str = "gmail.com") -> Column:
