@@ -295,8 +295,8 @@ def _phrases(spark, folder):
     starts = F.when(F.size(words) >= 3, F.sequence(F.lit(0), F.size(words) - 3, F.lit(3)))
     pieces = table(spark, folder, "benchmark").select(F.explode(F.transform(
         starts, lambda i: F.array_join(F.slice(words, i + 1, 3), " "))).alias("word"))
-    known = spark.createDataFrame([(w,) for w in (
-        "MACHINE LEARNING", "BIG DATA", "C++", "and", "THE", ".", "de la", "Nothing of this")], "word string")
+    known = spark.range(1).select(F.explode(F.array(*map(F.lit, (
+        "MACHINE LEARNING", "BIG DATA", "C++", "and", "THE", ".", "de la", "Nothing of this")))).alias("word"))
     return pieces.union(known)
 
 
