@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quire.llm import words
-from quire.llm.graph import components
+from quire.llm.graph import stars
 from quire.llm.store import stored
 
 #: MinHash values in each half of a table key.
@@ -68,25 +68,49 @@ def _sketches(batches, n_words: int, n_keys: int):
             pa.list_(pa.int64())) for part in (np.ascontiguousarray(keys[:, :n_keys]),
                                                np.ascontiguousarray(keys[:, n_keys:]))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in names.T.copy()),
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in names.T.copy()),
              *halves_of, *(pa.array(x.view(np.int64)) for x in prints.T.copy())],
-            ["doc_id", "n_shingles", "name_1", "name_2", "left", "right", *(f"p{k}" for k in range(prints.shape[1]))])
+            ["doc_id", "text_hash", "n_shingles", "name_1", "name_2", "left", "right", *(f"p{k}" for k in range(prints.shape[1]))])
 
 
 def _verified(batches, n_words: int, percent: int):
-    """Keep pairs of texts whose sets meet the similarity."""
+    """The components (a, b) of pairs of texts whose sets meet the similarity."""
     for batch in words.portions(words.portions(batches, "text_a"), "text_b"):
         sets = [words.shingle_sets(batch.column(c), n_words) for c in ("text_a", "text_b")]
         shared = words.shared_counts(*sets)
         union = sum(np.diff(first) for _, first in sets) - shared
         keep = pa.array((shared > 0) & (100 * shared >= percent * union))
-        yield batch.select(["a", "b"]).filter(keep)
+        yield batch.select(["component_a", "component_b"]).rename_columns(["a", "b"]).filter(keep)
+
+
+def _classes(linkable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(name_1, name_2, first, doc) for each set, its smallest id and its node; and those whose node is no id.
+
+    A node is the smallest id. Where ids repeat, several sets may have the same one: they get numbers above all ids.
+    """
+    named = stored(linkable.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("first")), "classes")
+    taken = named.groupBy("first").agg(F.count("*").alias("n")).filter("n > 1").select("first")
+    clashing = stored(named.join(taken, "first", "left_semi"), "clashing")
+    own = named.withColumn("doc", F.col("first"))
+    if clashing.isEmpty():
+        return own, own.limit(0)
+    above = linkable.agg(F.max("doc_id")).first()[0] + 1
+    numbered = stored(clashing.withColumn("doc", F.monotonically_increasing_id() + above), "numbered")
+    rest = own.join(clashing.select("first").distinct(), "first", "left_anti").select(numbered.columns)
+    return stored(rest.unionByName(numbered), "nodes"), numbered
+
+
+def _shared_nodes(same: DataFrame, numbered: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes of one id, and from numbered nodes to the id they stand for."""
+    several = same.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high")).filter("low <> high")
+    return (same.join(several.select("a", "low"), "a").filter("b <> low").select("b", "low")
+            .union(numbered.select("doc", "first")).toDF("a", "b"))
 
 
 def _colliding(docs: DataFrame, side: str) -> DataFrame:
     """(doc, half keys) of one collection, only keys that two documents share."""
     exploded = docs.select("doc", F.explode(side).alias("half"))
-    shared = exploded.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
+    shared = stored(exploded.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "halves")
     return exploded.join(shared, "half").groupBy("doc").agg(F.collect_list("half").alias(side))
 
 
@@ -96,15 +120,18 @@ def _equal_bytes(a: str, b: str) -> str:
     return f"bit_count(~((({a} ^ {b}) & {low}) + {low} | ({a} ^ {b}) | {low}) & {low ^ ((1 << 56) - 1)})"
 
 
-def _unsettled(tables: DataFrame, labels: DataFrame, pivots: int) -> DataFrame:
-    """Members, with new components, of tables that hold untried pairs: more than the pivots, of several components."""
-    now = tables.drop("component").join(
-        labels.select(F.col("node").alias("doc"), "component"), "doc", "left").withColumn(
-        "component", F.coalesce("component", "doc"))
-    mixed = now.groupBy("table").agg(
+def _renamed(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows with their components after components were joined (node, component)."""
+    to = joined.select(F.col("node").alias("was"), F.col("component").alias("to"))
+    return (members.join(to, members.component == to.was, "left")
+            .withColumn("component", F.coalesce("to", "component")).drop("was", "to"))
+
+
+def _mixed(members: DataFrame, pivots: int) -> DataFrame:
+    """Tables that hold untried pairs: more members than the pivots, of several components."""
+    return members.groupBy("table").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter(
         f"low <> high AND n > {pivots + 1}").select("table")
-    return now.join(mixed, "table")
 
 
 def _shingle_rows(batches, n_words: int, percent: int):
@@ -164,23 +191,26 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
       it is missed with chance MISS / 10); every candidate is verified on the full sets of both texts.
 
     Null or empty text, or one without words: set size 0, no links. A null id: no links, component_id null, kept.
-    Rows that share an id are taken as one document in the links; each still gets its row. Other columns are ignored.
+    Rows that share an id are one document in the links, each text of it with its own links; each still gets its row.
+    Such ids must stay below 2 ** 62. Other columns are ignored.
     An empty table gives an empty result.
     """
-    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
+                             F.xxhash64(F.col(text_column)).alias("text_hash"))
     n_keys = halves(percent / 100)
     prints = [f"p{k}" for k in range(-(-2 * n_keys // 7))]
     rows = stored(texts.mapInArrow(
         lambda batches: _sketches(batches, n_words, n_keys),
-        "doc_id long, n_shingles long, name_1 long, name_2 long, left array<long>, right array<long>, "
+        "doc_id long, text_hash long, n_shingles long, name_1 long, name_2 long, left array<long>, right array<long>, "
         + ", ".join(f"{p} long" for p in prints)), "sketches")
     linkable = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
-    same = linkable.select("doc_id", "name_1", "name_2").join(
-        linkable.groupBy("name_1", "name_2").agg(F.min("doc_id").alias("doc")), ["name_1", "name_2"])
-    same = stored(same.select(F.col("doc_id").alias("a"), F.col("doc").alias("b")).distinct(), "same")
-    sketches = (linkable.join(same.filter("a = b").select(F.col("a").alias("doc_id")), "doc_id", "left_semi")
-                .withColumnRenamed("doc_id", "doc"))
-    edges = same.filter("a <> b")
+    classes, numbered = _classes(linkable)
+    same = stored(linkable.select("doc_id", "name_1", "name_2").join(classes, ["name_1", "name_2"])
+                  .select(F.col("doc_id").alias("a"), F.col("doc").alias("b")).distinct(), "same")
+    # One row for each set, though its first document may be repeated.
+    first = Window.partitionBy("doc_id", "name_1", "name_2").orderBy("text_hash")
+    sketches = stored(linkable.join(classes.withColumnRenamed("first", "doc_id"), ["doc_id", "name_1", "name_2"])
+                      .withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth"), "sets")
 
     member = ["doc", "n_shingles", *prints]
     tables = (_colliding(sketches, "left").join(_colliding(sketches, "right"), "doc")
@@ -188,11 +218,17 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
               .select("doc", "left", F.explode("right").alias("right"))
               .select("doc", F.xxhash64("left", "right").alias("table")))
     shared = tables.groupBy("table").agg(F.count("*").alias("n")).filter("n > 1").select("table")
-    members = stored(tables.join(shared, "table").join(sketches.select(member).dropDuplicates(["doc"]), "doc")
-                     .withColumn("component", F.col("doc")), "members")
-    wanted = members.select("doc").distinct()
-    compared = stored(texts.join(wanted, texts.doc_id == wanted.doc, "left_semi")
-                      .select(F.col("doc_id").alias("doc"), "text").dropDuplicates(["doc", "text"]), "texts")
+    left = stored(tables.join(shared, "table").join(sketches.select(member), "doc")
+                  .withColumn("component", F.col("doc")), "members")
+    wanted = sketches.join(left.select("doc").distinct(), "doc", "left_semi").select("doc", "doc_id", "text_hash")
+    compared = stored(texts.join(wanted, ["doc_id", "text_hash"]).select("doc", "text").dropDuplicates(["doc"]), "texts")
+
+    # Components that were joined, (node, component) for each time: a later one joins components of earlier ones.
+    joins = []
+    shared_nodes = stored(_shared_nodes(same, numbered), "shared_nodes")
+    if not shared_nodes.isEmpty():
+        joins.append(stars(shared_nodes))
+        left = _renamed(left, joins[-1])
 
     matches = " + ".join(_equal_bytes(p, f"pivot_{p}") for p in prints)
     # Bytes that no half key fills are equal in every pair.
@@ -200,37 +236,44 @@ def near_duplicates(documents: DataFrame, n_words: int = 5, percent: int = 80, i
     sizes = f"100 * least(n_shingles, pivot_n_shingles) >= {percent} * greatest(n_shingles, pivot_n_shingles)"
     near = (F.col("component") != F.col("pivot_component")) & F.expr(sizes) & F.expr(matches)
     by_table = Window.partitionBy("table").orderBy("doc")
-    left, labels, tried, before, pivots, exact = members, None, None, 0, 1, False
+    tried, before, pivots, exact = None, 0, 1, False
     while True:
-        chosen = (left.withColumn("turn", F.row_number().over(by_table))
-                  .filter((F.col("turn") <= pivots) & (F.col("turn") > before))
-                  .select(*(F.col(c).alias(f"pivot_{c}") for c in left.columns)))
+        chosen = stored(left.withColumn("turn", F.row_number().over(by_table))
+                        .filter((F.col("turn") <= pivots) & (F.col("turn") > before))
+                        .select(*(F.col(c).alias(f"pivot_{c}") for c in left.columns)), "pivots")
         meet = (F.col("table") == F.col("pivot_table")) & (F.col("doc") > F.col("pivot_doc")) & near
         if exact:
             meet &= (F.expr(_first_common(percent, "nth", "n_shingles", "pivot_n_shingles"))
                      & F.expr(_first_common(percent, "pivot_nth", "pivot_n_shingles", "n_shingles")))
-        pairs = (left.join(chosen, meet)
-                 .select(F.col("doc").alias("a"), F.col("pivot_doc").alias("b")).distinct())
+        pairs = left.join(chosen, meet).select(
+            F.col("doc").alias("a"), F.col("pivot_doc").alias("b"), F.col("component").alias("component_a"),
+            F.col("pivot_component").alias("component_b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
+        tried = pairs.select("a", "b") if tried is None else tried.union(pairs.select("a", "b"))
         found = stored(pairs.join(compared.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
                        .join(compared.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-                       .select("a", "b", "text_a", "text_b")
-                       .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long"), "edges")
-        if labels is None or not found.isEmpty():
-            edges = edges.union(found)
-            labels = stored(components(edges), "components")
-        left = _unsettled(left, labels, pivots)
-        left = stored(left if exact else left.select(*member, "component").distinct(), "open")
-        if left.isEmpty():
+                       .select("component_a", "component_b", "text_a", "text_b")
+                       .mapInArrow(lambda batches: _verified(batches, n_words, percent), "a long, b long")
+                       .distinct(), "edges")
+        if not found.isEmpty():
+            joins.append(stars(found))
+            left = _renamed(left, joins[-1])
+        mixed = stored(_mixed(left, pivots), "mixed")
+        if mixed.isEmpty():
             break
+        left = left.join(mixed, "table")
         if exact:
-            before, pivots = pivots, pivots * GROWTH
+            left, before, pivots = stored(left, "open"), pivots, pivots * GROWTH
         else:
             exact, pivots = True, GROWTH
+            left = stored(left.select(*member, "component").distinct(), "open")
             left = _rare_shingles(compared.join(left.select("doc"), "doc", "left_semi"), left, n_words, percent)
+    labels = same.filter("a <> b").select(F.col("a").alias("node"), F.col("b").alias("component"))
+    for joined in joins:
+        labels = _renamed(labels, joined).union(joined)
+    labels = stored(labels.groupBy("node").agg(F.min("component").alias("component")), "components")
     named = rows.join(labels, rows.doc_id == labels.node, "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias(

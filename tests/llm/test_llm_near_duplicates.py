@@ -64,10 +64,18 @@ def test_odd_rows_and_columns(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_ids_with_several_texts(spark, parts):
+    one, other, third = (" ".join(f"{c}{i}" for i in range(80)) for c in "abc")
+    rows = [(5, one), (5, other), (5, one), (9, other + " tail"), (12, one + " tail"), (2, third), (4, third + " tail"),
+            (20, third), (20, "apart from all the others here"), (30, other.upper()), (40, ""), (40, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    made = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    assert made == {(i, 5) for i in (5, 9, 12, 30, 40)} | {(i, 2) for i in (2, 4, 20)} | {(40, 40)}
+
+
 def test_query_on_whole_table(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("doc_id < 400")
-    rows = [(r.doc_id, r.text) for r in docs.collect()]
-    made = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs, 3, 85).collect()}
-    assert made == brute_force(rows, 3, 85)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     whole = queries.op8_minhash_near_dedup(spark, folder)
-    assert whole.columns == ["doc_id", "n_shingles", "component_id", "kept"] and whole.count() == 1000
+    assert whole.columns == ["doc_id", "n_shingles", "component_id", "kept"] and whole.count() == len(rows) == 1000
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in whole.collect()} == brute_force(rows, 3, 85)
