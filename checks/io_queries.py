@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quire.operators.lists import adjacency_lists
+from quire.plans.tables import import_bibliography
 from quire.sinks import documents as JS
 from quire.sinks import tables as TS
 from quire.sources.documents import read_json_docs, read_jsonl
@@ -129,3 +130,43 @@ def materialize_once(spark, folder):
     customers = table(spark, folder, "customer").select("c_custkey", "c_name")
     TS.materialize(spark, lambda: customers, path)
     return TS.materialize(spark, lambda: customers.limit(0), path)
+
+
+@query("""
+SELECT 'article' AS kind, 'row without key' AS field, count(*) AS n FROM orders WHERE o_orderstatus = 'P' HAVING n > 0
+UNION ALL SELECT 'article', 'year', count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' HAVING n > 0
+UNION ALL SELECT 'author', 'ID', count(*) AS n FROM customer WHERE c_acctbal < 0 HAVING n > 0
+UNION ALL SELECT 'author', 'row without key', count(*) AS n FROM customer WHERE c_acctbal < 0 HAVING n > 0
+UNION ALL SELECT 'article', 'rows loaded', count(*) FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'article', 'years loaded', count(*) FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '1-URGENT'
+UNION ALL SELECT 'author', 'rows loaded', count(*) FROM customer WHERE c_acctbal >= 0
+UNION ALL SELECT 'journal', 'rows loaded', count(*) FROM supplier""")
+def import_with_rejects(spark, folder):
+    """Tables of raw texts, some without a key or with a year that is none: what is loaded and what is rejected."""
+    raw, target = scratch(spark, "raw"), scratch(spark, "imported")
+    TS.write_parquet(table(spark, folder, "orders").select(
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string")).alias("ID"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "unknown").otherwise(
+            F.year("o_orderdate").cast("string")).alias("year")), f"{raw}/article")
+    TS.write_parquet(table(spark, folder, "customer").select(
+        F.concat(F.when(F.col("c_acctbal") < 0, "x").otherwise(""), F.col("c_custkey").cast("string")).alias("ID"),
+        F.col("c_name").alias("name")), f"{raw}/author")
+    TS.write_parquet(table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("journal_id"), F.col("s_name").alias("name")), f"{raw}/journal")
+    bib, rejects = import_bibliography(spark, raw, target)
+    loaded = [bib.articles.agg(F.lit("article"), F.lit("rows loaded"), F.count("*")),
+              bib.articles.agg(F.lit("article"), F.lit("years loaded"), F.count("year")),
+              bib.authors.agg(F.lit("author"), F.lit("rows loaded"), F.count("*")),
+              bib.journals.agg(F.lit("journal"), F.lit("rows loaded"), F.count("*"))]
+    for counts in loaded:
+        rejects = rejects.union(counts)
+    return rejects.toDF("kind", "field", "n")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def materialize_after_a_lost_writer(spark, folder):
+    """A writer that died before its record is ignored, the newest version is read."""
+    path, orders = scratch(spark, "table"), table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    TS.write_parquet(orders.filter("o_orderkey % 2 = 0"), f"{path}/data-lost")
+    TS.materialize(spark, lambda: orders.filter("o_orderkey % 2 = 1"), path)
+    return TS.materialize(spark, lambda: orders, path, overwrite=True)

@@ -45,13 +45,18 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def count_rejected_values(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """One row: per column, how many values `conform` turns into null."""
+def rejected_values(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """Per column of both, a count of the values that `conform` turns into null, named after the column."""
     types = {f.name: f.dataType for f in df.schema}
-    return df.agg(*[
+    return [
         F.count_if(_quoted(f.name).isNotNull() & safe_cast(_quoted(f.name), types[f.name], f.dataType).isNull())
         .alias(f.name) for f in schema if f.name in types
-    ])
+    ]
+
+
+def count_rejected_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row: per column, how many values `conform` turns into null."""
+    return df.agg(*rejected_values(df, schema))
 
 
 _NOT_NULL_DEFAULTS = {T.StringType: "", T.BooleanType: False, T.DoubleType: 0.0}

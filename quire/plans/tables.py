@@ -6,17 +6,19 @@ several rows, numbered by ``part``, that repeat its other columns; nearly all ha
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire import schemas
 from quire.functions.arrays import first_element, or_empty
 from quire.functions.text import parse_date, parse_list_literal, split_multivalue
-from quire.operators.columns import conform, count_null_keys, count_rejected_values, fill_sentinels, require_not_null
+from quire.operators.columns import (conform, count_null_keys, count_rejected_values, fill_sentinels, rejected_values,
+                                     require_not_null, safe_cast)
 from quire.operators.lists import BLOCK, attach_lists, degree
 from quire.operators.rows import dedupe_first
 from quire.plans.bibliography import Bibliography
+from quire.sinks.tables import write_parquet
 
 COUNTERS = ("hindex", "papercount", "citationcount")
 
@@ -82,7 +84,8 @@ def _final_schema(schema, raw: DataFrame):
 def load_bibliography(spark: SparkSession, folder: str) -> Bibliography:
     """Read article, author and journal Parquet tables with their final types and non-null keys.
 
-    Rows without a key are left out and values that do not parse become null; `rejected_on_load` counts both.
+    Rows without a key are left out and values that do not parse become null; `rejected_on_load` counts both in a
+    scan of its own, `import_bibliography` while it reads.
     """
     def table(name):
         schema, key = _STORED[name]
@@ -102,3 +105,22 @@ def rejected_on_load(spark: SparkSession, folder: str) -> DataFrame:
         columns = values.unpivot([], values.columns, "column", "rejected")
         counts.append(columns.unionByName(keys).withColumn("table", F.lit(name)))
     return reduce(DataFrame.unionByName, counts).filter("rejected > 0").select("table", "column", "rejected")
+
+
+def import_bibliography(spark: SparkSession, source: str, target: str) -> tuple[Bibliography, DataFrame]:
+    """Write the tables of ``source`` to ``target`` as `load_bibliography` reads them; the rejects come from the same scan.
+
+    Returns the bibliography over ``target``, whose scans are pruned and filtered, and what `rejected_on_load` returns
+    for ``source``. ``target`` must not exist.
+    """
+    rejects = []
+    for name, (schema, key) in _STORED.items():
+        raw = spark.read.parquet(f"{source}/{name}")
+        final, counts = _final_schema(schema, raw), Observation()
+        keyless = (safe_cast(F.col(key), raw.schema[key].dataType, final[key].dataType).isNull() if key in raw.columns
+                   else F.lit(True))
+        observed = raw.observe(counts, F.count_if(keyless).alias("row without key"), *rejected_values(raw, final))
+        write_parquet(require_not_null(conform(observed, final), [key]), f"{target}/{name}")
+        rejects += [(name, column, rejected) for column, rejected in counts.get.items() if rejected]
+    return (load_bibliography(spark, target),
+            spark.createDataFrame(rejects, "table string, column string, rejected long"))

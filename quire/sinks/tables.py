@@ -1,7 +1,9 @@
 """Delimited, Parquet and graph-export sinks."""
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,21 +24,39 @@ def write_parquet(df: DataFrame, path: str, compression: str = "zstd", mode: str
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def is_written(spark: SparkSession, path: str) -> bool:
-    """True when a finished job left its success marker in the folder, on whatever file system holds it."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(marker)
+def committed(spark: SparkSession, path: str) -> tuple[str | None, int]:
+    """Folder and version of the table that `materialize` committed to ``path``; None and 0 where there is none yet.
+
+    The highest version counts, and of several writers of it the one that committed first.
+    """
+    commits = f"{path}/commit-*"
+    try:
+        commit = (spark.read.schema("attempt string, version long").json(commits).filter("attempt IS NOT NULL")
+                  .select("attempt", "version", F.col("_metadata.file_modification_time").alias("at"))
+                  .orderBy(F.desc("version"), "at", "attempt").first())
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        commit = None
+    return (None, 0) if commit is None else (f"{path}/data-{commit.attempt}", commit.version)
 
 
 def materialize(spark: SparkSession, make: Callable[[], DataFrame], path: str, overwrite: bool = False) -> DataFrame:
     """Write the table ``make`` builds unless a finished one is already there, and read it back.
 
-    A folder without the success marker (a job that died half way, or another writer) is replaced only with
-    ``overwrite``; otherwise the write fails.
+    Every writer has a data folder of its own below ``path``. A finished one is committed by a record beside it, a file
+    that appears as a whole. A writer that dies leaves no record and is ignored; several writers at a time all read the
+    table that was committed first. ``overwrite`` commits a new version. Nothing is replaced or removed, so tables that
+    are being read stay whole; data folders that `committed` does not name may be deleted once no job uses them.
     """
-    if overwrite or not is_written(spark, path):
-        write_parquet(make(), path, mode="overwrite" if overwrite else "errorifexists")
-    return spark.read.parquet(path)
+    folder, version = committed(spark, path)
+    if folder is None or overwrite:
+        attempt = uuid.uuid4().hex
+        write_parquet(make(), f"{path}/data-{attempt}")
+        record = spark.range(1).select(F.lit(attempt).alias("attempt"), F.lit(version + 1).alias("version"))
+        record.coalesce(1).write.json(f"{path}/commit-{attempt}")
+        folder, _ = committed(spark, path)
+    return spark.read.parquet(folder)
 
 
 _HEADER_TYPES = {

@@ -159,6 +159,10 @@ def test_load_counts_what_it_rejects(spark, tmp_path):
     assert _rows(T.rejected_on_load(spark, str(tmp_path)), "table", "column", "rejected") == [
         ("article", "row without key", 1), ("article", "year", 1)]
     assert T.load_bibliography(spark, str(tmp_path)).articles.count() == 2
+    bib, rejects = T.import_bibliography(spark, str(tmp_path), f"{tmp_path}/typed")
+    assert _rows(rejects, "table", "column", "rejected") == [("article", "row without key", 1), ("article", "year", 1)]
+    assert _rows(bib.articles, "article_id", "year") == [(1, None), (2, 1999)] and bib.authors.isEmpty()
+    assert T.rejected_on_load(spark, f"{tmp_path}/typed").isEmpty()
 
 
 def test_only_articles_count(spark):

@@ -22,7 +22,8 @@ def _plan(df):
 
 # These run actions of their own while they are built, so building them here would be slow.
 _WRITERS = {"csv_roundtrip", "tsv_roundtrip", "csv_inferred", "sidecar_header", "graph_export", "jsonl_roundtrip",
-            "parquet_roundtrip", "materialize_once", "h_index_from_stored_tables", "graph_export_without_loss",
+            "parquet_roundtrip", "materialize_once", "materialize_after_a_lost_writer", "import_with_rejects",
+            "h_index_from_stored_tables", "graph_export_without_loss",
             "edge_export_end_first", "json_doc_files", "json_array_files"}
 
 

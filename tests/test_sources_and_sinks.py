@@ -1,8 +1,8 @@
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,12 +94,36 @@ def test_materialize_writes_once(spark, tmp_path):
     assert TS.materialize(spark, lambda: make(3), path).count() == 3
     assert TS.materialize(spark, lambda: make(5), path).count() == 3
     assert TS.materialize(spark, lambda: make(5), path, overwrite=True).count() == 5
-    # A folder without a success marker may be another writer's: it is replaced on request only.
-    os.remove(f"{path}/_SUCCESS")
-    with pytest.raises(AnalysisException):
-        TS.materialize(spark, lambda: make(7), path)
-    assert TS.materialize(spark, lambda: make(8), path, overwrite=True).count() == 8
-    assert calls == [3, 5, 7, 8]
+    assert TS.materialize(spark, lambda: make(7), path).count() == 5
+    assert calls == [3, 5]
+
+
+def test_materialize_with_interrupted_and_concurrent_writers(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert TS.committed(spark, path) == (None, 0)
+
+    def fails():
+        return spark.range(4).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        TS.materialize(spark, fails, path)
+    assert TS.committed(spark, path) == (None, 0)
+    # A data folder without a record, and a record that was not finished.
+    spark.range(2).write.parquet(f"{path}/data-dead")
+    os.makedirs(f"{path}/commit-dead/_temporary/0")
+    assert TS.committed(spark, path) == (None, 0)
+
+    def overtaken():
+        """While this one writes, another writer commits."""
+        assert TS.materialize(spark, lambda: spark.range(5), path).count() == 5
+        return spark.range(6)
+    assert TS.materialize(spark, overtaken, path).count() == 5
+    assert TS.committed(spark, path)[1] == 1
+    with ThreadPoolExecutor(4) as pool:
+        tables = list(pool.map(lambda n: TS.materialize(spark, lambda: spark.range(n), f"{tmp_path}/u").count(), range(10, 14)))
+    assert TS.materialize(spark, lambda: spark.range(1), f"{tmp_path}/u").count() in tables and 1 not in tables
+    # An empty table is a table.
+    assert TS.materialize(spark, lambda: spark.range(0), f"{tmp_path}/e").count() == 0
+    assert TS.materialize(spark, lambda: spark.range(3), f"{tmp_path}/e").count() == 0
 
 
 def test_graph_export(spark, tmp_path):
