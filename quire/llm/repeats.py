@@ -226,7 +226,10 @@ def remove_repeats(documents: DataFrame, threshold: int = THRESHOLD, id_column:
     """
     docs = documents.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn(
         "row", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(docs, threshold).groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    # Copies of one row have the same name and find the same spans: each is listed once. Written before the join, so that
+    # Spark may split the copies.
+    spans = stored(repeated_spans(docs, threshold).groupBy("row").agg(
+        F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
     doc_type = dict(docs.dtypes)["doc_id"]
     return docs.join(spans, "row", "left").select("doc_id", "text", "spans").mapInArrow(
         _without, f"doc_id {doc_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

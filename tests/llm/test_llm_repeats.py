@@ -58,6 +58,14 @@ def test_groups_over_several_batches_and_another_threshold(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_copies_of_one_row_list_their_spans_once(spark):
+    row = (7, "".join(random.Random(6).choices("abcdef ", k=1000)))
+    docs = spark.createDataFrame([row] * 300 + [(8, "apart")], "doc_id long, text string")
+    result = made(remove_repeats(docs))
+    assert len(result) == 301 and len(set(map(tuple, result))) == 2
+    assert {tuple(r)[:4] for r in result} == {(7, 1000, 1000, 1), (8, 5, 0, 0)}
+
+
 def test_kept_bytes(spark):
     docs = spark.createDataFrame([(1, "x" * 30 + "y" * 400), (2, "tail")], "doc_id long, text string")
     kept = {r.doc_id: bytes(r.kept) for r in remove_repeats(docs).collect()}
