@@ -11,6 +11,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quire.llm.store import stored
+
 
 class Rule(NamedTuple):
     """Leftmost, non-overlapping matches of a pattern; those whose group is shorter than `least` do not count."""
@@ -109,8 +111,8 @@ def scan(documents: DataFrame, rules=RULES, ledger: DataFrame | None = None, tex
 def findings(documents: DataFrame, ledger: DataFrame, rules=RULES, text_column: str = "text") -> DataFrame:
     """All rows of `documents` with `spans` from the ledger by the present rule versions (empty where there are none).
 
-    Only content with findings takes part in the join, so a content with thousands of paths is found by a join on its
-    address, which Spark may split. A column of `documents` that is called spans is replaced.
+    Content with findings is written first and then joined on its address, so that Spark may split the rows of a content
+    with many paths, also of an empty one. A column of `documents` that is called spans is replaced.
     """
     present = F.array(*[F.struct(F.lit(rule.version).alias("v"), F.lit(rule.kind).alias("k")) for rule in rules])
     known = (ledger.filter(F.size("spans") > 0)
@@ -119,6 +121,7 @@ def findings(documents: DataFrame, ledger: DataFrame, rules=RULES, text_column:
              .filter("array_contains(versions, _rule.v)")
              .select("_blob", F.expr("filter(spans, s -> s.kind = _rule.k)").alias("_spans"))
              .groupBy("_blob").agg(F.array_sort(F.flatten(F.collect_list("_spans"))).alias("spans")))
+    known = stored(known, "known")
     return (documents.drop("spans").withColumn("_blob", blob(F.col(text_column))).join(known, "_blob", "left")
             .withColumn("spans", F.coalesce("spans", F.array().cast(SPANS))).drop("_blob"))
 
