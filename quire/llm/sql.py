@@ -46,19 +46,24 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def contained_items() -> str:
-    def sets(table, key):
+    def words(table, key):
+        return f"""
+  SELECT {key}, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+                                   '[^\\x20\\x09-\\x0D!-/:-@\\[-`{{-~]+') AS w
+  FROM {table} WHERE text IS NOT NULL"""
+
+    def sets(rows, key):
         return f"""
-  SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS shingle
-  FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
-        FROM (SELECT {key}, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
-                                               '[^\\x20\\x09-\\x0D!-/:-@\\[-`{{-~]+') AS w
-              FROM {table} WHERE text IS NOT NULL) WHERE len(w) > 0)"""
+  SELECT DISTINCT {key}, size, array_to_string(w[i:i + size - 1], ' ') AS shingle
+  FROM (SELECT {key}, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM {rows} WHERE len(w) >= size)"""
     return f"""
-WITH doc_sets AS ({sets("documents", "doc_id")}),
-item_sets AS ({sets("benchmark", "item_id")}),
+WITH doc_words AS ({words("documents", "doc_id")}),
+item_words AS (SELECT *, least(len(w), 5) AS size FROM ({words("benchmark", "item_id")}) WHERE len(w) > 0),
+doc_sets AS ({sets("(SELECT * FROM doc_words, (SELECT DISTINCT size FROM item_words))", "doc_id")}),
+item_sets AS ({sets("item_words", "item_id")}),
 sizes AS (SELECT item_id, count(*) AS n FROM item_sets GROUP BY item_id)
 SELECT doc_id, item_id, any_value(n) AS n_item_shingles, count(*) AS n_shared
-FROM doc_sets JOIN item_sets USING (shingle) JOIN sizes USING (item_id)
+FROM doc_sets JOIN item_sets USING (size, shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n)"""
 
 

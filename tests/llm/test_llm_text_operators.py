@@ -109,20 +109,22 @@ def loose(text):
 def test_contained_items(spark):
     words = [f"w{i}" for i in range(3000)]
     item = " ".join(words[100:130])
-    items = [(1, item), (2, "one two three four five six seven"), (3, None), (4, ""), (5, "only three words"), (6, " ".join(words[5:9]))]
+    items = [(1, item), (2, "one two three four five six seven"), (3, None), (4, ""), (5, "only three words"), (6, " ".join(words[5:9])), (7, "Solo")]
     docs = [(1, " ".join(words)), (2, " ".join(words[:124])), (3, " ".join(words[:112])), (4, item.upper().replace(" ", ",\n")),
             (5, "ONE two, three four. five six seven"), (6, "only three words"), (7, "x only three words"), (None, item), (8, None),
-            (1, "and " + item), (9, "")]
+            (1, "and " + item), (9, ""), (10, "a solo, only; three. w5 w6 w7")]
     documents = spark.createDataFrame(docs, "doc_id long, text string").withColumn("item_id", F.lit(7))
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("hits", F.lit(7))
     made = {(r.doc_id, r.item_id): (r.n_item_shingles, r.n_shared) for r in contained_items(documents, benchmark).collect()}
     want = {}
     for d, text in docs:
         for i, it in items:
-            a, b = plain_set(loose(it), 5), plain_set(loose(text), 5)
+            n = min(5, max(1, len(loose(it).split())))
+            a, b = plain_set(loose(it), n), plain_set(loose(text), n)
             if a and 100 * len(a & b) >= 80 * len(a):
                 want[d, i] = max(want.get((d, i), (0, 0)), (len(a), len(a & b)))
-    assert made == want and (1, 1) in made and (2, 1) not in made and (7, 5) not in made
+    assert made == want and (1, 1) in made and (2, 1) not in made
+    assert (6, 5) in made and (7, 5) in made and (10, 7) in made and (10, 6) not in made and (1, 6) in made
     assert contained_items(documents.limit(0), benchmark).count() == 0
     assert contained_items(documents, benchmark.limit(0)).count() == 0
 
