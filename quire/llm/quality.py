@@ -19,6 +19,8 @@ MAX_ROWS = 24_000
 SHARD_ROWS = 3_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-4
+#: Kinds of n-grams: words, pairs of words, shapes, pairs of shapes.
+KINDS = 4
 
 # A word's shape: letters x or X, digits 0, other ASCII as it is, runs of one class once.
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -30,8 +32,9 @@ _SHAPE[48:58] = ord("0")
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all rows, one for each n-gram, and where each row's begin (one more at the end).
 
-    The n-grams are the words, the shapes of words, and pairs of neighbouring shapes. A word that repeats the one
-    before has the shape "again", so that repetition is one feature and not one for each word.
+    The n-grams are the words, pairs of neighbouring words, the shapes of words, and pairs of neighbouring shapes; a
+    text's first word is paired with nothing. A word that repeats the one before has the shape "again", so that
+    repetition is one feature and not one for each word.
     """
     data, offsets = words.text_bytes(column)
     n = len(column)
@@ -53,13 +56,16 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     shapes[again] = words.PLACES[1]
     pairs = shapes.copy()
     pairs[1:] += shapes[:-1] * words.PLACES[2] * follows[1:]
-    grams = np.concatenate([plain * words.PLACES[3], words.mix(shapes * words.PLACES[4]),
+    neighbours = plain * words.PLACES[6]
+    neighbours[1:] += plain[:-1] * words.PLACES[7] * follows[1:]
+    grams = np.concatenate([plain * words.PLACES[3], words.mix(neighbours), words.mix(shapes * words.PLACES[4]),
                             words.mix(pairs * words.PLACES[5])])
-    # Each row's three kinds of n-grams lie together.
-    order = np.concatenate([2 * first[rows] + np.arange(len(rows)) + k * np.diff(first)[rows] for k in range(3)])
+    # Each row's kinds of n-grams lie together.
+    order = np.concatenate([(KINDS - 1) * first[rows] + np.arange(len(rows)) + k * np.diff(first)[rows]
+                            for k in range(KINDS)])
     slots = np.empty(len(grams), np.int64)
     slots[order] = (grams >> np.uint64(64 - BITS)).astype(np.int64)
-    return slots, 3 * first
+    return slots, KINDS * first
 
 
 def _totals(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -68,9 +74,9 @@ def _totals(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def logits(column: pa.Array, weights: np.ndarray) -> np.ndarray:
-    """Bias plus the dot product with each feature's share of the row's n-grams (scaled by the root of 3)."""
+    """Bias plus the dot product with each feature's share of the row's n-grams (times KINDS)."""
     slots, first = features(column)
-    return weights[-1] + _totals(weights[slots], first) * 3 / np.maximum(np.diff(first), 1)
+    return weights[-1] + _totals(weights[slots], first) * KINDS / np.maximum(np.diff(first), 1)
 
 
 class Learner:
@@ -102,7 +108,7 @@ def _train(shard: pa.Table) -> pa.Table:
             at, counts = np.unique(slots[first[row]:first[row + 1]], return_counts=True)
             total = max(first[row + 1] - first[row], 1)
             examples.append((np.append(at, 1 << BITS).astype(np.int32),
-                             np.append(counts * 3 / total, 1.0).astype(np.float32), label))
+                             np.append(counts * KINDS / total, 1.0).astype(np.float32), label))
     for epoch in range(EPOCHS):
         for place in np.random.default_rng(epoch).permutation(len(examples)):
             learner.learn(*examples[place])
