@@ -90,9 +90,15 @@ def op9_suffix_array_dedup(spark, folder):
 
 
 def op10_secret_scan(spark, folder):
-    """Secrets of every document; each distinct text is scanned once and its findings go to all documents with it."""
+    """Secrets of every document; a text is scanned once by each rule and its findings go to all documents with it.
+
+    The ledger grows in two steps: half of the documents arrive when only the base rules exist; then all documents are
+    there with all rules, and what is scanned are new texts, and known ones by new rules only.
+    """
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ledger = stored(secret_scan.scan(docs), "ledger")
+    early = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    first = stored(secret_scan.scan(early, secret_scan.RULES[:len(secret_scan.BASE)]), "ledger")
+    ledger = first.union(stored(secret_scan.scan(docs, ledger=first), "ledger"))
 
     def of(*kinds):
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
