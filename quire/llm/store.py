@@ -11,9 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a new temporary one."""
+    """The folder named by spark.checkpoint.dir; where it is unset (tests, one machine) a new temporary one.
+
+    Whoever runs a job on a cluster removes its tables from this folder afterwards: results may still read them.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="quire-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
