@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from quire.llm.store import stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -20,23 +22,6 @@ class Rule(NamedTuple):
     pattern: str
     verdict: str
 
-    @property
-    def on_site(self) -> bool:
-        return self.pattern.startswith("||")
-
-    def regex(self) -> str:
-        body = self.pattern.removeprefix("||")
-        parts = {"*": ".*", "^": "(?:[^a-z0-9]|^|$)"}
-        return ("^(?:[^/]*\\.)?" if self.on_site else "(?s)") + "".join(
-            parts.get(c) or (c if c.isalnum() else "\\" + c) for c in body)
-
-    def tokens(self) -> list[str]:
-        """Tokens that every fitting url has as a whole: runs of letters and digits with a border on either side."""
-        body = self.pattern.removeprefix("||").lower()
-        ends = {match.start(): match.end() for match in re.finditer("[a-z0-9]+", body)}
-        return sorted({body[a:b] for a, b in ends.items()
-                       if (body[a - 1] != "*" if a else self.on_site) and b < len(body) and body[b] != "*"})
-
 
 #: Rules for words that are spam wherever they stand in a url.
 SPAM = tuple(Rule(f"^{word}^", "block") for word in (
@@ -58,53 +43,64 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def matches(urls: DataFrame, rules: list[Rule], url_column: str = "url") -> DataFrame:
-    """(url, rule_no) for each distinct url and each rule, by its place in the list, that fits it.
+def compiled(spark: SparkSession, rules: DataFrame | Sequence[Rule]) -> DataFrame:
+    """(pattern, verdict, on_site, regex, tokens) of each distinct rule, from rows or a table (pattern, verdict).
+
+    tokens are those that every fitting url has as a whole: runs of letters and digits with a border on either side.
+    Rules with a null pattern or verdict are left out.
+    """
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(rule) for rule in rules], "pattern string, verdict string")
+    body = F.regexp_replace("pattern", r"^\|\|", "")
+    escaped = F.regexp_replace(body, r"([^\p{L}\p{N}*^])", r"\\$1")
+    regex = F.replace(F.replace(escaped, F.lit("*"), F.lit(".*")), F.lit("^"), F.lit("(?:[^a-z0-9]|^|$)"))
+    tokens = lambda before: F.regexp_extract_all(
+        _ascii_lower(body), F.lit(before + "[a-z0-9]+(?=[^a-z0-9*])"), F.lit(0))
+    return (rules.select("pattern", "verdict").dropna().distinct()
+            .withColumn("on_site", F.startswith("pattern", F.lit("||")))
+            .withColumn("regex", F.when(F.col("on_site"), F.concat(F.lit(r"^(?:[^/]*\.)?"), regex))
+                        .otherwise(F.concat(F.lit("(?s)"), regex)))
+            .withColumn("tokens", F.array_sort(F.array_distinct(
+                F.when(F.col("on_site"), tokens("(?<![a-z0-9*])")).otherwise(tokens("(?<=[^a-z0-9*])"))))))
+
+
+def matches(urls: DataFrame, rules: DataFrame | Sequence[Rule], url_column: str = "url") -> DataFrame:
+    """(url, pattern, verdict) for each distinct url and each rule that fits it.
 
     A rule is indexed by that of its tokens which the fewest urls have (of equals the first in the alphabet); a rule
     without a whole token is tried on every url. Null urls fit nothing. Copies of a url are judged once.
     """
-    spark = urls.sparkSession
     distinct = urls.select(F.col(url_column).alias("url")).filter("url IS NOT NULL").distinct()
-    tokens = F.array_distinct(F.concat(F.split(_ascii_lower(F.col("url")), "[^a-z0-9]+"), F.array(F.lit(""))))
-    held = distinct.select("url", F.explode(tokens).alias("token"))
-    known = spark.createDataFrame([(no, token) for no, rule in enumerate(rules) for token in rule.tokens() or [""]],
-                                  "rule_no int, token string")
+    held_tokens = F.array_distinct(F.concat(F.split(_ascii_lower(F.col("url")), "[^a-z0-9]+"), F.array(F.lit(""))))
+    held = distinct.select("url", F.explode(held_tokens).alias("token"))
+    # Written, as the rules are used twice below and their tokens come from a table of any size.
+    known = stored(compiled(urls.sparkSession, rules).select(
+        "pattern", "verdict", "on_site", "regex", F.explode(
+            F.when(F.size("tokens") > 0, F.col("tokens")).otherwise(F.array(F.lit("")))).alias("token")), "rules")
     counts = held.join(known.select("token").distinct(), "token", "left_semi").groupBy("token").agg(
         F.count("*").alias("n"))
-    index = known.join(counts, "token", "left").groupBy("rule_no").agg(
+    index = known.join(counts, "token", "left").groupBy("pattern", "verdict", "on_site", "regex").agg(
         F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), "token")).alias("token"))
-    patterns = spark.createDataFrame([(no, rule.regex(), rule.on_site) for no, rule in enumerate(rules)],
-                                     "rule_no int, regex string, on_site boolean")
     subject = F.when(F.col("on_site"), F.concat(host_of(F.col("url")), path_of(F.col("url")))).otherwise(
         _ascii_lower(F.col("url")))
-    return (held.join(index.join(patterns, "rule_no"), "token").filter(F.regexp_like(subject, F.col("regex")))
-            .select("url", "rule_no"))
+    return (held.join(stored(index, "rule_index"), "token").filter(F.regexp_like(subject, F.col("regex")))
+            .select("url", "pattern", "verdict"))
 
 
-def judged(pages: DataFrame, rules: list[Rule], url_column: str = "url") -> DataFrame:
+def judged(pages: DataFrame, rules: DataFrame | Sequence[Rule], url_column: str = "url") -> DataFrame:
     """All rows of `pages` with host, path, rule (the pattern that decides, or null) and verdict.
 
-    Rules for hosts come before others, longer patterns before shorter, block before allow; without a rule the verdict
-    is allow, also for null urls. Columns of these four names are replaced.
+    Rules for hosts come before others, longer patterns before shorter, block before allow, then the alphabet; without
+    a rule the verdict is allow, also for null urls. Columns of these four names are replaced. Rules are a table
+    (pattern, verdict) of any size or a list.
     """
-    order = spark_order(rules)
-    decided = matches(pages, rules, url_column).groupBy("url").agg(F.min(order).alias("best"))
-    names = F.array(*[F.lit(rule.pattern) for rule in ranked(rules)])
-    verdicts = F.array(*[F.lit(rule.verdict) for rule in ranked(rules)])
+    order = F.struct(~F.startswith("pattern", F.lit("||")), -F.length("pattern"), F.col("verdict") != "block",
+                     F.col("pattern").alias("pattern"), F.col("verdict").alias("verdict"))
+    # Written before the join on the url, so that Spark may split the rows of one that repeats.
+    decided = stored(matches(pages, rules, url_column).groupBy("url").agg(F.min(order).alias("best")).select(
+        F.col("url").alias("_url"), F.col("best.pattern").alias("_rule"), F.col("best.verdict").alias("_verdict")), "decided")
     return (pages.drop("host", "path", "rule", "verdict")
-            .join(decided.select(F.col("url").alias("_url"), "best"), F.col(url_column) == F.col("_url"), "left")
+            .join(decided, F.col(url_column) == F.col("_url"), "left")
             .withColumn("host", host_of(F.col(url_column))).withColumn("path", path_of(F.col(url_column)))
-            .withColumn("rule", F.get(names, F.col("best")))
-            .withColumn("verdict", F.coalesce(F.get(verdicts, F.col("best")), F.lit("allow"))).drop("_url", "best"))
-
-
-def ranked(rules: list[Rule]) -> list[Rule]:
-    """From the first to decide to the last."""
-    return sorted(rules, key=lambda rule: (not rule.on_site, -len(rule.pattern), rule.verdict != "block", rule.pattern))
-
-
-def spark_order(rules: list[Rule]) -> Column:
-    """The rank of the rule in column rule_no."""
-    place = {rule: rank for rank, rule in enumerate(ranked(rules))}
-    return F.get(F.array(*[F.lit(place[rule]) for rule in rules]), F.col("rule_no"))
+            .withColumn("rule", F.col("_rule"))
+            .withColumn("verdict", F.coalesce("_verdict", F.lit("allow"))).drop("_url", "_rule", "_verdict"))

@@ -12,7 +12,7 @@ from checks.compare import connect, differences
 from quire.llm import pieces, queries, quality
 from quire.llm.neighbours import nearest
 from quire.llm.store import stored
-from quire.llm.url_rules import SPAM, Rule, judged, matches
+from quire.llm.url_rules import SPAM, Rule, compiled, judged, matches
 from test_llm_near_duplicates import brute_force
 from test_llm_text_operators import loose, odd_documents
 from test_llm_words import plain_set
@@ -84,10 +84,28 @@ def test_url_rules(spark):
     assert judged(pages.limit(0), rules).count() == 0
 
 
-def test_rules_keep_their_whole_tokens():
-    assert Rule("||example.org/en/1", "block").tokens() == ["en", "example", "org"]
-    assert Rule("^a-b*c^d", "block").tokens() == ["a", "c"] or Rule("^a-b*c^d", "block").tokens() == ["a"]
-    assert Rule("*x*", "block").tokens() == []
+def test_rules_keep_their_whole_tokens(spark):
+    def tokens(pattern):
+        return compiled(spark, [Rule(pattern, "block")]).first().tokens
+    assert tokens("||example.org/en/1") == ["en", "example", "org"]
+    assert tokens("^a-b*c^d") == ["a", "c"] or tokens("^a-b*c^d") == ["a"]
+    assert tokens("*x*") == []
+
+
+def test_many_rules_from_a_table(spark):
+    rules = spark.range(50_000).select(F.format_string("||site%d.example/a.b", "id").alias("pattern"),
+                                       F.when(F.col("id") % 2 == 0, "block").otherwise("allow").alias("verdict"))
+    rules = rules.union(rules.limit(3)).union(spark.createDataFrame(
+        [(None, "block"), ("x", None)], "pattern string, verdict string"))
+    pages = spark.createDataFrame([(f"http://www.SITE{i}.example/a.b/{i}",) for i in range(0, 50_000, 997)]
+                                  + [("http://site4.example/axb",), ("http://site5.example/a.b",)] * 200, "url string")
+    made = judged(pages, rules).collect()
+    assert len(made) == pages.count()
+    for row in made:
+        fits = row.path.startswith("/a.b")
+        number = int(row.host.split(".")[-2].removeprefix("site"))
+        assert row.rule == (f"||site{number}.example/a.b" if fits else None)
+        assert row.verdict == ("block" if fits and number % 2 == 0 else "allow")
 
 
 def test_rules_without_candidates_are_not_run(spark):
