@@ -232,14 +232,19 @@ def _exchanged(runs: DataFrame, splitters: list[tuple]) -> DataFrame:
             score, doc_id, run, place = (batch.column(c) for c in ("score", "doc_id", "run", "place"))
             ids = doc_id.to_pylist()
             key = lambda i: _key(score[i].as_py(), ids[i], run[i].as_py(), place[i].as_py())
-            cuts, low = [], 0
-            for splitter in splitters:      # the batch is sorted, so a splitter is one place in it
-                high = len(batch)
-                while low < high:
-                    middle = (low + high) // 2
-                    low, high = (middle + 1, high) if key(middle) < splitter else (low, middle)
-                cuts.append(low)
-            segment = np.searchsorted(np.array(cuts, np.int64), np.arange(len(batch)), "right")
+            # A task reads the files of several runs, and a batch goes on from one to the next: each stretch is sorted.
+            stretch = (np.diff(run.to_numpy()) != 0) | (np.diff(place.to_numpy()) != 1)
+            ends = [*(np.flatnonzero(stretch) + 1).tolist(), len(batch)]
+            segment = np.zeros(len(batch), np.int64)
+            for start, end in zip([0, *ends], ends):
+                cuts, low = [], start
+                for splitter in splitters:      # a splitter is one place in a sorted stretch
+                    high = end
+                    while low < high:
+                        middle = (low + high) // 2
+                        low, high = (middle + 1, high) if key(middle) < splitter else (low, middle)
+                    cuts.append(low)
+                segment[start:end] = np.searchsorted(np.array(cuts, np.int64), np.arange(start, end), "right")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(segment)], [*batch.schema.names, "segment"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema)

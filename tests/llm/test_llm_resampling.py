@@ -99,3 +99,15 @@ def test_segments_are_even_when_scores_are_equal(spark):
     assert len(sizes) == 4 and max(sizes) <= 2000 and sum(sizes) == 4000
     ranks = [r["rank"] for r in resampling.drawn(rows, 4000).collect()]
     assert sorted(ranks) == list(range(1, 4001))
+
+
+def test_ranks_over_several_runs(spark):
+    """Small runs are read by few tasks, so that a batch holds rows of several of them."""
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.pmod(F.xxhash64("id"), F.lit(700)).alias("score"))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")     # more runs than cores
+    try:
+        found = resampling.drawn(rows.repartition(8), 150).filter("rank IS NOT NULL").orderBy("rank").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    wanted = sorted(((r["score"], r["doc_id"]) for r in rows.collect()), key=lambda x: (-x[0], x[1]))[:150]
+    assert [(r["score"], r["doc_id"]) for r in found] == wanted
