@@ -6,9 +6,15 @@ are cut into ranges of the order column; every range is summed up on its own, an
 the rest. So no task sees more than a range of a key, even where one key holds most of a table.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Rows, and bytes of rows, of one key that a task may hold.
+GATHERED = 100_000
+GATHERED_BYTES = 64 << 20
+
 
 def range_cuts(rows: DataFrame, value: Column) -> Column:
     """About as many even cuts of a numeric column as there are shuffle partitions, as an array that Spark finds when
@@ -46,15 +52,47 @@ def add_start(rows: DataFrame, keys: list[str], order: str, weight: str, among:
             .withColumn("start", (F.col("_before") + F.col("_inside")).cast("long")).drop("_range", "_inside", "_before"))
 
 
-def with_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
-    """`add_start` for keys whose rows weigh more than ``limit`` together; ``start`` is null for all others, which are
-    not moved. Keys are not null."""
+def split_huge(rows: DataFrame, keys: list[str], huge: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of all other keys, and rows of the keys of ``huge``. These are at most the total weight through a limit that
+    is large, so they are broadcast and no row moves for them."""
+    names = F.broadcast(huge.select(*keys).distinct())
+    return rows.join(names, keys, "left_anti"), rows.join(names, keys, "left_semi")
+
+
+def _spread_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
+    """`with_start` where a key's rows may be more than a task should see."""
     marked, _ = mark_large(rows, keys, F.col(weight), limit)
     small = marked.filter(F.col("_large").isNull()).withColumn("start", F.lit(None).cast("long")).drop("_large")
     large = add_start(marked.filter("_large").drop("_large"), keys, order, weight, rows)
     return small.unionByName(large.select(*small.columns))
 
 
+def start_in_task(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
+    """`with_start` for keys whose rows one task may see."""
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    start = F.when((F.sum(weight).over(of_key) > limit) & known, F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+    return rows.withColumn("start", start.cast("long"))
+
+
+def with_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
+    """`add_start` for keys whose rows weigh more than ``limit`` bytes together; ``start`` is null for all others. Keys
+    are not null. Only keys that weigh more than `GATHERED_BYTES`, or have more than `GATHERED` rows, are cut into ranges;
+    the rows of all others move once, and not at all where the limit is that large."""
+    huge = rows.groupBy(*keys).agg(F.sum(weight).alias("_total"), F.count("*").alias("_rows")).filter(
+        (F.col("_total") > GATHERED_BYTES) | (F.col("_rows") > GATHERED))
+    few, many = split_huge(rows, keys, huge)
+    numbered = (start_in_task(few, keys, order, weight, limit) if limit < GATHERED_BYTES
+                else few.withColumn("start", F.lit(None).cast("long")))
+    return numbered.unionByName(_spread_start(many, keys, order, weight, limit).select(*numbered.columns))
+
+
+def finely(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt by key into more partitions than usual, where later steps of a task hold them several times, wide."""
+    return rows.repartition(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def byte_block(size: Column, limit: int) -> Column:
     """The block of a row from its ``start`` in bytes and its size: numbers rise with the order, rows of a block are
     neighbours, and a block holds more than ``limit`` bytes only where one row alone does.

@@ -167,3 +167,52 @@ def test_frequent_values_and_nulls_are_numbered_by_many_tasks(spark):
         assert sizes.agg(F.max("count")).first()[0] < 0.05 * 40_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def _run_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_lists_of_ordinary_keys_need_one_gathering(spark):
+    """Keys of more than a block, as most are with small blocks, are neither numbered by windows nor joined."""
+    edges = spark.range(600).selectExpr("id % 60 AS start_id", "id * 7 % 101 AS end_id")
+    made = L.adjacency_lists(edges, "start_id", "end_id", "ids", block=3)
+    plan = _run_plan(made)
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+    expected = {}
+    for r in edges.collect():
+        expected.setdefault(r["start_id"], []).append(r["end_id"])
+    cut = {(k, i // 3): sorted(v)[i:i + 3] for k, v in expected.items() for i in range(0, len(v), 3)}
+    assert {(r["start_id"], r["part"]): r["ids"] for r in made.collect()} == cut
+    base = spark.range(70)
+    attached = L.attach_lists(base, "id", {"a": edges, "b": edges.filter("end_id < 50")}, block=3)
+    assert "Window" not in _run_plan(attached)
+
+
+def test_lists_of_huge_keys_are_the_same(spark, monkeypatch):
+    """Keys beyond what a task may hold take the way over ranges, with the same parts."""
+    edges = spark.range(400).selectExpr("CASE WHEN id < 150 THEN 0 WHEN id < 155 THEN NULL ELSE id % 40 END AS start_id",
+                                        "id * 7 % 31 AS end_id")
+    base = spark.createDataFrame([(i, f"n{i}") for i in range(45)] + [(None, "none")], "id long, name string")
+    def made():
+        one = L.adjacency_lists(edges, "start_id", "end_id", "ids", block=4)
+        both = L.attach_lists(base, "id", {"a": edges, "b": edges.filter("end_id < 9")}, block=4)
+        return [sorted(map(repr, df.collect())) for df in (one, both)]
+    whole = made()
+    monkeypatch.setattr(L, "GATHERED", 20)
+    assert made() == whole
+
+
+def test_starts_of_huge_keys_are_the_same(spark, monkeypatch):
+    rows = spark.range(300).selectExpr("CASE WHEN id < 100 THEN 0 ELSE id % 30 END AS k", "id AS at", "id % 7 AS size")
+    made = lambda: sorted(map(repr, B.with_start(rows, ["k"], "at", "size", 25).collect()))
+    whole = made()
+    totals = {}
+    for r in rows.orderBy("at").collect():
+        totals.setdefault(r["k"], []).append((r["at"], r["size"]))
+    starts = {at: sum(s for _, s in v[:i]) if sum(s for _, s in v) > 25 else None
+              for v in totals.values() for i, (at, _) in enumerate(v)}
+    assert {r["at"]: r["start"] for r in B.with_start(rows, ["k"], "at", "size", 25).collect()} == starts
+    monkeypatch.setattr(B, "GATHERED", 20)
+    assert made() == whole
