@@ -67,24 +67,20 @@ def _spread_start(rows: DataFrame, keys: list[str], order: str, weight: str, lim
     return small.unionByName(large.select(*small.columns))
 
 
-def start_in_task(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
-    """`with_start` for keys whose rows one task may see."""
-    of_key = Window.partitionBy(*keys)
-    earlier = of_key.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    start = F.when((F.sum(weight).over(of_key) > limit) & known, F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
-    return rows.withColumn("start", start.cast("long"))
-
-
 def with_start(rows: DataFrame, keys: list[str], order: str, weight: str, limit: int) -> DataFrame:
     """`add_start` for keys whose rows weigh more than ``limit`` bytes together; ``start`` is null for all others. Keys
-    are not null. Only keys that weigh more than `GATHERED_BYTES`, or have more than `GATHERED` rows, are cut into ranges;
-    the rows of all others move once, and not at all where the limit is that large."""
+    are not null. With a limit below `GATHERED_BYTES` the rows of most keys are numbered in one task, so they move once;
+    only keys that weigh more, or have more than `GATHERED` rows, are cut into ranges."""
+    if limit >= GATHERED_BYTES:
+        return _spread_start(rows, keys, order, weight, limit)
     huge = rows.groupBy(*keys).agg(F.sum(weight).alias("_total"), F.count("*").alias("_rows")).filter(
         (F.col("_total") > GATHERED_BYTES) | (F.col("_rows") > GATHERED))
     few, many = split_huge(rows, keys, huge)
-    numbered = (start_in_task(few, keys, order, weight, limit) if limit < GATHERED_BYTES
-                else few.withColumn("start", F.lit(None).cast("long")))
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    start = F.when((F.sum(weight).over(of_key) > limit) & known, F.coalesce(F.sum(weight).over(earlier), F.lit(0)))
+    numbered = finely(few, *keys).withColumn("start", start.cast("long"))
     return numbered.unionByName(_spread_start(many, keys, order, weight, limit).select(*numbered.columns))
 
 

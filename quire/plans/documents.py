@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quire.functions import nested
 from quire.functions.arrays import distinct_field, extended_json_date, or_empty, without_null_values
 from quire.functions.text import KEYWORDS, derive_email, tag_keywords
-from quire.operators.blocks import byte_block, with_start
+from quire.operators.blocks import byte_block, finely, with_start
 from quire.operators.edges import proper_edges, recount_in_degree
 from quire.operators.rows import dedupe_first, first_n_matching
 
@@ -31,7 +31,7 @@ def embed_authors(papers: DataFrame, authors: DataFrame, id_col: str, fallback_p
     found = stubs.join(records, "authorid").select(
         id_col, "pos", F.col("record").withField("email", F.col("email")).alias("author"))
     # The list comes out of one row of papers, so it fits into one row again.
-    lists = (found.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "author"))).alias("_items"))
+    lists = (finely(found, id_col).groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "author"))).alias("_items"))
              .select(id_col, F.col("_items.author").alias("_authors")))
     kind = lists.schema["_authors"].dataType.simpleString()
     return (papers.join(lists, id_col, "left")
@@ -131,7 +131,7 @@ def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, kn
     sources = known.select(F.col(id_col).alias("start_id"))
     inside = proper_edges(edges).join(sources, "start_id", "left_semi")
     found = citations_in_parts(cited, inside, limit).withColumnRenamed("start_id", id_col)
-    lists = found.groupBy(id_col, "part").agg(F.sort_array(F.collect_list("citation")).alias("citations"))
+    lists = finely(found, id_col, "part").groupBy(id_col, "part").agg(F.sort_array(F.collect_list("citation")).alias("citations"))
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
     rows = (counted.join(found.select(id_col, "part").distinct(), id_col, "left")

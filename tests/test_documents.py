@@ -199,3 +199,14 @@ def test_as_coded_sections_in_documents(spark):
     sections = _as_dicts(built, "corpusid")[1]["content"]["sections"]
     assert [(s["section_title"], [p["text"] for p in s["paragraphs"]]) for s in sections] == [
         ("A", ["spark p1"]), ("B", ["p2", "p3"])]
+
+
+def test_wide_lists_are_dealt_finely(spark):
+    """Lists of authors and of citations are built in four times as many tasks as there are shuffle partitions."""
+    import re
+    finer = lambda df, key: re.search(rf"hashpartitioning\({key}#\d+L[^)]*, {4 * 4}\)", df._jdf.queryExecution().executedPlan().toString())
+    assert finer(D.embed_authors(_papers(spark), _authors(spark), "corpusid", "anon_"), "corpusid")
+    papers = spark.range(20).selectExpr("id AS corpusid", "'title' AS title")
+    cited = D.citation_records(papers, "corpusid", "title", F.array().cast("array<string>"))
+    edges = spark.range(90).selectExpr("id % 20 AS start_id", "id % 7 AS end_id")
+    assert finer(D.embed_citations(papers, cited, edges, papers, "corpusid", limit=200), "corpusid")
