@@ -4,6 +4,8 @@ A text is a list of tokens with positions: runs of letters and digits, and every
 looked for at its rarest token only, where it is verified by the tokens at the neighbouring positions.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,30 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
-def _slot(token: Column) -> Column:
-    return F.floor(F.pmod(F.xxhash64(token), F.lit(FILTER_BITS)) / 64).cast("int")
+#: How far from its rarest token a phrase is checked for a second token before it moves.
+NEAR = 2
+
+
+def _slot(h: Column) -> Column:
+    return F.floor(F.pmod(h, F.lit(FILTER_BITS)) / 64).cast("int")
 
 
-def _bit(token: Column) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(64)).cast("int")
+def _bit(h: Column) -> Column:
+    return F.pmod(h, F.lit(64)).cast("int")
+
+
+def _filter(hashes: DataFrame) -> Column:
+    """A filter of `FILTER_BITS` bits over the column ``h``, as an array that Spark makes when the query runs."""
+    words = hashes.select(_slot(F.col("h")).alias("slot"),
+                          F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("h"))).alias("bit"))
+    held = words.groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    bits = held.agg(F.map_from_entries(F.collect_list(F.struct("slot", "bits"))).alias("m"))
+    return bits.select(F.transform(F.sequence(F.lit(0), F.lit(FILTER_BITS // 64 - 1)),
+                                   lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("b")).scalar()
+
+
+def _with_second(token: Column, distance: Column, second: Column) -> Column:
+    return F.xxhash64(token, distance, second)
 
 
 def rarest_tokens(phrases: DataFrame, texts: DataFrame, text_col: str) -> DataFrame:
@@ -40,20 +60,22 @@ def phrase_places(texts: DataFrame, id_col: str, text_col: str, phrases: DataFra
     """(id_col, word, at): every place, as a position of tokens, where a text has a phrase of (word), whatever the case,
     with no letter or digit right before or behind it."""
     rules = rarest_tokens(phrases, texts, text_col)
-    words = rules.select(_slot(F.col("token")).alias("slot"), F.call_function(
-        "shiftleft", F.lit(1).cast("long"), _bit(F.col("token"))).alias("bit"))
-    held = words.groupBy("slot").agg(F.bit_or("bit").alias("bits"))
-    bits = held.agg(F.map_from_entries(F.collect_list(F.struct("slot", "bits"))).alias("m"))
-    array = bits.select(F.transform(F.sequence(F.lit(0), F.lit(FILTER_BITS // 64 - 1)),
-                                    lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long"))).alias("b"))
+    # The second token is up to NEAR places behind the rarest one, or before it where that is the last one; a phrase of
+    # one token has distance 0.
+    behind = F.least(F.size("phrase") - 1 - F.col("k"), F.lit(NEAR))
+    distance = F.when(behind > 0, behind).otherwise(-F.least(F.col("k"), F.lit(NEAR))).cast("int")
+    seconds = rules.select(_with_second(F.col("token"), distance, F.get("phrase", F.col("k") + distance)).alias("h"))
     reach = rules.agg(F.coalesce(F.max("k"), F.lit(0)).alias("left"),
                       F.coalesce(F.max(F.size("phrase") - F.col("k")), F.lit(1)).alias("right"))
     listed = (texts.select(id_col, tokens(F.col(text_col)).alias("tokens"))
-              .withColumn("bits", array.scalar()).withColumn("left", reach.select("left").scalar())
+              .withColumn("bits", _filter(rules.select(F.xxhash64("token").alias("h"))))
+              .withColumn("seconds", _filter(seconds)).withColumn("left", reach.select("left").scalar())
               .withColumn("right", reach.select("right").scalar()))
-    hit = lambda token: F.getbit(F.get(F.col("bits"), _slot(token)), _bit(token)) == 1
+    is_in = lambda name, h: F.coalesce(F.getbit(F.get(F.col(name), _slot(h)), _bit(h)) == 1, F.lit(False))
+    second_at = lambda x, d: is_in("seconds", _with_second(x["token"], F.lit(d), F.get("tokens", x["i"] + d)))
     held_at = F.filter(F.transform("tokens", lambda t, i: F.struct(t.alias("token"), i.alias("i"))),
-                       lambda x: hit(x["token"]))
+                       lambda x: is_in("bits", F.xxhash64(x["token"])) & reduce(
+                           lambda a, b: a | b, [second_at(x, d) for d in range(-NEAR, NEAR + 1)]))
     first = lambda i: F.greatest(i - F.col("left") - 1, F.lit(0))
     near = F.transform(held_at, lambda x: F.struct(
         x["token"].alias("token"), x["i"].alias("i"), (x["i"] - first(x["i"])).alias("before"),

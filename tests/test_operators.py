@@ -6,6 +6,7 @@ from quire.operators import edges as E
 from quire.operators import lists as L
 from quire.operators import rows as R
 from quire.operators.entities import enrich_entities
+from quire.operators.phrases import phrase_places
 from quire.operators.ranks import bucketed, with_position, zip_by_rank
 
 
@@ -216,3 +217,15 @@ def test_starts_of_huge_keys_are_the_same(spark, monkeypatch):
     assert {r["at"]: r["start"] for r in B.with_start(rows, ["k"], "at", "size", 25).collect()} == starts
     monkeypatch.setattr(B, "GATHERED", 20)
     assert made() == whole
+
+
+def test_phrases_are_checked_by_a_second_token_before_they_move(spark):
+    """Their rarest tokens are in all texts, the phrases in a few: only these reach the join."""
+    texts = spark.range(200).selectExpr("id", "CASE WHEN id % 50 = 0 THEN 'so Big  Data, c++ x' ELSE 'data big so c + x' END AS text")
+    words = spark.createDataFrame([("big  data",), ("C++",), ("so",), ("data, c",), (", c++ x",)], "word string")
+    made = phrase_places(texts, "id", "text", words)
+    assert _rows(made.filter("word <> 'so'"), "id", "word") == sorted(
+        ((i, w) for i in range(0, 200, 50) for w in ("big  data", "C++", "data, c", ", c++ x")), key=repr)
+    assert made.filter("word = 'so'").count() == 200
+    few = phrase_places(texts, "id", "text", words.filter("word <> 'so'"))
+    assert "seconds" in few._jdf.queryExecution().analyzed().toString() and few.count() == 16
