@@ -225,7 +225,7 @@ def test_phrases_are_checked_by_a_second_token_before_they_move(spark):
     words = spark.createDataFrame([("big  data",), ("C++",), ("so",), ("data, c",), (", c++ x",)], "word string")
     made = phrase_places(texts, "id", "text", words)
     assert _rows(made.filter("word <> 'so'"), "id", "word") == sorted(
-        ((i, w) for i in range(0, 200, 50) for w in ("big  data", "C++", "data, c", ", c++ x")), key=repr)
+        ((i, w) for i in range(0, 200, 50) for w in ("big  data", "C++", "data, c")), key=repr)    # ", c++ x" has a letter before it
     assert made.filter("word = 'so'").count() == 200
     few = phrase_places(texts, "id", "text", words.filter("word <> 'so'"))
-    assert "seconds" in few._jdf.queryExecution().analyzed().toString() and few.count() == 16
+    assert "seconds" in few._jdf.queryExecution().analyzed().toString() and few.count() == 12
