@@ -8,7 +8,7 @@ from quire.functions.leaves import leaf_rows
 from quire.operators.lists import adjacency_lists
 from quire.plans import documents as D
 
-from checks.registry import query
+from checks.registry import query, scratch
 from checks.views import authored_by, raw_cites, table, with_views
 
 _TURNS = ("conv_id", "turn", "role")
@@ -295,7 +295,8 @@ def documents_end_to_end(spark, folder):
     """The whole document preparation, every value of it."""
     made = D.build_documents(_order_papers(spark, folder), _external_authors(spark, folder), _texts(spark, folder),
                              _images(spark, folder), raw_cites(spark, folder), fallback_prefix="anon_",
-                             vocabulary=["MACHINE LEARNING", "THE", "AND", "UND"])
+                             vocabulary=["MACHINE LEARNING", "THE", "AND", "UND"],
+                             scratch=scratch(spark, "papers"))
     return leaf_rows(made, ["corpusid"])
 
 

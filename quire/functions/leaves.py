@@ -7,22 +7,39 @@ from pyspark.sql import types as T
 _ENTRY = "array<struct<path: string, value: string>>"
 
 
-def entries(value: Column, kind: T.DataType, path: Column) -> Column:
-    """(path, value) of all values inside a column: fields as ``.name``, elements as ``[position]``, map values as
-    ``[key]``. Values are texts; nulls, empty arrays and empty structs have none."""
+def _entries(value: Column, kind: T.DataType, path: list[Column]) -> tuple[list[Column], list[Column]]:
+    """The values inside a column: entries of single ones, and arrays of entries of repeated ones."""
     if isinstance(kind, T.StructType):
-        parts = [entries(value[f.name], f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind]
-        return F.concat(*parts) if parts else F.array().cast(_ENTRY)
+        inside = [_entries(value[f.name], f.dataType, [*path, F.lit(f".{f.name}")]) for f in kind]
+        return [e for single, _ in inside for e in single], [a for _, repeated in inside for a in repeated]
     if isinstance(kind, T.ArrayType):
-        inside = F.transform(value, lambda x, i: entries(
-            x, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
-        return F.coalesce(F.flatten(inside), F.array().cast(_ENTRY))
+        return [], [_of_items(value, kind.elementType, path, lambda x, i: (x, i))]
     if isinstance(kind, T.MapType):
-        inside = F.transform(F.map_entries(value), lambda e: entries(
-            e["value"], kind.valueType, F.concat(path, F.lit("["), e["key"].cast("string"), F.lit("]"))))
-        return F.coalesce(F.flatten(inside), F.array().cast(_ENTRY))
-    entry = F.array(F.struct(path.alias("path"), value.cast("string").alias("value"))).cast(_ENTRY)
-    return F.when(value.isNotNull(), entry).otherwise(F.array().cast(_ENTRY))
+        return [], [_of_items(F.map_entries(value), kind.valueType, path, lambda e, i: (e["value"], e["key"]))]
+    return [F.struct(F.concat(*path).alias("path"), value.cast("string").alias("value"))], []
+
+
+def _of_items(items: Column, kind: T.DataType, path: list[Column], pick) -> Column:
+    """Array of the entries of all items; ``pick`` gives the value of an item and its place."""
+    several = isinstance(kind, T.StructType | T.ArrayType | T.MapType)
+    def of_one(item, i):
+        value, place = pick(item, i)
+        single, repeated = _entries(value, kind, [*path, F.lit("["), place.cast("string"), F.lit("]")])
+        return _joined(single, repeated) if several else single[0]
+    made = F.transform(items, of_one)
+    return F.coalesce((F.flatten(made) if several else made).cast(_ENTRY), F.array().cast(_ENTRY))
+
+
+def _joined(single: list[Column], repeated: list[Column]) -> Column:
+    return F.concat(F.array(*single).cast(_ENTRY), *repeated)
+
+
+def entries(df: DataFrame, names: list[str]) -> Column:
+    """Array of the (path, value) of all values inside columns: fields as ``.name``, elements as ``[position]``, map
+    values as ``[key]``. Values are texts; empty arrays and empty structs have none, nulls of a plain type are among
+    them. All values of a struct make one array, so that few small ones are built."""
+    found = [_entries(F.col(f"`{name}`"), df.schema[name].dataType, [F.lit(name)]) for name in names]
+    return _joined([e for single, _ in found for e in single], [a for _, repeated in found for a in repeated])
 
 
 def leaf_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,6 +47,6 @@ def leaf_rows(df: DataFrame, keys: list[str]) -> DataFrame:
 
     Two tables are equal, nulls and empty arrays apart, if these rows are; and rows compare where nested values do not.
     """
-    columns = [f for f in df.schema if f.name not in keys]
-    made = F.concat(*[entries(F.col(f"`{f.name}`"), f.dataType, F.lit(f.name)) for f in columns])
-    return df.select(*keys, F.explode(made).alias("entry")).select(*keys, "entry.path", "entry.value")
+    made = entries(df, [name for name in df.columns if name not in keys])
+    rows = df.select(*keys, F.explode(made).alias("_entry")).filter(F.col("_entry.value").isNotNull())
+    return rows.select(*keys, "_entry.path", "_entry.value")

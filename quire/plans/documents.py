@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from quire.functions import nested
 from quire.functions.arrays import distinct_field, extended_json_date, or_empty, without_null_values
 from quire.functions.text import KEYWORDS, derive_email, tag_keywords
-from quire.operators.blocks import byte_block, finely, with_start
+from quire.operators.blocks import GATHERED_BYTES, byte_block, finely, with_start
 from quire.operators.edges import proper_edges, recount_in_degree
 from quire.operators.rows import dedupe_first, first_n_matching
+from quire.sinks.tables import write_parquet
 
 
 #: Bytes of citations or paragraphs in a row, at most.
@@ -107,12 +108,34 @@ def citation_records(documents: DataFrame, id_col: str, title_col: str, authors:
         .alias("citation"))
 
 
-def citations_in_parts(cited: DataFrame, edges: DataFrame, limit: int = ROW_BYTES) -> DataFrame:
-    """(start_id, part, citation) from distinct edges (start_id, end_id); edges to unknown ids drop out. The citations
-    of a part have up to ``limit`` bytes, or it is one larger citation. Parts follow the reference ids, their numbers
-    rise and may have gaps. Documents whose citations fit into one row have part 0 only."""
-    found = with_start(edges.select("start_id", "end_id").join(cited, "end_id"), ["start_id"], "end_id", "size", limit)
-    return found.select("start_id", byte_block(F.col("size"), limit).alias("part"), "citation")
+def _by_length(cited: DataFrame, edges: DataFrame, among: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Edges of documents whose citations fit into one row even if each were as long as the longest of all, and all
+    other edges. Only edges are counted for this, their citations are not looked up."""
+    most = cited.groupBy("end_id").agg(F.sum("size").alias("size")).agg(F.max("size")).scalar()
+    long = (among.groupBy("start_id").agg(F.count("*").alias("_n")).filter(F.col("_n") * most > limit)
+            .select("start_id", F.lit(True).alias("_long")))
+    marked = edges.select("start_id", "end_id").join(long, "start_id", "left")
+    return marked.filter(F.col("_long").isNull()).drop("_long"), marked.filter("_long").drop("_long")
+
+
+def citations_in_parts(cited: DataFrame, edges: DataFrame, among: DataFrame,
+                       limit: int = ROW_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(start_id, part, citation) from distinct edges (start_id, end_id), and (start_id, part) of all documents that have
+    other parts than 0; edges to unknown ids drop out. The citations of a part have up to ``limit`` bytes, or it is one
+    larger citation. Parts follow the reference ids, their numbers rise and may have gaps. Documents whose citations fit
+    into one row have part 0 only.
+
+    With a large limit few documents may need several rows. Only their citations are sized and numbered, those of all
+    others are looked up once. Edges are counted in ``among``, a table that holds them all, made without a join on
+    start_id, so that such a join may be split."""
+    few, many = _by_length(cited, edges, among, limit) if limit >= GATHERED_BYTES else (None, edges)
+    sized = with_start(many.select("start_id", "end_id").join(cited, "end_id"), ["start_id"], "end_id", "size", limit)
+    found = sized.select("start_id", byte_block(F.col("size"), limit).alias("part"), "citation")
+    parts = found.select("start_id", "part").distinct()
+    if few is not None:
+        whole = few.join(cited.select("end_id", "citation"), "end_id")
+        found = whole.select("start_id", F.lit(0).cast("long").alias("part"), "citation").unionByName(found)
+    return found, parts
 
 
 def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, known: DataFrame, id_col: str,
@@ -129,13 +152,13 @@ def embed_citations(documents: DataFrame, cited: DataFrame, edges: DataFrame, kn
     forms of the documents, so that their texts are not built again for them.
     """
     sources = known.select(F.col(id_col).alias("start_id"))
-    inside = proper_edges(edges).join(sources, "start_id", "left_semi")
-    found = citations_in_parts(cited, inside, limit).withColumnRenamed("start_id", id_col)
+    proper = proper_edges(edges)
+    inside = proper.join(sources, "start_id", "left_semi")
+    found, parts = (df.withColumnRenamed("start_id", id_col) for df in citations_in_parts(cited, inside, proper, limit))
     lists = finely(found, id_col, "part").groupBy(id_col, "part").agg(F.sort_array(F.collect_list("citation")).alias("citations"))
     kind = lists.schema["citations"].dataType.simpleString()
     counted = recount_in_degree(documents.drop("influentialcitationcount"), inside, id_col, "referencecount")
-    rows = (counted.join(found.select(id_col, "part").distinct(), id_col, "left")
-            .withColumn("part", F.coalesce("part", F.lit(0).cast("long"))))
+    rows = counted.join(parts, id_col, "left").withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
     return rows.join(lists, [id_col, "part"], "left").withColumn("citations", or_empty(F.col("citations"), kind))
 
 
@@ -147,11 +170,19 @@ def with_extended_dates(documents: DataFrame, columns: list[str]) -> DataFrame:
 def build_documents(papers: DataFrame, authors: DataFrame, texts: DataFrame, images: DataFrame, edges: DataFrame,
                     fallback_prefix: str, n: int | None = None, id_col: str = "corpusid",
                     vocabulary: list[str] = KEYWORDS, as_coded: bool = False,
-                    limit: int = ROW_BYTES) -> DataFrame:
+                    limit: int = ROW_BYTES, scratch: str | None = None) -> DataFrame:
     """The whole document preparation; ``texts`` carries ``id_col``, ``n`` keeps the first papers by id, and ``limit``
-    bounds the bytes of citations in a row (`embed_citations`)."""
+    bounds the bytes of citations in a row (`embed_citations`).
+
+    Papers with their authors are used by four later steps. With ``scratch``, a new folder on storage that all executors
+    share, they are written there at once and read from then on; the result reads them as well. Without it, every step
+    builds them anew.
+    """
     chosen = first_n_matching(papers, F.col("externalids.DBLP").isNotNull(), n, [id_col])
     documents = embed_authors(chosen, authors, id_col, fallback_prefix)
+    if scratch is not None:
+        write_parquet(documents, scratch)
+        chosen = documents = documents.sparkSession.read.schema(documents.schema).parquet(scratch)
     cited = citation_records(documents, id_col, "title", F.col("authors.name"))
     documents = attach_content(documents, clean_texts(texts), id_col, images, vocabulary, as_coded)
     documents = embed_citations(documents, cited, edges, chosen, id_col, limit)

@@ -138,6 +138,20 @@ def test_leaf_rows(spark):
         (1, "l[0].s", "x"), (1, "l[1].d[0]", "2.5"), (1, "m[a][0]", "1")]
 
 
+def test_leaf_rows_of_every_nesting(spark):
+    """Values come out of one small array for each struct; nulls at every level have no row."""
+    df = spark.createDataFrame(
+        [(1, ((None, "b"), [[1, None], None, []], {"k": (None, ["x", None])}), None),
+         (2, ((3, None), None, {"k": None}), "z"), (3, None, None)],
+        "id int, s struct<p: struct<a: int, b: string>, l: array<array<int>>, m: map<string, struct<c: int, d: array<string>>>>, "
+        "t string")
+    made = leaf_rows(df, ["id"])
+    assert sorted(map(tuple, made.collect())) == [
+        (1, "s.l[0][0]", "1"), (1, "s.m[k].d[0]", "x"), (1, "s.p.b", "b"), (2, "s.p.a", "3"), (2, "t", "z")]
+    wide = spark.range(1).select("id", F.struct(*[F.col("id").alias(f"c{i}") for i in range(30)]).alias("s"))
+    assert leaf_rows(wide, ["id"])._jdf.queryExecution().analyzed().toString().count("array(") < 10
+
+
 def test_very_many_sections(spark):
     doc = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(49_999)), lambda i: F.struct(
         (i % 40_000).cast("string").alias("section"), i.cast("string").alias("text"))).alias("p"))
@@ -186,6 +200,35 @@ def test_documents_end_to_end(spark):
     assert made[3]["content"] is None
 
 
+def test_papers_with_authors_are_built_once(spark, tmp_path):
+    """With a scratch folder neither authors nor stubs are in the plan any more, and the documents are the same. Without
+    one, citations that fit into a row are looked up once: the plan stays small."""
+    edges = spark.createDataFrame([(1, 2), (1, 2), (1, 1), (1, 3), (3, 1), (1, 4), (4, 1), (1, 99)],
+                                  "start_id long, end_id long")
+    build = lambda **given: D.build_documents(
+        _papers(spark), _authors(spark), _texts(spark), _images(spark), edges, "anon_", **given)
+    plain, stored = build(), build(scratch=str(tmp_path / "papers"))
+    rows = lambda df: sorted(map(tuple, leaf_rows(df, ["corpusid"]).collect()))
+    assert rows(plain) == rows(stored)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan(plain) and "posexplode" not in plan(stored)
+    assert plan(stored).count("Join") < 70
+
+
+def test_citations_of_few_and_of_many(spark, monkeypatch):
+    """Documents that surely fit into a row are not sized; rows and parts are those of sizing all."""
+    papers = spark.createDataFrame([(i, "t" * (i % 50)) for i in range(300)] + [(7, "again")], "corpusid long, title string")
+    edges = spark.createDataFrame([(0, i) for i in range(300)] + [(1, i) for i in range(40)] + [(2, 7), (2, 3), (3, 999)],
+                                  "start_id long, end_id long")
+    cited = D.citation_records(papers, "corpusid", "title", F.array(F.lit("Ann")))
+    made = lambda: sorted((r.corpusid, r.part, [(c.reference_id, c.title) for c in r.citations], r.referencecount) for r in
+                          D.embed_citations(papers, cited, edges, papers, "corpusid", limit=5000).collect())
+    whole = made()
+    assert len([r for r in whole if r[0] == 0]) > 5 and [r[1] for r in whole if r[0] == 2] == [0]
+    monkeypatch.setattr(D, "GATHERED_BYTES", 5000)
+    assert made() == whole
+
+
 def test_first_papers_only(spark):
     edges = spark.createDataFrame([(1, 2), (1, 3)], "start_id long, end_id long")
     built = D.build_documents(_papers(spark), _authors(spark), _texts(spark), _images(spark), edges, "anon_", n=2)
